@@ -33,7 +33,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-CORE_SHARE = 0.5
+CORE_SHARE = 0.4
 """Half-width of the core, as a share of the half-width of the expected bounds."""
 
 
@@ -247,17 +247,17 @@ def _measure_parts(
 
 
 def _measures(columns: Sequence[str]) -> list[Column]:
-    measures = [F.count(F.lit(1)).alias("rows")]
+    measures = ["count(1) AS rows"]
     for position, name in enumerate(dict.fromkeys(columns)):
-        value = F.col(name).cast("double")
+        value = f"CAST(`{name}` AS DOUBLE)"
         measures += [
-            F.count(value).alias(f"values_{position}"),
-            F.mean(value).alias(f"mean_{position}"),
-            F.stddev_samp(value).alias(f"stddev_{position}"),
-            F.min(value).alias(f"low_{position}"),
-            F.max(value).alias(f"high_{position}"),
+            f"count({value}) AS values_{position}",
+            f"avg({value}) AS mean_{position}",
+            f"stddev_samp({value}) AS stddev_{position}",
+            f"min({value}) AS low_{position}",
+            f"max({value}) AS high_{position}",
         ]
-    return measures
+    return [F.expr(measure) for measure in measures]
 
 
 def _moments(row: Row, columns: Sequence[str]) -> dict[str, Moments]:

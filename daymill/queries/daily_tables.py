@@ -141,9 +141,9 @@ LATER_OBSERVED_PERIOD = Period.of("2024-01-21", "2024-01-30")
 
 READINGS = {
     "temperature": "value",
-    "dew_point_temperature": "value * value",
+    "dew_point_temperature": "sqrt(value)",
     "station_level_pressure": "k",
-    "sea_level_pressure": "k * value",
+    "sea_level_pressure": "k * sqrt(value)",
     "wind_speed": "CAST(user_id AS DOUBLE)",
     "precipitation": "CASE WHEN k >= 5 THEN k END",
     "relative_humidity": "value / (user_id + 1)",
@@ -166,7 +166,7 @@ def observation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations_sql(period: Period) -> str:
-    means = ", ".join(f"round(avg({c}), 6) AS mean_{c}" for c in observations.MEASURES)
+    means = ", ".join(f"round(avg({c}), 8) AS mean_{c}" for c in observations.MEASURES)
     return f"""
 WITH parsed AS (SELECT *, CAST(props->>'$.k' AS DOUBLE) AS k FROM events),
 hourly AS (SELECT year(ts) AS Year, month(ts) AS Month, day(ts) AS Day,
@@ -178,7 +178,7 @@ SELECT date, {means} FROM kept GROUP BY date"""
 
 def _observed(spark: SparkSession, sf_dir: str, period: Period) -> DataFrame:
     cleaned = observations.clean_observations(observation_feed(spark, sf_dir), period)
-    digits = {f"mean_{name}": 6 for name in observations.MEASURES}
+    digits = {f"mean_{name}": 8 for name in observations.MEASURES}
     return sort_by_date(rounded(observations.daily_means(cleaned), digits))
 
 

@@ -67,11 +67,11 @@ line AS (SELECT a, b, ym - a * am - b * bm AS c FROM slopes)"""
 
 
 @query(
-    f"{FEATURES_SQL} SELECT zone, date, boro, num_orders, round(avg_amount, 4) AS avg_amount, "
+    f"{FEATURES_SQL} SELECT zone, date, boro, num_orders, round(avg_amount, 6) AS avg_amount, "
     "round(total_vol, 4) AS total_vol, round(mean_discount, 8) AS mean_discount FROM features"
 )
 def feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    digits = {"avg_amount": 4, "total_vol": 4, "mean_discount": 8}
+    digits = {"avg_amount": 6, "total_vol": 4, "mean_discount": 8}
     return rounded(features(spark, sf_dir), digits)
 
 

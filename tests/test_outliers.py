@@ -1,0 +1,168 @@
+"""The trim against a brute-force one in NumPy, however rows are split."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from daymill.operators import outliers
+from daymill.operators.outliers import Moments, outlier_bounds, trim_outliers
+
+COLUMNS = ["a", "b", "c", "d", "e"]
+
+
+def brute_force(table: np.ndarray) -> set[int]:
+    """Row numbers kept, columns in order; NaN stands for null."""
+    kept = np.arange(len(table))
+    for position in range(table.shape[1]):
+        column = table[kept, position]
+        present = column[~np.isnan(column)]
+        if len(present) < 2:
+            continue
+        if present.min() == present.max():
+            low = high = present[0]
+        else:
+            reach = math.sqrt(2 * math.log(len(kept))) * present.std(ddof=1)
+            low, high = present.mean() - reach, present.mean() + reach
+        with np.errstate(invalid="ignore"):
+            kept = kept[(column >= low) & (column <= high)]
+    return set(kept.tolist())
+
+
+def frame(spark, table: np.ndarray):
+    rows = [
+        (i, *(None if math.isnan(v) else float(v) for v in row)) for i, row in enumerate(table)
+    ]
+    columns = ", ".join(f"{name} double" for name in COLUMNS[: table.shape[1]])
+    return spark.createDataFrame(rows, f"id int, {columns}").repartition(4)
+
+
+def kept_ids(df, columns=COLUMNS, **options) -> set[int]:
+    return {row["id"] for row in trim_outliers(df, columns, **options).select("id").collect()}
+
+
+def heavy_tailed(seed: int, rows: int = 600, nulls: float = 0.0) -> np.ndarray:
+    """Correlated columns with long tails, so that trims affect one another."""
+    draw = np.random.default_rng(seed)
+    shared = draw.exponential(size=rows) ** 3
+    table = np.column_stack(
+        [
+            shared,
+            shared * draw.exponential(size=rows) ** 2,
+            draw.standard_normal(rows),
+            np.full(rows, 0.3),
+            draw.exponential(size=rows) ** 4 - shared,
+        ]
+    )
+    table[draw.random(table.shape) < nulls] = np.nan
+    return table
+
+
+@pytest.mark.parametrize("share", [0.02, 0.4, 0.95, 1.5])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_matches_brute_force_whatever_the_guess(spark, monkeypatch, share, seed):
+    """A share near or above 1 makes bounds cut into the core; a tiny one empties it."""
+    monkeypatch.setattr(outliers, "CORE_SHARE", share)
+    table = heavy_tailed(seed)
+    assert kept_ids(frame(spark, table)) == brute_force(table)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_nulls_count_as_rows_and_are_dropped(spark, seed):
+    table = heavy_tailed(seed, nulls=0.02)
+    kept = kept_ids(frame(spark, table))
+    assert kept == brute_force(table)
+    assert not any(np.isnan(table[i]).any() for i in kept)
+
+
+def test_half_the_rows_alike(spark):
+    """A third of all rows in one value, the rest spread out."""
+    table = heavy_tailed(5)
+    table[:200, :] = 1.0
+    assert kept_ids(frame(spark, table)) == brute_force(table)
+
+
+def test_order_of_columns_matters_and_single_pass_ignores_it(spark):
+    draw = np.random.default_rng(6)
+    value = draw.exponential(size=3000)
+    table = np.column_stack([value, value**2])
+    df = frame(spark, table)
+    assert kept_ids(df, ["a", "b"]) == brute_force(table)
+    assert kept_ids(df, ["b", "a"]) == brute_force(table[:, ::-1])
+    assert kept_ids(df, ["a", "b"]) != kept_ids(df, ["b", "a"])
+    one_way = kept_ids(df, ["a", "b"], mode="single_pass")
+    assert one_way == kept_ids(df, ["b", "a"], mode="single_pass")
+
+
+def test_a_column_may_come_twice(spark):
+    table = heavy_tailed(7)[:, [0, 1, 0]]
+    assert kept_ids(frame(spark, table[:, :2]), ["a", "b", "a"]) == brute_force(table)
+
+
+def test_constant_column_is_kept(spark):
+    df = spark.createDataFrame([(i, 0.3) for i in range(1000)] + [(1000, None)], "id int, a double")
+    assert kept_ids(df, ["a"]) == set(range(1000))
+
+
+def test_integers_and_text_free_frames(spark):
+    df = spark.range(1000).withColumn("n", F.when(F.col("id") == 0, 10_000).otherwise(F.col("id") % 10))
+    kept = trim_outliers(df, ["n"])
+    assert kept.columns == ["id", "n"] and kept.count() == 999
+
+
+def test_one_row_and_no_rows(spark):
+    one = spark.createDataFrame([(1, 5.0)], "id int, a double")
+    assert kept_ids(one, ["a"]) == {1}
+    assert trim_outliers(one.filter("false"), ["a"]).count() == 0
+    with pytest.raises(ValueError, match="'a'"):
+        trim_outliers(one, ["a"], on_null_stddev="error")
+
+
+def test_column_without_numbers_trims_nothing(spark):
+    df = frame(spark, heavy_tailed(8)[:, :2]).withColumn("none", F.lit(None).cast("double"))
+    assert kept_ids(df, ["none", "a", "b"]) == kept_ids(df, ["a", "b"])
+    assert [b.column for b in outlier_bounds(df, ["a", "none", "b"])] == ["a", "b"]
+
+
+def test_nan_behaves_as_in_a_plain_filter(spark):
+    """NaN poisons mean and deviation; only NaN then lies within the bounds."""
+    rows = [(i, float(i)) for i in range(50)] + [(50, float("nan"))]
+    df = spark.createDataFrame(rows, "id int, a double").withColumn("b", F.col("a") * 2)
+    assert kept_ids(df, ["a", "b"]) == {50}
+
+
+def test_nothing_stays_cached(spark):
+    trim_outliers(frame(spark, heavy_tailed(9)), COLUMNS).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_clean_columns_take_one_action(spark, monkeypatch):
+    calls = []
+    measure = outliers._measure
+    monkeypatch.setattr(outliers, "_measure", lambda *args: calls.append(args) or measure(*args))
+    draw = np.random.default_rng(10)
+    df = frame(spark, draw.random((500, 5)))
+    assert len(outlier_bounds(df, COLUMNS)) == 5
+    assert len(calls) == 1
+
+
+def test_unknown_options_are_errors(spark):
+    for options in ({"mode": "both"}, {"on_null_stddev": "ignore"}):
+        with pytest.raises(ValueError):
+            trim_outliers(spark.range(3), ["id"], **options)
+
+
+def test_moments_merge():
+    values = np.array([3.0, 4.0, 8.0, 1.0, 1.5])
+
+    def of(part):
+        return Moments(
+            len(part), len(part), part.mean(), ((part - part.mean()) ** 2).sum(), part.min(), part.max()
+        )
+
+    merged, whole = of(values[:2]) + of(values[2:]), of(values)
+    assert merged.stddev == pytest.approx(whole.stddev)
+    assert (merged.rows, merged.low, merged.high) == (5, 1.0, 8.0)
+    empty = Moments(2, 0, None, 0.0, None, None)
+    assert (empty + whole).mean == whole.mean and (whole + empty).rows == 7
