@@ -17,7 +17,9 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
-            "spark.driver.host": "localhost",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.debug.maxToStringFields": "1000",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
