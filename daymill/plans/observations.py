@@ -10,7 +10,7 @@ from daymill.operators.daily import daily_aggregate, sort_by_date
 from daymill.operators.outliers import trim_outliers
 from daymill.operators.rules import filter_dates
 from daymill.period import Period
-from daymill.sources import scan_text_period, write_table
+from daymill.sources import read_parquet, scan_text_period, write_table
 
 # --- Fixed values ---------------------------------------------------------------
 
@@ -41,17 +41,19 @@ def scan_observations(spark: SparkSession, template: str, period: Period) -> Dat
     return scan_text_period(spark, template, period.years(), types, SEPARATOR)
 
 
-def clean_observations(
-    observations: DataFrame, period: Period, pad: bool = True, on_null_stddev: str = "skip"
-) -> DataFrame:
-    """Observations of the period without outliers; every attribute must be present.
+def date_observations(observations: DataFrame, period: Period, pad: bool = True) -> DataFrame:
+    """Observations of the period, all attributes as numbers."""
+    dated = observations.withColumn("date", date_from_parts(*DATE_PARTS, pad=pad))
+    typed = cast_columns(dated, dict.fromkeys(DATE_PARTS, "double"))
+    return filter_dates(typed, "date", period)
+
+
+def clean_observations(dated: DataFrame, on_null_stddev: str = "skip") -> DataFrame:
+    """Dated observations without outliers; every attribute must be present.
 
     The date parts are trimmed along with the measures, as numbers.
     """
-    dated = observations.withColumn("date", date_from_parts(*DATE_PARTS, pad=pad))
-    typed = cast_columns(dated, dict.fromkeys(DATE_PARTS, "double"))
-    current = filter_dates(typed, "date", period)
-    return trim_outliers(current, (*DATE_PARTS, *MEASURES), on_null_stddev=on_null_stddev)
+    return trim_outliers(dated, (*DATE_PARTS, *MEASURES), on_null_stddev=on_null_stddev)
 
 
 def daily_means(cleaned: DataFrame) -> DataFrame:
@@ -59,8 +61,20 @@ def daily_means(cleaned: DataFrame) -> DataFrame:
 
 
 def build_observation_table(
-    spark: SparkSession, template: str, path: str, period: Period, **options
+    spark: SparkSession,
+    template: str,
+    raw_path: str,
+    curated_path: str,
+    period: Period,
+    pad: bool = True,
+    on_null_stddev: str = "skip",
 ) -> str:
-    cleaned = clean_observations(scan_observations(spark, template, period), period, **options)
-    write_table(sort_by_date(daily_means(cleaned)), path)
-    return path
+    """Text files → typed raw table → daily means; returns the path of the means.
+
+    The text is parsed once. The trim's scans read the columns they need from Parquet.
+    """
+    observations = scan_observations(spark, template, period)
+    write_table(date_observations(observations, period, pad), raw_path)
+    cleaned = clean_observations(read_parquet(spark, raw_path), on_null_stddev)
+    write_table(sort_by_date(daily_means(cleaned)), curated_path)
+    return curated_path

@@ -9,7 +9,7 @@ from daymill.operators.daily import daily_aggregate, sort_by_date
 from daymill.operators.outliers import trim_outliers
 from daymill.operators.rules import filter_dates
 from daymill.period import Period
-from daymill.sources import read_delimited, write_table
+from daymill.sources import read_delimited, read_parquet, write_table
 
 # --- Fixed values ---------------------------------------------------------------
 
@@ -22,18 +22,30 @@ def scan_volumes(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, COUNT_TYPES)
 
 
-def clean_volumes(counts: DataFrame, period: Period, on_null_stddev: str = "skip") -> DataFrame:
-    dated = counts.withColumn("date", date_from_parts("yr", "m", "d"))
-    return trim_outliers(
-        filter_dates(dated, "date", period), ["vol"], on_null_stddev=on_null_stddev
-    )
+def date_volumes(counts: DataFrame, period: Period) -> DataFrame:
+    """Counts of the period: borough, date and volume."""
+    dated = counts.select("boro", date_from_parts("yr", "m", "d").alias("date"), "vol")
+    return filter_dates(dated, "date", period)
+
+
+def clean_volumes(dated: DataFrame, on_null_stddev: str = "skip") -> DataFrame:
+    return trim_outliers(dated, ["vol"], on_null_stddev=on_null_stddev)
 
 
 def borough_day_volumes(cleaned: DataFrame) -> DataFrame:
     return daily_aggregate(cleaned, ["boro", "date"], sums={"total_vol": "vol"})
 
 
-def build_volume_table(spark: SparkSession, source: str, path: str, period: Period, **options) -> str:
-    cleaned = clean_volumes(scan_volumes(spark, source), period, **options)
-    write_table(sort_by_date(borough_day_volumes(cleaned), "date", "boro"), path)
-    return path
+def build_volume_table(
+    spark: SparkSession,
+    source: str,
+    raw_path: str,
+    curated_path: str,
+    period: Period,
+    on_null_stddev: str = "skip",
+) -> str:
+    """Text file → typed raw table → totals; returns the path of the totals."""
+    write_table(date_volumes(scan_volumes(spark, source), period), raw_path)
+    cleaned = clean_volumes(read_parquet(spark, raw_path), on_null_stddev)
+    write_table(sort_by_date(borough_day_volumes(cleaned), "date", "boro"), curated_path)
+    return curated_path

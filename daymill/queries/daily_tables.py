@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.operators.conform import union_sources
+from daymill.operators.conform import SourceSpec, union_sources
 from daymill.operators.daily import sort_by_date
 from daymill.period import Period
 from daymill.plans import observations, trips, volumes
@@ -20,8 +20,8 @@ LATER_TRIP_PERIOD = Period.of("1998-04-01", "2000-06-30")
 
 TRIP_FEED = {
     "VendorID": "l_linenumber",
-    "{letter}pep_pickup_datetime": "o_orderdate",
-    "{letter}pep_dropoff_datetime": "l_shipdate",
+    "pickup": "o_orderdate",
+    "dropoff": "l_shipdate",
     "store_and_fwd_flag": "l_returnflag",
     "RatecodeID": "l_linenumber",
     "PULocationID": "CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
@@ -42,35 +42,46 @@ YELLOW_ONLY = {"Airport_fee": "l_tax * 20"}
 GREEN_ONLY = {"ehail_fee": "CAST(NULL AS DOUBLE)", "trip_type": "l_linenumber"}
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines and their orders as trips of two sources, conformed into the raw layer.
+def landing_trips(spark: SparkSession, sf_dir: str) -> str:
+    """Lines and their orders written as trips of two sources, told apart by line status.
 
-    Written once, so that the join is not repeated by the scans of the trim.
+    Written once, so that the scans of the trim do not repeat the join.
     """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
-    joined = lines.join(orders, F.expr("l_orderkey = o_orderkey"))
-
-    def feed(columns: dict[str, str], letter: str) -> list[str]:
-        return [f"{sql} AS {name.format(letter=letter)}" for name, sql in columns.items()]
-
-    is_yellow = F.col("l_linestatus") == "F"
-    yellow = joined.filter(is_yellow).selectExpr(*feed(TRIP_FEED | YELLOW_ONLY, "t"))
-    green = joined.filter(~is_yellow).selectExpr(*reversed(feed(TRIP_FEED | GREEN_ONLY, "l")))
-    path = scratch_path(spark, "trips")
-    write_table(
-        union_sources(
-            [trips.conform_trips(yellow, trips.YELLOW), trips.conform_trips(green, trips.GREEN)]
-        ),
-        path,
+    feed = TRIP_FEED | YELLOW_ONLY | GREEN_ONLY
+    trip_rows = lines.join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        *(f"{sql} AS {name}" for name, sql in feed.items()),
+        "CASE WHEN l_linestatus = 'F' THEN 'yellow_taxi' ELSE 'green_taxi' END AS source",
+    )
+    path = scratch_path(spark, "landing")
+    trip_rows.write.partitionBy("source").parquet(path)
+    return path
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sources in their own layouts, conformed and united."""
+    landing = landing_trips(spark, sf_dir)
+
+    def source(spec: SourceSpec, letter: str, foreign: dict[str, str]) -> DataFrame:
+        rows = read_parquet(spark, f"{landing}/source={spec.name}").drop(*foreign)
+        return rows.withColumnsRenamed(
+            {name: f"{letter}pep_{name}_datetime" for name in ("pickup", "dropoff")}
+        )
+
+    yellow = source(trips.YELLOW, "t", GREEN_ONLY)
+    green = source(trips.GREEN, "l", YELLOW_ONLY)
+    return union_sources(
+        [
+            trips.conform_trips(yellow, trips.YELLOW),
+            trips.conform_trips(green.select(*reversed(green.columns)), trips.GREEN),
+        ]
     )
-    return read_parquet(spark, path)
 
 
 def trips_sql(period: Period, last_day: str = "whole_day", enforce_total: bool = True) -> str:
     """CTEs down to ``cleaned``, one row per cleaned trip."""
-    names = {**trips.SHARED_NAMES, "{letter}pep_pickup_datetime": trips.PICKUP}
-    names["{letter}pep_dropoff_datetime"] = trips.DROPOFF
+    names = trips.SHARED_NAMES | {"pickup": trips.PICKUP, "dropoff": trips.DROPOFF}
     columns = {names.get(name, name): sql for name, sql in TRIP_FEED.items()}
     columns["airport_fee"] = "CASE WHEN l_linestatus = 'F' THEN l_tax * 20 ELSE 0 END"
     types = trips.trip_types("timestamp")
@@ -177,7 +188,9 @@ SELECT date, {means} FROM kept GROUP BY date"""
 
 
 def _observed(spark: SparkSession, sf_dir: str, period: Period) -> DataFrame:
-    cleaned = observations.clean_observations(observation_feed(spark, sf_dir), period)
+    raw = scratch_path(spark, "observations")
+    write_table(observations.date_observations(observation_feed(spark, sf_dir), period), raw)
+    cleaned = observations.clean_observations(read_parquet(spark, raw))
     digits = {f"mean_{name}": 8 for name in observations.MEASURES}
     return sort_by_date(rounded(observations.daily_means(cleaned), digits))
 
@@ -209,5 +222,7 @@ def volumes_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("boro"),
         F.col("value").alias("vol"),
     )
-    totals = volumes.borough_day_volumes(volumes.clean_volumes(counts, OBSERVED_PERIOD))
+    raw = scratch_path(spark, "volumes")
+    write_table(volumes.date_volumes(counts, OBSERVED_PERIOD), raw)
+    totals = volumes.borough_day_volumes(volumes.clean_volumes(read_parquet(spark, raw)))
     return sort_by_date(rounded(totals, {"total_vol": 4}), "date", "boro")

@@ -181,7 +181,7 @@ def test_observation_table(spark, tmp_path):
     second = lines(2023, 1, 5, [12]) + ["2023|1|6|X|12||2|3|4|5|6|7"] + lines(2023, 2, 30, [12])
     (tmp_path / "2023.psv").write_text("\n".join([header, *second]) + "\n")
     path = observations.build_observation_table(
-        spark, f"{tmp_path}/{{period}}.psv", str(tmp_path / "daily"), Period.of("2022-10-01", "2023-03-31")
+        spark, f"{tmp_path}/{{period}}.psv", str(tmp_path / "raw"), str(tmp_path / "daily"), Period.of("2022-10-01", "2023-03-31")
     )
     daily = spark.read.parquet(path)
     assert daily.columns == ["date", *(f"mean_{name}" for name in observations.MEASURES)]
@@ -198,8 +198,9 @@ def test_observed_year_is_trimmed_like_a_measure(spark):
     names = [*observations.DATE_PARTS, *observations.MEASURES]
     kinds = ["string"] * 3 + ["double"] * 8
     df = spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
-    kept = observations.clean_observations(df, Period.of("2022-10-01", "2023-03-31"))
-    assert kept.count() == 43
+    dated = observations.date_observations(df, Period.of("2022-10-01", "2023-03-31"))
+    assert dated.count() == 44
+    assert observations.clean_observations(dated).count() == 43
 
 
 def test_volume_table(spark, tmp_path):
@@ -208,7 +209,7 @@ def test_volume_table(spark, tmp_path):
     source = tmp_path / "volumes.csv"
     source.write_text("\n".join(["yr,m,d,boro,vol,note", *rows]) + "\n")
     path = volumes.build_volume_table(
-        spark, str(source), str(tmp_path / "daily"), Period.of("2022-10-01", "2023-03-31")
+        spark, str(source), str(tmp_path / "raw"), str(tmp_path / "daily"), Period.of("2022-10-01", "2023-03-31")
     )
     totals = spark.read.parquet(path)
     assert dict(totals.dtypes) == {"boro": "string", "date": "date", "total_vol": "double"}
