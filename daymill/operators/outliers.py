@@ -22,6 +22,7 @@ one or two rows of moments per action.
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
@@ -33,6 +34,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+LOG = logging.getLogger(__name__)
+
 CORE_SHARE = 0.4
 """Half-width of the core, as a share of the half-width of the expected bounds."""
 
@@ -202,6 +205,7 @@ def _bound(column: str, moments: Moments, on_null_stddev: str) -> Bound | None:
     if moments.stddev is None:
         if on_null_stddev == "error":
             raise ValueError(f"column {column!r} has no standard deviation over {moments.rows} rows")
+        LOG.warning("column %r has no standard deviation and is not trimmed", column)
         return None
     if moments.low == moments.high:
         return Bound(column, moments.low, moments.high)

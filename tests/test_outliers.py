@@ -4,6 +4,8 @@ import math
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from daymill.operators import outliers
@@ -68,6 +70,18 @@ def test_matches_brute_force_whatever_the_guess(spark, monkeypatch, share, seed)
     assert kept_ids(frame(spark, table)) == brute_force(table)
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.lists(
+        st.tuples(*[st.one_of(st.just(math.nan), st.integers(-3, 3), st.integers(-900, 900))] * 3),
+        max_size=25,
+    )
+)
+def test_any_small_table_matches_brute_force(spark, rows):
+    table = np.array(rows, dtype=float).reshape(len(rows), 3)
+    assert kept_ids(frame(spark, table), COLUMNS[:3]) == brute_force(table)
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_nulls_count_as_rows_and_are_dropped(spark, seed):
     table = heavy_tailed(seed, nulls=0.02)
@@ -76,8 +90,7 @@ def test_nulls_count_as_rows_and_are_dropped(spark, seed):
     assert not any(np.isnan(table[i]).any() for i in kept)
 
 
-def test_half_the_rows_alike(spark):
-    """A third of all rows in one value, the rest spread out."""
+def test_a_third_of_the_rows_alike(spark):
     table = heavy_tailed(5)
     table[:200, :] = 1.0
     assert kept_ids(frame(spark, table)) == brute_force(table)
@@ -119,10 +132,14 @@ def test_one_row_and_no_rows(spark):
         trim_outliers(one, ["a"], on_null_stddev="error")
 
 
-def test_column_without_numbers_trims_nothing(spark):
+def test_column_without_numbers_trims_nothing(spark, caplog):
     df = frame(spark, heavy_tailed(8)[:, :2]).withColumn("none", F.lit(None).cast("double"))
     assert kept_ids(df, ["none", "a", "b"]) == kept_ids(df, ["a", "b"])
+    caplog.clear()
     assert [b.column for b in outlier_bounds(df, ["a", "none", "b"])] == ["a", "b"]
+    assert [r.getMessage() for r in caplog.records if r.name == outliers.__name__] == [
+        "column 'none' has no standard deviation and is not trimmed"
+    ]
 
 
 def test_nan_behaves_as_in_a_plain_filter(spark):

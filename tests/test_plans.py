@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from daymill.__main__ import main
 from daymill.period import Period
 from daymill.plans import observations, trips, volumes
 
@@ -99,7 +100,6 @@ def roots(spark, tmp_path_factory):
     landing_file(spark, landing, "green_taxi", "2022-11", green[:0])
     landing_file(spark, landing, "green_taxi", "2022-12", december[:1])
     trips.promote_trips(spark, landing, raw, PERIOD)
-    trips.promote_trips(spark, landing, raw, LATER)
     return raw, f"{root}/curated"
 
 
@@ -149,12 +149,16 @@ def test_literal_reading_of_the_recipe(spark, roots):
     assert [r["total_diff"] for r in literal.filter("total_diff > 3").collect()] == [3.01]
 
 
-def test_later_period_is_another_call(spark, roots):
+def test_later_period_from_the_command_line(spark, roots):
     raw, curated = roots
-    cleaned, averages = trips.build_trip_tables(spark, raw, curated, LATER, prefix="later_")
-    assert spark.read.parquet(cleaned).count() == 11
-    assert [r["num_pickups"] for r in spark.read.parquet(averages).collect()] == [11]
-    assert cleaned.endswith("/later_cleaned_trips")
+    landing = raw.replace("/raw", "/landing")
+    folders = ["--landing", landing, "--raw", raw, "--curated", curated]
+    dates = ["--start", str(LATER.start), "--end", str(LATER.end)]
+    main(["trips", *folders, *dates, "--prefix", "later_", "--keep-differing-totals"])
+    assert spark.read.parquet(f"{curated}/later_cleaned_trips").count() == 11
+    averages = spark.read.parquet(f"{curated}/later_zone_day_averages").collect()
+    assert [r["num_pickups"] for r in averages] == [11]
+    assert trips.read_raw_trips(spark, raw, PERIOD).count() == 44  # earlier months stay
 
 
 def test_filters_and_columns_reach_the_scans(spark, roots):
@@ -180,9 +184,9 @@ def test_observation_table(spark, tmp_path):
     (tmp_path / "2022.psv").write_text("\n".join([header, *first]) + "\n")
     second = lines(2023, 1, 5, [12]) + ["2023|1|6|X|12||2|3|4|5|6|7"] + lines(2023, 2, 30, [12])
     (tmp_path / "2023.psv").write_text("\n".join([header, *second]) + "\n")
-    path = observations.build_observation_table(
-        spark, f"{tmp_path}/{{period}}.psv", str(tmp_path / "raw"), str(tmp_path / "daily"), Period.of("2022-10-01", "2023-03-31")
-    )
+    path = str(tmp_path / "daily")
+    folders = ["--landing", f"{tmp_path}/{{period}}.psv", "--raw", str(tmp_path / "raw"), "--curated", path]
+    main(["observations", *folders, "--start", "2022-10-01", "--end", "2023-03-31"])
     daily = spark.read.parquet(path)
     assert daily.columns == ["date", *(f"mean_{name}" for name in observations.MEASURES)]
     found = [(str(r["date"]), r["mean_temperature"]) for r in daily.collect()]
@@ -208,10 +212,10 @@ def test_volume_table(spark, tmp_path):
     rows += ["2022,10,1,Bronx,90000,x", "2022,10,1,Bronx,n/a,x", "2022,13,1,Bronx,1,x", "2021,1,1,Bronx,1,x"]
     source = tmp_path / "volumes.csv"
     source.write_text("\n".join(["yr,m,d,boro,vol,note", *rows]) + "\n")
-    path = volumes.build_volume_table(
-        spark, str(source), str(tmp_path / "raw"), str(tmp_path / "daily"), Period.of("2022-10-01", "2023-03-31")
-    )
-    totals = spark.read.parquet(path)
+    daily = str(tmp_path / "daily")
+    folders = ["--landing", str(source), "--raw", str(tmp_path / "raw"), "--curated", daily]
+    main(["volumes", *folders, "--start", "2022-10-01", "--end", "2023-03-31"])
+    totals = spark.read.parquet(daily)
     assert dict(totals.dtypes) == {"boro": "string", "date": "date", "total_vol": "double"}
     assert totals.agg(F.sum("total_vol")).first()[0] == sum(n % 7 for n in range(60))
     keys = [(r["date"], r["boro"]) for r in totals.collect()]

@@ -108,6 +108,25 @@ def test_promotion_keeps_sources_and_other_months(spark, tmp_path):
     assert [r["fee"] for r in read_layer(spark, b, TYPES).collect()] == [3.0] * 4
 
 
+def test_a_crowded_period_is_split_on_promotion(spark, tmp_path):
+    """One month holds a third of all rows; rebalancing spreads it over several tasks."""
+    month = F.when(F.col("id") % 3 == 0, F.lit("2022-10")).otherwise(
+        F.concat(F.lit("2023-"), F.lpad((F.col("id") % 12 + 1).cast("string"), 2, "0"))
+    )
+    rows = spark.range(0, 300_000, 1, 8).select(
+        F.col("id").alias("item"), F.rand(1).alias("fee"), month.alias("period")
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        path = promote(rows, str(tmp_path / "raw"), "a", rebalance=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {folder.name: len(list(folder.glob("*.parquet"))) for folder in (tmp_path / "raw" / "a").glob("period=*")}
+    assert files["period=2022-10"] > 2
+    assert sum(files.values()) < 60
+    assert read_layer(spark, path, TYPES, ["2022-10"]).count() == 100_000
+
+
 def test_layer_read_prunes_periods_and_columns(spark, tmp_path):
     rows = spark.range(20).select(
         F.col("id").alias("item"),
