@@ -24,7 +24,7 @@ TRIP_FEED = {
     "dropoff": "l_shipdate",
     "store_and_fwd_flag": "l_returnflag",
     "RatecodeID": "l_linenumber",
-    "PULocationID": "CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
+    "PULocationID": "CAST(length(o_orderpriority) AS BIGINT)",
     "DOLocationID": "l_suppkey",
     "passenger_count": "l_quantity",
     "trip_distance": "sqrt(o_totalprice) / l_quantity",

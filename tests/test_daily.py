@@ -116,3 +116,18 @@ def test_correlations(spark):
     df = spark.createDataFrame([(1.0, 2.0, -1.0), (2.0, 4.0, -2.0), (3.0, 6.0, -3.0)], "y double, a double, b double")
     found = {r["column_name"]: r["correlation"] for r in correlations(df, "y", ["a", "b"]).collect()}
     assert found == {"a": pytest.approx(1.0), "b": pytest.approx(-1.0)}
+
+
+def test_a_key_with_a_third_of_all_rows(spark, tmp_path):
+    """Each task sends one partial row per key, however many rows the key has."""
+    zone = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50)
+    rows = spark.range(0, 90_000, 1, 8).select(
+        zone.alias("zone"), F.lit(MONDAY).alias("date"), F.col("id").cast("double").alias("amount")
+    )
+    daily = daily_aggregate(rows, ["zone", "date"], count="n", sums={"total": "amount"})
+    expected = {}
+    for i in range(90_000):
+        key = 0 if i % 3 == 0 else i % 50
+        n, total = expected.get(key, (0, 0.0))
+        expected[key] = (n + 1, total + i)
+    assert {r["zone"]: (r["n"], r["total"]) for r in daily.collect()} == expected

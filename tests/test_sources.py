@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +154,15 @@ def test_scratch_is_below_the_shared_folder(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Unset:
+        def get(self, key, default):
+            return default
+
+    cluster = SimpleNamespace(conf=Unset(), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(cluster, "x")
+    local = SimpleNamespace(conf=Unset(), sparkContext=SimpleNamespace(master="local[2]"))
+    assert scratch_path(local, "x").rsplit("/", 1)[0] == scratch_path(local, "y").rsplit("/", 1)[0]
