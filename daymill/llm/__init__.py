@@ -1 +1,10 @@
-"""Operators for preparing training data; nothing else in the library imports them."""
+"""Operators for preparing training data; nothing else in the library imports them.
+
+Their Python functions travel with the tasks, so executors need not have this package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

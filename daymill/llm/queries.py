@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import simhash_groups
+from daymill.llm import chat, isolation, simhash_groups, subword
+from daymill.llm.common import fold_of, stage
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return isolation.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learned = table(spark, sf_dir, "labels").filter(fold_of("doc_id", 3) != 1)
+    scored = subword.classify(table(spark, sf_dir, "documents"), learned)
+    return scored.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_prefix_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.range(2).selectExpr("-7L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role", "'</s>[INST] ok [/INST]' AS text")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    pieces = stage(chat.expand(turns.union(added)), "chat-pieces")
+    return chat.digest(pieces).drop("trainable")
+
+
 @query
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash_groups.group_documents(table(spark, sf_dir, "documents"))
