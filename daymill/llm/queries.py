@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import chat, isolation, simhash_groups, subword
+from daymill.llm import chat, isolation, packing, simhash_groups, subword
 from daymill.llm.common import fold_of, stage
+from daymill.llm.tokenize import read_tokenizer
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,12 @@ def query(run: Run) -> Run:
     return run
 
 
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,3 +57,8 @@ def op7_prefix_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash_groups.group_documents(table(spark, sf_dir, "documents"))
     return grouped.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe(), capacity=1024, end_id=2)
