@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import chat, isolation, packing, simhash_groups, subword
+from daymill.llm import chat, isolation, packing, simhash_groups, subword, token_stream
 from daymill.llm.common import fold_of, stage
 from daymill.llm.tokenize import read_tokenizer
 
@@ -33,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_rans_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_stream.write_and_describe(table(spark, sf_dir, "documents"), byte_bpe(), end_id=2)
+
+
 @query
 def op3_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolation.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
