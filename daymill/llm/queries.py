@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import chat, isolation, packing, simhash_groups, subword, token_stream
+from daymill.llm import chat, isolation, line_dedup, packing, simhash_groups, subword, token_stream
 from daymill.llm.common import fold_of, stage
 from daymill.llm.tokenize import read_tokenizer
 
@@ -43,6 +43,30 @@ def op3_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolation.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op4_cuckoo_line_dedup"] = """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+    FROM documents
+), keyed AS (
+    SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+), shared AS (
+    SELECT k, min(doc_id) AS owner FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1
+), judged AS (
+    SELECT keyed.*, owner IS NOT NULL AND owner <> doc_id AS gone FROM keyed LEFT JOIN shared USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
 @query
 def op5_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = table(spark, sf_dir, "labels").filter(fold_of("doc_id", 3) != 1)
