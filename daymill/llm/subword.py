@@ -122,9 +122,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> list[tuple[str | N
     order = Window.partitionBy("y").orderBy("h", "doc_id")
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter("y IN (0, 1)")
     keyed = known.withColumn("h", F.xxhash64("doc_id"))
+    few = keyed.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= SAMPLE_ROWS)
     chosen = (
-        keyed.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= SAMPLE_ROWS)
-        .join(texts(docs), "doc_id")
+        texts(docs)
+        .join(F.broadcast(few), "doc_id")  # at most SAMPLE_ROWS rows per class
         .withColumn("chars", F.sum(F.length("text")).over(Window.orderBy("r", "y", "doc_id")))
         .filter(F.col("chars") <= SAMPLE_CHARS)
     )
