@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import chat, isolation, line_dedup, packing, simhash_groups, subword, token_stream
+from daymill.llm import chat, isolation, line_dedup, packing, simhash_groups, subword, suffix_model, token_stream
 from daymill.llm.common import fold_of, stage
 from daymill.llm.tokenize import read_tokenizer
 
@@ -38,6 +38,13 @@ def op1_rans_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_stream.write_and_describe(table(spark, sf_dir, "documents"), byte_bpe(), end_id=2)
 
 
+@query
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("training", fold_of("doc_id", 7) != 2)
+    scored = suffix_model.score_documents(docs, "training")
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op3_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolation.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
