@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import chat, isolation, line_dedup, packing, simhash_groups, subword, suffix_model, token_stream
+from daymill.llm import chat, decontaminate, isolation, line_dedup, packing, simhash_groups, subword, suffix_model, token_stream
 from daymill.llm.common import fold_of, stage
 from daymill.llm.tokenize import read_tokenizer
 
@@ -81,6 +81,11 @@ def op5_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+@query
+def op6_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_prefix_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.range(2).selectExpr("-7L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role", "'</s>[INST] ok [/INST]' AS text")
