@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import chat, decontaminate, isolation, line_dedup, packing, simhash_groups, subword, suffix_model, token_stream
+from daymill.llm import chat, decontaminate, isolation, line_dedup, packing, simhash_groups, subword, suffix_array, suffix_model, token_stream
 from daymill.llm.common import fold_of, stage
 from daymill.llm.tokenize import read_tokenizer
 
@@ -100,6 +100,11 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op9_bucket_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op10_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe(), capacity=1024, end_id=2)
