@@ -77,8 +77,8 @@ FROM judged GROUP BY doc_id"""
 @query
 def op5_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = table(spark, sf_dir, "labels").filter(fold_of("doc_id", 3) != 1)
-    scored = subword.classify(table(spark, sf_dir, "documents"), learned)
-    return scored.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+    scored = subword.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), learned)
+    return scored.select("row.doc_id", "score", "predicted").select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
 @query

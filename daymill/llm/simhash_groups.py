@@ -256,3 +256,14 @@ def group_documents(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     return prints.join(known.join(smallest, "label").select("fp", "component_id"), "fp").select(
         "doc_id", "fp", "component_id"
     )
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``docs``, all columns, of the smallest doc_id of each group.
+
+    Of rows with one doc_id one stays. Rows without doc_id all stay.
+    """
+    groups = group_documents(docs.select("doc_id", "text"), shingle, radius)
+    chosen = stage(groups.select(F.col("component_id").alias("doc_id")).filter("doc_id IS NOT NULL").distinct(), "simhash-kept")
+    named = docs.filter("doc_id IS NOT NULL").join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).union(docs.filter("doc_id IS NULL"))

@@ -134,9 +134,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> list[tuple[str | N
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score of every whole text: probability of class 1; a null text counts as empty.
+    """row (a struct of all columns of ``docs``) and score, the probability of class 1, of every whole text.
 
-    A text without words has the score of the bias alone. Repeated rows each get their score.
+    A null text counts as empty; a text without words has the score of the bias alone. Repeated
+    rows each get their score.
     """
     margins, bias = model.margins()
     margins32 = margins.astype(np.float32)
@@ -162,13 +163,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     value += v * t
                     count += c * t
                 scores[k] = value / max(1, count) + bias
-            yield batch_of(batch, ["doc_id"], score=pa.array(1 / (1 + np.exp(-np.clip(scores, -50, 50)))))
+            yield batch_of(batch, ["row"], score=pa.array(1 / (1 + np.exp(-np.clip(scores, -50, 50)))))
 
-    return texts(docs).mapInArrow(run, "doc_id long, score double")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """doc_id, score, predicted (1 from 0.5 up) of all documents, learned from the given labels.
+    """row, score, predicted (1 from 0.5 up) of all documents, learned from the given labels.
 
     Labels that are null or neither 0 nor 1, or without a document, are left out. Repeated
     labels of one document count as often as they stand. Labels are no input of a score.
