@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from daymill.llm.common import binary_rows, empty_like, shards_for, stage
 
@@ -294,8 +295,8 @@ def drop_lines(docs: DataFrame, state: State, keys: DataFrame | None = None) ->
                 n_dropped.append(len(lines) - len(stay))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], ["row", "text", "n_lines", "n_dropped"])
 
-    row = rows.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(run, f"row {row}, text string, n_lines long, n_dropped long")
+    counts = [StructField(c, LongType()) for c in ("n_lines", "n_dropped")]
+    return joined.mapInArrow(run, StructType([rows.schema["row"], StructField("text", StringType()), *counts]))
 
 
 def dedup(docs: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from daymill.llm.common import batch_of, binary_rows, texts
 
@@ -166,7 +167,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield batch_of(batch, ["row"], score=pa.array(1 / (1 + np.exp(-np.clip(scores, -50, 50)))))
 
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:

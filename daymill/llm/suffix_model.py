@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from daymill.llm.common import stage, texts
 
 DEPTH = 3
-GRAM_SHARE = 5e-7
-MIN_COUNT = 4
+GRAM_SHARE = 1e-6
+MIN_COUNT = 8
 #: A context becomes a state if it gains so many nats, in all and per occurrence.
 MIN_EVIDENCE = 12.0
 MIN_DIVERGENCE = 0.02
@@ -132,26 +132,20 @@ class Level:
 class Tree:
     levels: list[Level] = field(default_factory=list)
 
-    def probabilities(self, token: np.ndarray, since: np.ndarray, root: np.ndarray) -> np.ndarray:
-        """Probability of each token given the tokens before it in its text, from those at the root."""
+    def probabilities(self, token: np.ndarray, since: np.ndarray, places: np.ndarray, root: np.ndarray) -> np.ndarray:
+        """Probability of the tokens at ``places`` (no starts) given those before, from their probabilities at the root."""
         p = root.copy()
-        for at, gram, level in self.walk(token, since):
-            found, seen = within(level.grams, gram)
-            own = np.where(seen, level.own[found], 0.0) if len(level.own) else 0.0
-            p[at[0]] = own + level.rest[at[1]] * p[at[0]]
-        return p
-
-    def walk(self, token: np.ndarray, since: np.ndarray):
-        """Per level the places whose context is a state, the number of that state, and the gram's name."""
-        open_ = np.flatnonzero(since >= 1)
-        context = np.zeros(len(open_), np.uint64)
+        open_, context = np.arange(len(places)), np.zeros(len(places), np.uint64)
         for depth, level in enumerate(self.levels, 1):
-            context = mix(context, token[open_ - depth])
+            context = mix(context, token[places[open_] - depth])
             state, known = within(level.states, context)
             open_, context, state = open_[known], context[known], state[known]
-            yield (open_, state), mix(context, token[open_]), level
-            longer = since[open_] > depth
+            found, seen = within(level.grams, mix(context, token[places[open_]]))
+            own = np.where(seen, level.own[found], 0.0) if len(level.own) else 0.0
+            p[open_] = own + level.rest[state] * p[open_]
+            longer = since[places[open_]] > depth
             open_, context = open_[longer], context[longer]
+        return p
 
     def below(self, token: np.ndarray, since: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places whose context of the deepest level is a state and could be one longer, and the longer contexts' names."""
@@ -172,7 +166,7 @@ def _pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def heavy_cells(docs: DataFrame, least: int) -> np.ndarray:
-    """One flag per hashed counter: whether all pairs of tokens that share it come to ``least``."""
+    """One bit per hashed counter: whether all pairs of tokens that share it come to ``least``."""
     cells, block = 1 << CELL_BITS, 1 << BLOCK_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,10 +192,10 @@ def heavy_cells(docs: DataFrame, least: int) -> np.ndarray:
 
     counted = texts(docs).select("text").mapInArrow(count, "block int, counts binary")
     flags = counted.groupBy("block").applyInPandas(add, "block int, flags binary").collect()
-    out = np.zeros(cells, bool)
+    out = np.zeros((cells // block, block // 8), np.uint8)
     for r in flags:
-        out[r["block"] * block : (r["block"] + 1) * block] = np.unpackbits(np.frombuffer(r["flags"], np.uint8)).astype(bool)
-    return out
+        out[r["block"]] = np.frombuffer(r["flags"], np.uint8)
+    return out.reshape(-1)
 
 
 @dataclass
@@ -225,16 +219,14 @@ def _count_grams(docs: DataFrame, tree: Tree, root: Root, heavy: np.ndarray, lea
 
     Below the first level, rows with token 0 hold how often each context occurs.
     """
-    packed, depth = np.packbits(heavy), len(tree.levels) + 1
+    depth = len(tree.levels) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for token, since in _pairs(batch):
                 at, context = tree.below(token, since)
                 cell = (mix(mix(np.zeros(len(token) - 1, np.uint64), token[:-1]), token[1:]) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-                often = np.append(False, packed[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
-                del cell
-                p = tree.probabilities(token, since, root.probabilities(token))
+                often = np.append(False, heavy[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
                 if depth > 1:
                     able = often[at - depth + 1]
                     at, context = at[able], context[able]
@@ -243,7 +235,8 @@ def _count_grams(docs: DataFrame, tree: Tree, root: Root, heavy: np.ndarray, lea
                 able = often[at]
                 at, context = at[able], context[able]
                 _, first, n = np.unique(mix(context, token[at]), return_index=True, return_counts=True)
-                yield rows(context[first], token[at][first], n, p[at][first])
+                at, context = at[first], context[first]
+                yield rows(context, token[at], n, tree.probabilities(token, since, at, root.probabilities(token[at])))
 
     def rows(context, token, n, p):
         columns = [context.view(np.int64), token.view(np.int64), n.astype(np.int64), p]
@@ -318,8 +311,8 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
                 n, size = high - low, max(1, len(words))
                 c = head_counts[np.asarray(pc.fill_null(pc.index_in(words, head), len(head))).astype(np.int64)]
                 token, text, since = sequences(n, row, word_names(words)[codes])
-                p = np.log10(tree.probabilities(token, since, root.probabilities(token)))
-                p[since == 0] = 0
+                own = np.flatnonzero(since)
+                p = np.log10(tree.probabilities(token, since, own, root.probabilities(token[own])))
                 known = c > 0
                 pairs, times = np.unique((row * size + codes)[~known[codes]], return_counts=True)
                 bounds = np.searchsorted(pairs // size, np.arange(n + 1)).astype(np.int32)
@@ -331,7 +324,7 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
                         pa.array(np.bincount(row, minlength=n)),
                         pa.array(np.bincount(row, known[codes], n).astype(np.int64)),
                         pa.array(np.bincount(row, np.log10(c + 1.0)[codes], n)),
-                        pa.array(np.bincount(text, p, n)),
+                        pa.array(np.bincount(text[own], p, n)),
                         pa.ListArray.from_arrays(pa.array(bounds), rare),
                         pa.ListArray.from_arrays(pa.array(bounds), pa.array(times)),
                     ],
