@@ -29,8 +29,8 @@ from daymill.llm.common import stage, texts
 from daymill.llm.tokenize import Encoder
 from daymill.session import scratch_path
 
-LANES = 512
-SEGMENT_IDS = 1 << 17
+LANES = 2048
+SEGMENT_IDS = 1 << 18
 BLOCK_SEGMENTS = 4
 SCALE_BITS = 20
 _LOW = np.uint64(1 << 31)

@@ -18,8 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text looked at together, and pieces whose ids are kept before starting afresh.
-CHUNK_BYTES = 4 << 20
-KEPT_PIECES = 300_000
+CHUNK_BYTES = 8 << 20
+KEPT_PIECES = 600_000
 PIECES_AT_ONCE = 50_000
 
 
@@ -42,7 +42,7 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.bytes_of[number] = len(token)
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -54,9 +54,11 @@ class Encoder:
             joined = " " + " ".join(part)
             ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.cumsum([len(p.encode()) + 1 for p in part])
-            cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-            for piece, ids_ in zip(part, np.split(ids, cuts[:-1]), strict=True):
-                self.known[piece] = ids_.tobytes()
+            cuts = 4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)
+            raw, low = ids.tobytes(), 0
+            for piece, high in zip(part, cuts.tolist(), strict=True):
+                self.known[piece] = raw[low:high]
+                low = high
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins, with the end as last entry."""
@@ -66,10 +68,13 @@ class Encoder:
         codes, pieces = np.asarray(coded.indices).astype(np.int64), coded.dictionary.to_pylist()
         if len(self.known) > KEPT_PIECES:
             self.known.clear()
-        odd = np.array([not p or p[0].isspace() or p[-1].isspace() for p in pieces], bool)
-        known = self.known
-        self._learn([p for p, o in zip(pieces, odd, strict=True) if not o and p not in known])
-        values = [b"" if o else known[p] for p, o in zip(pieces, odd, strict=True)]
+        trimmed = pc.utf8_trim_whitespace(coded.dictionary)
+        odd = np.asarray(pc.or_(pc.not_equal(trimmed, coded.dictionary), pc.equal(trimmed, ""))).astype(bool)
+        values = list(map(self.known.get, pieces))
+        missing = [k for k, v in enumerate(values) if v is None]
+        self._learn([pieces[k] for k in missing if not odd[k]])
+        for k in missing:
+            values[k] = b"" if odd[k] else self.known[pieces[k]]
         # a text's first piece has no blank in front
         first = bounds[:-1]
         leading, of = np.unique(codes[first], return_inverse=True)
@@ -82,7 +87,7 @@ class Encoder:
             codes[bounds[t]] = len(values)
             values.append(self.whole(texts[t].as_py()).tobytes())
         values.append(b"")
-        sizes = np.array([len(v) // 4 for v in values], np.int64)
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
         store = np.frombuffer(b"".join(values), np.uint32)
         starts = np.cumsum(sizes) - sizes
         count = sizes[codes]
