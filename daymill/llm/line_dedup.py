@@ -27,7 +27,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from daymill.llm.common import binary_rows, empty_like, shards_for, stage
 
 MIN_CHARS = 10
-#: Keys expected in one shard when a state is begun.
+#: Lines expected in one shard when a state is begun, at most.
 KEYS_PER_SHARD = 50_000
 SLOTS = 4
 #: Rounds of moving entries before a filter counts as full.
@@ -302,6 +302,7 @@ def drop_lines(docs: DataFrame, state: State, keys: DataFrame | None = None) ->
 def dedup(docs: DataFrame) -> DataFrame:
     """``drop_lines`` of documents against a state made of just these documents."""
     keys = stage(line_keys(docs), "line-keys")
-    shards = shards_for(keys.count(), KEYS_PER_SHARD)
-    state = insert(empty_state(docs.sparkSession, shards), docs, keys)
+    spark = docs.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    state = insert(empty_state(spark, max(least, shards_for(keys.count(), KEYS_PER_SHARD))), docs, keys)
     return drop_lines(docs, state, keys)
