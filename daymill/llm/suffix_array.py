@@ -27,15 +27,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymill.llm.common import stage, texts
+from daymill.llm.common import runs, stage, texts
 
 LENGTH = 200
 GRAM = 32
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 #: Different stretches of one bucket that a task refines together.
-TOGETHER = 20_000
+TOGETHER = 4_000
 #: Bytes of stretches refined in one go.
-REFINED_BYTES = 8 << 20
+REFINED_BYTES = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,25 +130,24 @@ def refine(data: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
 
     left: bytes from each place to the end of its string. Equal numbers mean equal bytes.
     """
-    n = len(data)
-    bucket = data.astype(np.int64)
-    bucket[left < 1] = -1
-    width = 1
+    n, width = len(data), min(GRAM, length)
+    bucket = np.full(n, -1, np.int64)
+    able = np.flatnonzero(left >= width)
+    first = gram_hashes(data) if width == GRAM else data.astype(np.uint64)
+    if width < GRAM:  # strings too short for a q-gram begin with single bytes
+        width = 1
+        able = np.flatnonzero(left >= 1)
+    _, bucket[able] = np.unique(first[able], return_inverse=True)
     while width < length:
         step = min(width, length - width)
         able = np.flatnonzero(left >= width + step)
         own = bucket[able]
-        many = np.bincount(own, minlength=1)[own] > 1 if len(own) else np.zeros(0, bool)
+        many = (np.bincount(own, minlength=1) > 1)[own]
         # a suffix alone in its bucket stays alone: it gets a number of its own above all others
         number = np.full(n, -1, np.int64)
         number[able[~many]] = n + able[~many]
         shared = able[many]
-        _, new = np.unique(bucket[shared] * np.int64(2 * n + 1) + bucket[shared + step], return_inverse=True)
-        number[shared] = new
-        # numbers are made dense again, so that two of them fit into one
-        known = number >= 0
-        if known.any():
-            _, number[known] = np.unique(number[known], return_inverse=True)
+        _, number[shared] = np.unique(bucket[shared] * np.int64(2 * n) + bucket[shared + step], return_inverse=True)
         bucket, width = number, width + step
     return bucket
 
@@ -187,6 +186,14 @@ def _refined(kinds: DataFrame, length: int) -> DataFrame:
                 out.append(pd.DataFrame({"d": d, "t": t, "low": low + a, "high": low + b}))
         return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("d", "t", "low", "high")})
 
+    def parts(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Whole buckets of about REFINED_BYTES together."""
+        starts = runs(rows["gram"].to_numpy())[:-1]
+        before = np.append(0, rows["bytes"].str.len().cumsum().to_numpy()[:-1])[starts]
+        firsts = starts[np.unique(before // REFINED_BYTES, return_index=True)[1]].tolist()
+        for a, b in zip(firsts, [*firsts[1:], len(rows)], strict=True):
+            yield rows.iloc[a:b]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for frame in frames:
@@ -196,12 +203,11 @@ def _refined(kinds: DataFrame, length: int) -> DataFrame:
                 continue
             rows = pd.concat(held, ignore_index=True)
             cut = int(np.searchsorted(rows["gram"].to_numpy(), rows["gram"].iloc[-1]))
-            if cut:
-                yield work(rows.iloc[:cut])
-                rows = rows.iloc[cut:]
+            yield from map(work, parts(rows.iloc[:cut]))
+            rows = rows.iloc[cut:]
             held, size = [rows], int(rows["bytes"].str.len().sum())
         if held:
-            yield work(pd.concat(held, ignore_index=True))
+            yield from map(work, parts(pd.concat(held, ignore_index=True)))
 
     return kinds.repartition("gram").sortWithinPartitions("gram").mapInPandas(run, "d long, t long, low long, high long")
 
@@ -249,13 +255,17 @@ def _with_bytes(docs: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for d, t, packed, cuts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text = unpack.decompress(packed)
-                rows = [{**{k: c[k] for k in ("gram", "n", "low", "many")}, "d": d, "t": t, "bytes": text[c["low"] : c["high"] + length]} for c in cuts]
-                yield pa.RecordBatch.from_pylist(rows, schema)
+            cuts, packed = batch.column(3), batch.column(2)
+            row = np.repeat(np.arange(len(batch)), np.asarray(cuts.value_lengths()))
+            fields = dict(zip(("gram", "n", "low", "high", "many"), cuts.flatten().flatten(), strict=True))
+            pieces, at, text = [], -1, b""
+            for r, a, b in zip(row.tolist(), fields["low"].to_pylist(), fields.pop("high").to_pylist(), strict=True):
+                if r != at:
+                    at, text = r, unpack.decompress(packed[r].as_py())
+                pieces.append(text[a : b + length])
+            own = {"d": batch.column(0).take(pa.array(row)), "t": batch.column(1).take(pa.array(row))}
+            yield pa.RecordBatch.from_pydict({**{c: fields[c] for c in ("gram", "n")}, **own, "low": fields["low"], "many": fields["many"], "bytes": pa.array(pieces, pa.binary())})
 
-    kinds_of = {"gram": pa.int64(), "n": pa.int64(), "d": pa.int64(), "t": pa.int64(), "low": pa.int64(), "many": pa.bool_(), "bytes": pa.binary()}
-    schema = pa.schema(list(kinds_of.items()))
     return joined.select("d", "t", "packed", "cuts").mapInArrow(run, "gram long, n long, d long, t long, low long, many boolean, bytes binary")
 
 
