@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 8 << 20
 KEPT_PIECES = 600_000
 PIECES_AT_ONCE = 50_000
+#: Marks that are looked at apart from the word before them.
+MARKS = ".,!?;:$%*&#"
 
 
 def read_tokenizer(path: str) -> str:
@@ -43,12 +45,32 @@ class Encoder:
         for token, number in vocabulary.items():
             self.bytes_of[number] = len(token)
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _learn(self, pieces: list[str]) -> None:
-        """Ids of new pieces, each with a blank in front: one run over all, cut by bytes."""
+        """Ids of new pieces, each with a blank in front.
+
+        Marks behind a letter are tokens of their own, so a word with marks has the ids of
+        the word and then those of the marks.
+        """
+        known, marked = self.known, [p for p in pieces if p[-1] in MARKS]
+        plain = [p for p in pieces if p[-1] not in MARKS]
+        words = [p.rstrip(MARKS) for p in marked]
+        plain += [p for p, w in zip(marked, words, strict=True) if not w[-1:].isalpha()]
+        self._encode_pieces(plain)
+        self._encode_pieces(list({w for w in words if w not in known and w[-1:].isalpha()}))
+        for piece, word in zip(marked, words, strict=True):
+            if word[-1:].isalpha():
+                marks = piece[len(word) :]
+                if marks not in self.marks:
+                    self.marks[marks] = self.whole(marks).tobytes()
+                known[piece] = known[word] + self.marks[marks]
+
+    def _encode_pieces(self, pieces: list[str]) -> None:
+        """One run of the library over all pieces, cut by their numbers of bytes."""
         for at in range(0, len(pieces), PIECES_AT_ONCE):
             part = pieces[at : at + PIECES_AT_ONCE]
             joined = " " + " ".join(part)
