@@ -11,7 +11,9 @@ import json
 import math
 import os
 import sys
+import tempfile
 import time
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -20,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from daymill.functions import iso_day_of_week, midpoint  # noqa: E402
-from daymill.plans import trips  # noqa: E402
-from daymill.queries import REGISTRY, daily_tables, trims  # noqa: E402
-from daymill.session import get_session  # noqa: E402
+from daymill.plans import observations, trips  # noqa: E402
+from daymill.queries import REGISTRY, daily_tables, modelling, sources, trims  # noqa: E402
+from daymill.session import clear_scratch, get_session, scratch_path  # noqa: E402
 
 HEADLINE = (
     "trips_daily",
@@ -56,8 +58,10 @@ def plain_trim(df: DataFrame, columns) -> DataFrame:
 
 
 def plain_trips_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = daily_tables.raw_trips(spark, sf_dir)
-    valid = trips.validate_trips(raw, daily_tables.TRIP_PERIOD)
+    landing, raw = daily_tables.landing_trips(spark, sf_dir), scratch_path(spark, "raw")
+    period = daily_tables.TRIP_PERIOD
+    trips.promote_trips(spark, landing, raw, period, "{source}/period={period}", missing="skip")
+    valid = trips.validate_trips(trips.read_raw_trips(spark, raw, period), period)
     # The plain form deletes every row of a constant column whose mean is inexact.
     columns = [c for c in trips.TRIMMED_COLUMNS if c != "improvement_surcharge"]
     cleaned = plain_trim(valid, columns).withColumn("date", F.to_date(trips.PICKUP))
@@ -84,7 +88,45 @@ def plain_trim_many_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_trim(lines, trims.LINE_MEASURES).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-PLAIN = {"trips_daily": plain_trips_daily, "trim_many_columns": plain_trim_many_columns}
+def plain_observations_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text read again by every action, two actions per column."""
+    template = daily_tables.landing_observations(spark, sf_dir)
+    period = daily_tables.OBSERVED_PERIOD
+    rows = observations.scan_observations(spark, template, period.years())
+    dated = observations.date_observations(rows, period)
+    kept = plain_trim(dated, (*observations.DATE_PARTS, *observations.MEASURES))
+    means = [F.mean(name).alias(f"mean_{name}") for name in observations.MEASURES]
+    return kept.groupBy("date").agg(*means).orderBy("date")
+
+
+def plain_feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volumes and days each from their own scan of the lines."""
+    zone_days, zones, _, _ = modelling.daily_tables(spark, sf_dir)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("date", F.to_date("l_shipdate"))
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    shipped = lines.join(suppliers, F.expr("l_suppkey = s_suppkey")).join(zones, F.expr("s_nationkey = zone"))
+    volumes = shipped.groupBy("boro", "date").agg(F.sum("l_quantity").alias("total_vol"))
+    days = lines.groupBy("date").agg(F.mean("l_discount").alias("mean_discount"))
+    return zone_days.join(zones, "zone", "left").join(volumes, ["boro", "date"], "left").join(days, "date", "left")
+
+
+def plain_period_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scan and one union branch per file."""
+    template, months = sources.landing_orders(spark, sf_dir)
+    frames = []
+    for month in months:
+        rows = spark.read.parquet(template.format(period=month)).withColumn("month", F.lit(month))
+        frames.append(rows.select("o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice", "month"))
+    return reduce(DataFrame.unionByName, frames)
+
+
+PLAIN = {
+    "trips_daily": plain_trips_daily,
+    "trim_many_columns": plain_trim_many_columns,
+    "observations_daily": plain_observations_daily,
+    "feature_join": plain_feature_join,
+    "period_scan": plain_period_scan,
+}
 
 
 def seconds(run, spark: SparkSession, sf_dir: str) -> float:
@@ -111,6 +153,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -124,6 +167,7 @@ def main() -> None:
         "plain": plain,
         "sf": Path(sf_dir).name.removeprefix("sf"),
     }
+    clear_scratch(spark)
     print(json.dumps(result))
     spark.stop()
 

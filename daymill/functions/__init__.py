@@ -40,11 +40,14 @@ def date_from_parts(
     """Date from text or integer parts, null where they form no date.
 
     With ``pad`` months and days of one digit are accepted; without it they must
-    already have two.
+    already have two. Longer parts form no date.
     """
     parts = [as_column(part).cast("string") for part in (year, month, day)]
     if pad:
-        parts[1:] = [F.lpad(part, 2, "0") for part in parts[1:]]
+        parts[1:] = [
+            F.when(F.length(part) == 1, F.concat(F.lit("0"), part)).otherwise(part)
+            for part in parts[1:]
+        ]
     return F.try_to_date(F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2]), "yyyy-MM-dd")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from daymill.functions import ratio
 from daymill.operators.daily import join_back
+from daymill.operators.rules import filter_dates
+from daymill.period import Period
+from daymill.sources import read_parquet, write_table
 
 
 def feature_table(
@@ -42,6 +45,38 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> PipelineMo
     return Pipeline(stages=steps).fit(df.dropna(subset=[label]).select(*features, label))
 
 
+def build_model(
+    spark: SparkSession,
+    curated: Mapping[str, str],
+    zones: DataFrame,
+    out_root: str,
+    features: Sequence[str],
+    label: str,
+    training: Period,
+    scored: Period,
+    **names: str,
+) -> dict[str, str]:
+    """Curated daily tables → feature table → regression; returns the paths written.
+
+    ``curated`` has the paths ``zone_days``, ``volumes`` and ``observations``. The model is
+    fit on the training period and applied to the other; ``features``, ``coefficients``,
+    ``scored`` and ``quality`` are written below ``out_root``. Zone-days without a feature
+    stay, with a null prediction.
+    """
+    tables = (read_parquet(spark, curated[name]) for name in ("zone_days", "volumes", "observations"))
+    zone_days, volumes, observations = tables
+    paths = {name: f"{out_root}/{name}" for name in ("features", "coefficients", "scored", "quality")}
+    joined = feature_table(zone_days, zones, volumes, observations, **names)
+    write_table(joined, paths["features"])
+    stored = read_parquet(spark, paths["features"])
+    date = names.get("date", "date")
+    model = fit_linear(filter_dates(stored, date, training), features, label)
+    write_table(coefficients(spark, model, features), paths["coefficients"])
+    write_table(score(model, filter_dates(stored, date, scored)), paths["scored"])
+    write_table(evaluate(read_parquet(spark, paths["scored"]), label), paths["quality"])
+    return paths
+
+
 def coefficients(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """``term, value``: the intercept and one row per feature."""
     line = model.stages[-1]
@@ -50,16 +85,23 @@ def coefficients(spark: SparkSession, model: PipelineModel, features: Sequence[s
     return spark.createDataFrame(rows, "term string, value double")
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Rows with a ``prediction`` column; rows lacking a feature cannot be scored and go."""
-    return model.transform(df).drop("features")
+def score(model: PipelineModel, df: DataFrame, drop_unscored: bool = False) -> DataFrame:
+    """All rows with a ``prediction``, null where a feature is missing; or only the others."""
+    assembler, line = model.stages
+    features = assembler.getInputCols()
+    terms = zip(features, line.coefficients, strict=True)
+    prediction = F.lit(float(line.intercept))
+    for name, value in terms:
+        prediction = prediction + F.col(name) * F.lit(float(value))
+    scored = df.withColumn("prediction", prediction)
+    return scored.dropna(subset=list(features)) if drop_unscored else scored
 
 
 def evaluate(scored: DataFrame, label: str) -> DataFrame:
-    """Row count, rmse, mae and r2 of the predictions, from one aggregate."""
+    """Row count, rmse, mae and r2 of rows with label and prediction, from one aggregate."""
     error = F.col(label) - F.col("prediction")
     return (
-        scored.dropna(subset=[label])
+        scored.dropna(subset=[label, "prediction"])
         .agg(
             F.count(F.lit(1)).alias("num_rows"),
             F.sqrt(F.avg(error * error)).alias("rmse"),

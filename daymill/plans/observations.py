@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from daymill.functions import date_from_parts
@@ -10,7 +12,8 @@ from daymill.operators.daily import daily_aggregate, sort_by_date
 from daymill.operators.outliers import trim_outliers
 from daymill.operators.rules import filter_dates
 from daymill.period import Period
-from daymill.sources import read_parquet, scan_text_period, write_table
+from daymill.sources import promote, read_layer, scan_text_period, write_table
+from daymill.sources.scans import PERIOD_COLUMN
 
 # --- Fixed values ---------------------------------------------------------------
 
@@ -29,16 +32,31 @@ MEASURES = (
 
 SEPARATOR = "|"
 
+SOURCE = "observations"
+
 # --------------------------------------------------------------------------------
 
 
-def scan_observations(spark: SparkSession, template: str, period: Period) -> DataFrame:
-    """The yearly text files of a period, ``{period}`` in the template standing for the year.
+RAW_TYPES = dict.fromkeys(DATE_PARTS, "string") | dict.fromkeys(MEASURES, "double")
+
+
+def scan_observations(spark: SparkSession, template: str, years: Sequence[str]) -> DataFrame:
+    """The yearly text files, ``{period}`` in the template standing for the year.
 
     Date parts stay text, since their padding matters; measures become doubles.
     """
-    types = dict.fromkeys(DATE_PARTS, "string") | dict.fromkeys(MEASURES, "double")
-    return scan_text_period(spark, template, period.years(), types, SEPARATOR)
+    return scan_text_period(spark, template, years, RAW_TYPES, SEPARATOR, stamp=PERIOD_COLUMN)
+
+
+def promote_observations(spark: SparkSession, template: str, raw_root: str, years: Sequence[str]) -> str:
+    """All rows of the yearly files into the raw layer, one folder per year; other years stay."""
+    observations = scan_observations(spark, template, years)
+    return promote(observations, raw_root, SOURCE, periods=years)
+
+
+def read_raw_observations(spark: SparkSession, raw_root: str, period: Period) -> DataFrame:
+    """Raw observations of the years a period touches."""
+    return read_layer(spark, f"{raw_root}/{SOURCE}", RAW_TYPES, period.years())
 
 
 def date_observations(observations: DataFrame, period: Period, pad: bool = True) -> DataFrame:
@@ -48,12 +66,13 @@ def date_observations(observations: DataFrame, period: Period, pad: bool = True)
     return filter_dates(typed, "date", period)
 
 
-def clean_observations(dated: DataFrame, on_null_stddev: str = "skip") -> DataFrame:
+def clean_observations(dated: DataFrame, **options) -> DataFrame:
     """Dated observations without outliers; every attribute must be present.
 
-    The date parts are trimmed along with the measures, as numbers.
+    The date parts are trimmed along with the measures, as numbers. The options are
+    those of the trim.
     """
-    return trim_outliers(dated, (*DATE_PARTS, *MEASURES), on_null_stddev=on_null_stddev)
+    return trim_outliers(dated, (*DATE_PARTS, *MEASURES), **options)
 
 
 def daily_means(cleaned: DataFrame) -> DataFrame:
@@ -63,18 +82,19 @@ def daily_means(cleaned: DataFrame) -> DataFrame:
 def build_observation_table(
     spark: SparkSession,
     template: str,
-    raw_path: str,
+    raw_root: str,
     curated_path: str,
     period: Period,
     pad: bool = True,
-    on_null_stddev: str = "skip",
+    **options,
 ) -> str:
-    """Text files → typed raw table → daily means; returns the path of the means.
+    """Text files → typed raw layer → daily means; returns the path of the means.
 
-    The text is parsed once. The trim's scans read the columns they need from Parquet.
+    The raw layer takes the whole files of the years the period touches and leaves other
+    years alone, so it serves any later period. The text is parsed once. The trim's scans
+    read the columns they need from Parquet.
     """
-    observations = scan_observations(spark, template, period)
-    write_table(date_observations(observations, period, pad), raw_path)
-    cleaned = clean_observations(read_parquet(spark, raw_path), on_null_stddev)
-    write_table(sort_by_date(daily_means(cleaned)), curated_path)
+    promote_observations(spark, template, raw_root, period.years())
+    dated = date_observations(read_raw_observations(spark, raw_root, period), period, pad)
+    write_table(sort_by_date(daily_means(clean_observations(dated, **options))), curated_path)
     return curated_path

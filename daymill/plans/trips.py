@@ -13,7 +13,7 @@ from daymill.operators.daily import add_day_of_week, daily_aggregate, sort_by_da
 from daymill.operators.outliers import trim_outliers
 from daymill.operators.rules import Rule, apply_rules, filter_span, reconcile
 from daymill.period import Period
-from daymill.sources import promote, read_layer, read_parquet, scan_period, write_table
+from daymill.sources import promote, read_layer, scan_period, write_table
 from daymill.sources.scans import PERIOD_COLUMN
 
 # --- Fixed values ---------------------------------------------------------------
@@ -169,11 +169,16 @@ def conform_trips(df: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 def scan_landing(
-    spark: SparkSession, template: str, spec: SourceSpec, period: Period, stamp: str | None = None
+    spark: SparkSession,
+    template: str,
+    spec: SourceSpec,
+    period: Period,
+    stamp: str | None = None,
+    missing: str = "error",
 ) -> DataFrame:
     """A source's monthly files, ``{period}`` in the template standing for ``YYYY-MM``."""
     return scan_period(
-        spark, template, period.months(), lambda df: conform_trips(df, spec), stamp
+        spark, template, period.months(), lambda df: conform_trips(df, spec), stamp, missing
     )
 
 
@@ -194,16 +199,16 @@ def clean_trips(
     last_day: str = "whole_day",
     enforce_total: bool = True,
     trimmed: Sequence[str] = TRIMMED_COLUMNS,
-    on_null_stddev: str = "skip",
+    **options,
 ) -> DataFrame:
     """Validated trips without outliers, dated by pickup.
 
     ``last_day="midnight", enforce_total=False`` keeps the rows a literal reading of
     the original recipe keeps: the last day is cut off at its first instant, and
-    totals are compared but not acted on.
+    totals are compared but not acted on. Further options are those of the trim.
     """
     valid = validate_trips(trips, period, last_day, enforce_total)
-    kept = trim_outliers(valid, trimmed, on_null_stddev=on_null_stddev)
+    kept = trim_outliers(valid, trimmed, **options)
     return kept.withColumn("date", F.to_date(PICKUP))
 
 
@@ -233,19 +238,23 @@ def zone_day_averages(cleaned: DataFrame) -> DataFrame:
 
 
 def promote_trips(
-    spark: SparkSession, landing_root: str, raw_root: str, period: Period
+    spark: SparkSession,
+    landing_root: str,
+    raw_root: str,
+    period: Period,
+    layout: str = "{source}/{period}.parquet",
+    missing: str = "error",
 ) -> dict[str, str]:
-    """Conform the monthly landing files of both sources into their own raw paths."""
-    return {
-        spec.name: promote(
-            scan_landing(
-                spark, f"{landing_root}/{spec.name}/{{period}}.parquet", spec, period, PERIOD_COLUMN
-            ),
-            raw_root,
-            spec.name,
-        )
-        for spec in (YELLOW, GREEN)
-    }
+    """Conform the monthly landing files of both sources into their own raw paths.
+
+    The months of the period are replaced, others stay.
+    """
+    paths = {}
+    for spec in (YELLOW, GREEN):
+        template = f"{landing_root}/{layout}".replace("{source}", spec.name)
+        rows = scan_landing(spark, template, spec, period, PERIOD_COLUMN, missing)
+        paths[spec.name] = promote(rows, raw_root, spec.name, periods=period.months())
+    return paths
 
 
 def read_raw_trips(
@@ -260,16 +269,36 @@ def read_raw_trips(
 
 
 def build_trip_tables(
-    spark: SparkSession, raw_root: str, curated_root: str, period: Period, prefix: str = "", **options
+    spark: SparkSession,
+    raw_root: str,
+    curated_root: str,
+    period: Period,
+    prefix: str = "",
+    datetime_type: str = "timestamp_ntz",
+    **options,
 ) -> tuple[str, str]:
     """Write cleaned trips and zone-day averages of a period; return their paths.
 
-    The averages are taken from the cleaned table as written, so validation and trim
-    run once. A later period is another call with its own ``period`` and ``prefix``.
+    Cleaned trips have a folder per month, and only those of the period are written. The
+    averages are taken from the cleaned table as written, so validation and trim run
+    once. A later period is another call with its own ``period`` and ``prefix``.
     """
-    cleaned_path = f"{curated_root}/{prefix}cleaned_trips"
     averages_path = f"{curated_root}/{prefix}zone_day_averages"
-    write_table(clean_trips(read_raw_trips(spark, raw_root, period), period, **options), cleaned_path)
-    averages = zone_day_averages(read_parquet(spark, cleaned_path))
+    raw = read_raw_trips(spark, raw_root, period, datetime_type)
+    cleaned = clean_trips(raw, period, **options)
+    monthly = cleaned.withColumn(PERIOD_COLUMN, F.date_format("date", "yyyy-MM"))
+    cleaned_path = promote(
+        monthly, curated_root, f"{prefix}cleaned_trips", rebalance=True, periods=period.months()
+    )
+    averages = zone_day_averages(read_cleaned_trips(spark, cleaned_path, period, datetime_type))
     write_table(sort_by_date(averages, "date", "pu_location_id"), averages_path)
     return cleaned_path, averages_path
+
+
+def read_cleaned_trips(
+    spark: SparkSession, path: str, period: Period, datetime_type: str = "timestamp_ntz"
+) -> DataFrame:
+    """Cleaned trips of the months of a period, without those of other months."""
+    measures = dict.fromkeys(("trip_time_hours", "calc_total_amount", "total_diff"), "double")
+    types = trip_types(datetime_type) | measures | {"date": "date"}
+    return read_layer(spark, path, types, period.months())

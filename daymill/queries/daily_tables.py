@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.operators.conform import SourceSpec, union_sources
+from daymill.operators.conform import union_sources
 from daymill.operators.daily import sort_by_date
 from daymill.period import Period
 from daymill.plans import observations, trips, volumes
 from daymill.queries.registry import query, rounded, rounded_sql, table, trim_sql
-from daymill.session import scratch_path
-from daymill.sources import read_parquet, write_table
+from daymill.session import clear_scratch, scratch_path
+from daymill.sources import promote, read_parquet
+from daymill.sources.scans import PERIOD_COLUMN
 
 # --- Trips ----------------------------------------------------------------------
 
@@ -43,76 +44,98 @@ GREEN_ONLY = {"ehail_fee": "CAST(NULL AS DOUBLE)", "trip_type": "l_linenumber"}
 
 
 def landing_trips(spark: SparkSession, sf_dir: str) -> str:
-    """Lines and their orders written as trips of two sources, told apart by line status.
+    """Lines and their orders as monthly trip files of two sources, told apart by line status.
 
-    Written once, so that the scans of the trim do not repeat the join.
+    Each source has its own layout: names, columns only it has, order of columns.
     """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     feed = TRIP_FEED | YELLOW_ONLY | GREEN_ONLY
-    trip_rows = lines.join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr(
+    joined = lines.join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr(
         *(f"{sql} AS {name}" for name, sql in feed.items()),
         "CASE WHEN l_linestatus = 'F' THEN 'yellow_taxi' ELSE 'green_taxi' END AS source",
+        f"date_format(o_orderdate, 'yyyy-MM') AS {PERIOD_COLUMN}",
     )
-    path = scratch_path(spark, "landing")
-    trip_rows.write.partitionBy("source").parquet(path)
-    return path
-
-
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both sources in their own layouts, conformed and united."""
-    landing = landing_trips(spark, sf_dir)
-
-    def source(spec: SourceSpec, letter: str, foreign: dict[str, str]) -> DataFrame:
-        rows = read_parquet(spark, f"{landing}/source={spec.name}").drop(*foreign)
-        return rows.withColumnsRenamed(
-            {name: f"{letter}pep_{name}_datetime" for name in ("pickup", "dropoff")}
-        )
-
-    yellow = source(trips.YELLOW, "t", GREEN_ONLY)
-    green = source(trips.GREEN, "l", YELLOW_ONLY)
-    return union_sources(
-        [
-            trips.conform_trips(yellow, trips.YELLOW),
-            trips.conform_trips(green.select(*reversed(green.columns)), trips.GREEN),
-        ]
-    )
+    both, landing = scratch_path(spark, "trips"), scratch_path(spark, "landing")
+    joined.write.partitionBy("source").parquet(both)
+    for spec, letter, foreign in ((trips.YELLOW, "t", GREEN_ONLY), (trips.GREEN, "l", YELLOW_ONLY)):
+        rows = read_parquet(spark, f"{both}/source={spec.name}").drop(*foreign)
+        rows = rows.withColumnsRenamed({n: f"{letter}pep_{n}_datetime" for n in ("pickup", "dropoff")})
+        if spec is trips.GREEN:
+            rows = rows.select(*reversed(rows.columns))
+        promote(rows, landing, spec.name, rebalance=True)
+    clear_scratch(spark, both)
+    return landing
+
+
+def trip_tables(spark: SparkSession, sf_dir: str, period: Period, **options) -> tuple[str, str]:
+    """Landing files → raw layer → cleaned trips and zone-day averages, as a user builds them."""
+    landing, raw = landing_trips(spark, sf_dir), scratch_path(spark, "raw")
+    layout = f"{{source}}/{PERIOD_COLUMN}={{period}}"
+    trips.promote_trips(spark, landing, raw, period, layout, missing="skip")
+    return trips.build_trip_tables(spark, raw, scratch_path(spark, "curated"), period, **options)
+
+
+# What the tables must hold, spelled out apart from the plan's own constants.
+TRIP_SELECT = """
+CAST(l_linenumber AS INTEGER) AS vendor_id, o_orderdate AS pep_pickup_datetime,
+l_shipdate AS pep_dropoff_datetime, l_quantity AS passenger_count,
+sqrt(o_totalprice) / l_quantity AS trip_distance, CAST(l_linenumber AS DOUBLE) AS ratecode_id,
+CAST(length(o_orderpriority) AS BIGINT) AS pu_location_id, CAST(l_suppkey AS BIGINT) AS do_location_id,
+CAST(l_linenumber AS DOUBLE) AS payment_type, sqrt(l_extendedprice) / l_quantity AS fare_amount,
+l_discount AS extra, l_tax AS mta_tax, sqrt(l_extendedprice) / l_quantity * l_discount AS tip_amount,
+sqrt(l_extendedprice) / l_quantity * l_tax AS tolls_amount, CAST(0.3 AS DOUBLE) AS improvement_surcharge,
+sqrt(l_extendedprice) / l_quantity * (1 + l_discount + l_tax) + l_quantity / 10 AS total_amount,
+l_discount * 10 AS congestion_surcharge,
+CASE WHEN l_linestatus = 'F' THEN l_tax * 20 ELSE 0 END AS airport_fee"""
+TRIP_RULES = """passenger_count > 0 AND trip_distance > 0 AND ratecode_id >= 1 AND ratecode_id <= 6
+AND payment_type >= 1 AND payment_type <= 6 AND fare_amount >= 2.5 AND extra >= 0 AND mta_tax >= 0
+AND tip_amount >= 0 AND tolls_amount >= 0 AND improvement_surcharge >= 0 AND total_amount >= 0
+AND congestion_surcharge >= 0 AND airport_fee >= 0 AND airport_fee <= 1.25"""
+TRIP_TOTAL = """fare_amount + extra + mta_tax + tip_amount + improvement_surcharge
++ congestion_surcharge + tolls_amount + airport_fee"""
+TRIP_TRIMS = (
+    "passenger_count trip_distance fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge "
+    "total_amount congestion_surcharge airport_fee trip_time_hours"
+).split()
+TRIP_MEANS = (
+    "fare_amount passenger_count trip_distance extra mta_tax tip_amount tolls_amount improvement_surcharge "
+    "congestion_surcharge airport_fee"
+).split()
+TRIP_OUTPUT = (
+    "vendor_id pep_pickup_datetime pep_dropoff_datetime passenger_count trip_distance ratecode_id "
+    "pu_location_id do_location_id payment_type fare_amount extra mta_tax tip_amount tolls_amount "
+    "improvement_surcharge total_amount congestion_surcharge airport_fee "
+    "trip_time_hours calc_total_amount total_diff date"
+).split()
 
 
 def trips_sql(period: Period, last_day: str = "whole_day", enforce_total: bool = True) -> str:
     """CTEs down to ``cleaned``, one row per cleaned trip."""
-    names = trips.SHARED_NAMES | {"pickup": trips.PICKUP, "dropoff": trips.DROPOFF}
-    columns = {names.get(name, name): sql for name, sql in TRIP_FEED.items()}
-    columns["airport_fee"] = "CASE WHEN l_linestatus = 'F' THEN l_tax * 20 ELSE 0 END"
-    types = trips.trip_types("timestamp")
-    selected = ", ".join(
-        f"CAST({columns[name]} AS {types[name]}) AS {name}" for name in trips.TRIP_COLUMNS
-    )
-    rules = " AND ".join(f"{r.column} {r.compare} {r.bound}" for r in trips.RULES)
     end = f"< '{period.day_after}'" if last_day == "whole_day" else f"<= '{period.end}'"
     tolerance = "WHERE total_diff <= 3" if enforce_total else ""
     return f"""
-WITH united AS (SELECT {selected} FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-ruled AS (SELECT * FROM united WHERE {trips.PICKUP} >= '{period.start}'
-  AND {trips.DROPOFF} {end} AND {rules}),
-timed AS (SELECT *, (floor(epoch({trips.DROPOFF})) - floor(epoch({trips.PICKUP}))) / 3600
-  AS trip_time_hours, {" + ".join(trips.TOTAL_COMPONENTS)} AS calc_total_amount FROM ruled),
+WITH united AS (SELECT {TRIP_SELECT} FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+ruled AS (SELECT * FROM united WHERE pep_pickup_datetime >= '{period.start}'
+  AND pep_dropoff_datetime {end} AND {TRIP_RULES}),
+timed AS (SELECT *, (floor(epoch(pep_dropoff_datetime)) - floor(epoch(pep_pickup_datetime))) / 3600
+  AS trip_time_hours, {TRIP_TOTAL} AS calc_total_amount FROM ruled),
 differing AS (SELECT *, round(abs(total_amount - calc_total_amount), 4) AS total_diff
   FROM timed WHERE trip_time_hours > 0.02),
 valid AS MATERIALIZED (SELECT * FROM differing {tolerance}),
-{trim_sql("valid", trips.TRIMMED_COLUMNS, "trimmed")},
-cleaned AS (SELECT *, CAST({trips.PICKUP} AS DATE) AS date FROM trimmed)"""
+{trim_sql("valid", TRIP_TRIMS, "trimmed")},
+cleaned AS (SELECT *, CAST(pep_pickup_datetime AS DATE) AS date FROM trimmed)"""
 
 
 ZONE_DAY_DIGITS = {"avg_total_amount": 6, "avg_trip_time": 6}
-ZONE_DAY_DIGITS |= {f"avg_{column}": 8 for column in trips.AVERAGED_COLUMNS}
+ZONE_DAY_DIGITS |= {f"avg_{column}": 8 for column in TRIP_MEANS}
 ZONE_DAY_DIGITS |= {"avg_amount_per_hour": 8, "daily_zone_revenue": 6}
 
 ZONE_DAY_SQL = f"""
 , daily AS (SELECT pu_location_id, date, count(*) AS num_pickups,
   avg((total_amount + calc_total_amount) / 2) AS avg_total_amount,
   avg(trip_time_hours) AS avg_trip_time,
-  {", ".join(f"avg({column}) AS avg_{column}" for column in trips.AVERAGED_COLUMNS)},
+  {", ".join(f"avg({column}) AS avg_{column}" for column in TRIP_MEANS)},
   avg((total_amount + calc_total_amount) / 2) / avg(trip_time_hours) AS avg_amount_per_hour,
   sum((total_amount + calc_total_amount) / 2) AS daily_zone_revenue
   FROM cleaned GROUP BY pu_location_id, date)
@@ -120,35 +143,32 @@ SELECT pu_location_id, date, num_pickups, {rounded_sql(ZONE_DAY_DIGITS)},
   CAST(isodow(date) AS INTEGER) AS day_of_week FROM daily"""
 
 
-@query(
-    f"{trips_sql(TRIP_PERIOD)} SELECT {', '.join(trips.TRIP_COLUMNS)}, trip_time_hours, "
-    "calc_total_amount, total_diff, date FROM cleaned"
-)
+@query(f"{trips_sql(TRIP_PERIOD)} SELECT {', '.join(TRIP_OUTPUT)} FROM cleaned")
 def trips_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.clean_trips(raw_trips(spark, sf_dir), TRIP_PERIOD)
+    path, _ = trip_tables(spark, sf_dir, TRIP_PERIOD)
+    return trips.read_cleaned_trips(spark, path, TRIP_PERIOD)
 
 
 @query(trips_sql(TRIP_PERIOD) + ZONE_DAY_SQL)
 def trips_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = trips.clean_trips(raw_trips(spark, sf_dir), TRIP_PERIOD)
-    averages = rounded(trips.zone_day_averages(cleaned), ZONE_DAY_DIGITS)
-    return sort_by_date(averages, "date", "pu_location_id")
+    _, path = trip_tables(spark, sf_dir, TRIP_PERIOD)
+    return sort_by_date(rounded(read_parquet(spark, path), ZONE_DAY_DIGITS), "date", "pu_location_id")
 
 
 @query(trips_sql(LATER_TRIP_PERIOD, "midnight", enforce_total=False) + ZONE_DAY_SQL)
 def trips_daily_later(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A later period, with totals compared but not enforced and the last day cut off."""
-    cleaned = trips.clean_trips(
-        raw_trips(spark, sf_dir), LATER_TRIP_PERIOD, last_day="midnight", enforce_total=False
-    )
-    averages = rounded(trips.zone_day_averages(cleaned), ZONE_DAY_DIGITS)
-    return sort_by_date(averages, "date", "pu_location_id")
+    options = {"prefix": "later_", "last_day": "midnight", "enforce_total": False}
+    _, path = trip_tables(spark, sf_dir, LATER_TRIP_PERIOD, **options)
+    return sort_by_date(rounded(read_parquet(spark, path), ZONE_DAY_DIGITS), "date", "pu_location_id")
 
 
 # --- Observations ---------------------------------------------------------------
 
-OBSERVED_PERIOD = Period.of("2024-01-01", "2024-01-20")
-LATER_OBSERVED_PERIOD = Period.of("2024-01-21", "2024-01-30")
+OBSERVED_PERIOD = Period.of("2024-01-01", "2025-01-20")
+FIRST_OBSERVED_PERIOD = Period.of("2024-01-01", "2024-01-20")
+LATER_OBSERVED_PERIOD = Period.of("2025-01-21", "2025-01-30")
+OBSERVED_YEARS = ("2024", "2025")
 
 READINGS = {
     "temperature": "value",
@@ -163,36 +183,56 @@ READINGS = {
 READINGS_SQL = ", ".join(f"{sql} AS {name}" for name, sql in READINGS.items())
 
 
-def observation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as observations: date parts as short text, readings as numbers or gaps."""
+def landing_observations(spark: SparkSession, sf_dir: str) -> str:
+    """Events as yearly text files, every second one moved to the next year; the path's template.
+
+    Date parts are short text, readings text with ``T`` for some gaps. The files differ in
+    the order of their columns and hold one column that nobody asks for.
+    """
     events = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").try_cast("double")
     parts = {
-        "Year": F.year("ts").cast("string"),
+        "Year": (F.year("ts") + F.col("event_id") % 2).cast("string"),
         "Month": F.month("ts").cast("string"),
         "Day": F.dayofmonth("ts").cast("string"),
+        "k": k,
     }
-    readings = [F.expr(sql).alias(name) for name, sql in READINGS.items()]
-    return events.withColumns(parts | {"k": k}).select(*parts, *readings)
+    readings = {name: F.expr(sql).cast("string").alias(name) for name, sql in READINGS.items()}
+    readings["precipitation"] = F.coalesce(readings["precipitation"], F.lit("T")).alias("precipitation")
+    feed = events.withColumns(parts).select("Year", "Month", "Day", "event_type", *readings.values())
+    root = scratch_path(spark, "landing")
+    for year, columns in zip(OBSERVED_YEARS, (feed.columns, feed.columns[::-1]), strict=True):
+        own = feed.filter(F.col("Year") == year).select(*columns)
+        own.write.csv(f"{root}/{year}.psv", header=True, sep=observations.SEPARATOR)
+    return f"{root}/{{period}}.psv"
 
 
-def observations_sql(period: Period) -> str:
-    means = ", ".join(f"round(avg({c}), 8) AS mean_{c}" for c in observations.MEASURES)
-    return f"""
+OBSERVED_SQL = f"""
 WITH parsed AS (SELECT *, CAST(props->>'$.k' AS DOUBLE) AS k FROM events),
-hourly AS (SELECT year(ts) AS Year, month(ts) AS Month, day(ts) AS Day,
-  CAST(ts AS DATE) AS date, {READINGS_SQL} FROM parsed),
+hourly AS (SELECT year(ts) + event_id % 2 AS Year, month(ts) AS Month, day(ts) AS Day,
+  make_date(year(ts) + event_id % 2, month(ts), day(ts)) AS date, {READINGS_SQL} FROM parsed)"""
+OBSERVED_TRIMS = (
+    "Year Month Day temperature dew_point_temperature station_level_pressure sea_level_pressure "
+    "wind_speed precipitation relative_humidity wet_bulb_temperature"
+).split()
+
+
+def observations_sql(period: Period) -> str:
+    means = ", ".join(f"round(avg({c}), 8) AS mean_{c}" for c in OBSERVED_TRIMS[3:])
+    return f"""{OBSERVED_SQL},
 dated AS (SELECT * FROM hourly WHERE date BETWEEN '{period.start}' AND '{period.end}'),
-{trim_sql("dated", (*observations.DATE_PARTS, *observations.MEASURES), "kept")}
+{trim_sql("dated", OBSERVED_TRIMS, "kept")}
 SELECT date, {means} FROM kept GROUP BY date"""
 
 
 def _observed(spark: SparkSession, sf_dir: str, period: Period) -> DataFrame:
-    raw = scratch_path(spark, "observations")
-    write_table(observations.date_observations(observation_feed(spark, sf_dir), period), raw)
-    cleaned = observations.clean_observations(read_parquet(spark, raw))
+    """Text files → raw layer → curated means."""
+    template, raw = landing_observations(spark, sf_dir), scratch_path(spark, "raw")
+    path = observations.build_observation_table(
+        spark, template, raw, scratch_path(spark, "curated"), period
+    )
     digits = {f"mean_{name}": 8 for name in observations.MEASURES}
-    return sort_by_date(rounded(observations.daily_means(cleaned), digits))
+    return sort_by_date(rounded(read_parquet(spark, path), digits))
 
 
 @query(observations_sql(OBSERVED_PERIOD))
@@ -205,24 +245,63 @@ def observations_daily_later(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _observed(spark, sf_dir, LATER_OBSERVED_PERIOD)
 
 
+@query(
+    f"""{OBSERVED_SQL} SELECT CAST(Year AS VARCHAR) AS Year, count(*) AS num_rows,
+    count(*) FILTER (date BETWEEN '{FIRST_OBSERVED_PERIOD.start}' AND '{FIRST_OBSERVED_PERIOD.end}'
+      OR date BETWEEN '{LATER_OBSERVED_PERIOD.start}' AND '{LATER_OBSERVED_PERIOD.end}') AS num_dated
+    FROM hourly GROUP BY 1"""
+)
+def observations_raw_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two periods built one after the other into one raw layer, which then holds both years whole."""
+    template, raw = landing_observations(spark, sf_dir), scratch_path(spark, "raw")
+    dated = []
+    for period in (FIRST_OBSERVED_PERIOD, LATER_OBSERVED_PERIOD):
+        observations.build_observation_table(
+            spark, template, raw, scratch_path(spark, "curated"), period
+        )
+    for period in (FIRST_OBSERVED_PERIOD, LATER_OBSERVED_PERIOD):
+        rows = observations.read_raw_observations(spark, raw, period)
+        dated.append(observations.date_observations(rows, period).selectExpr("CAST(int(Year) AS STRING) AS Year", "0 AS raw", "1 AS dated"))
+    whole = observations.read_raw_observations(spark, raw, OBSERVED_PERIOD)
+    rows = union_sources([whole.selectExpr("Year", "1 AS raw", "0 AS dated"), *dated])
+    return rows.groupBy("Year").agg(F.sum("raw").alias("num_rows"), F.sum("dated").alias("num_dated"))
+
+
+@query(
+    f"{OBSERVED_SQL} SELECT CAST(Year AS VARCHAR) AS period, CAST(Month AS VARCHAR) AS Month, "
+    "CAST(Day AS VARCHAR) AS Day, temperature, precipitation, wind_speed FROM hourly"
+)
+def text_period_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly text files whose headers differ, united by name, each row with its file's year."""
+    rows = observations.scan_observations(spark, landing_observations(spark, sf_dir), OBSERVED_YEARS)
+    return rows.select("period", "Month", "Day", "temperature", "precipitation", "wind_speed")
+
+
 # --- Volumes --------------------------------------------------------------------
 
+VOLUME_PERIOD = Period.of("2024-01-01", "2024-01-20")
+
 
 @query(
-    "WITH dated AS (SELECT event_type AS boro, CAST(ts AS DATE) AS date, value AS vol FROM events "
-    f"WHERE CAST(ts AS DATE) BETWEEN '{OBSERVED_PERIOD.start}' AND '{OBSERVED_PERIOD.end}'), "
+    "WITH dated AS (SELECT event_type AS boro, CAST(ts AS DATE) AS date, "
+    "CASE WHEN copy = 1 THEN value END AS vol FROM events, (SELECT unnest([1, 2]) AS copy) "
+    f"WHERE CAST(ts AS DATE) BETWEEN '{VOLUME_PERIOD.start}' AND '{VOLUME_PERIOD.end}'), "
     f"{trim_sql('dated', ['vol'], 'kept')} "
     "SELECT boro, date, round(sum(vol), 4) AS total_vol FROM kept GROUP BY boro, date"
 )
 def volumes_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text file → raw layer → curated totals; some rows have no number, some no date."""
     counts = table(spark, sf_dir, "events").select(
         F.year("ts").cast("string").alias("yr"),
         F.month("ts").cast("string").alias("m"),
         F.dayofmonth("ts").cast("string").alias("d"),
         F.col("event_type").alias("boro"),
-        F.col("value").alias("vol"),
+        F.col("value").cast("string").alias("vol"),
+    )
+    odd = counts.withColumns({"vol": F.lit("n/a")}).union(counts.withColumns({"m": F.lit("13")}))
+    landing = scratch_path(spark, "landing")
+    counts.union(odd).select("vol", "yr", "m", "d", "boro").write.csv(landing, header=True)
+    path = volumes.build_volume_table(
+        spark, landing, scratch_path(spark, "raw"), scratch_path(spark, "curated"), VOLUME_PERIOD
     )
-    raw = scratch_path(spark, "volumes")
-    write_table(volumes.date_volumes(counts, OBSERVED_PERIOD), raw)
-    totals = volumes.borough_day_volumes(volumes.clean_volumes(read_parquet(spark, raw)))
-    return sort_by_date(rounded(totals, {"total_vol": 4}), "date", "boro")
+    return sort_by_date(rounded(read_parquet(spark, path), {"total_vol": 4}), "date", "boro")

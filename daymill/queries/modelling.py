@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymill.functions import ratio
 from daymill.operators.daily import daily_aggregate
-from daymill.operators.rules import filter_dates
 from daymill.period import Period
-from daymill.plans.model import coefficients, evaluate, feature_table, fit_linear, score
+from daymill.plans.model import build_model, feature_table
 from daymill.queries.registry import query, rounded, table
-from daymill.session import scratch_path
+from daymill.session import clear_scratch, scratch_path
 from daymill.sources import read_parquet, write_table
 
 TRAINING = Period.of("1995-01-01", "1998-12-31")
@@ -19,8 +19,8 @@ FEATURES = ("total_vol", "mean_discount")
 LABEL = "avg_amount"
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as zones, regions as boroughs, order prices as amounts."""
+def daily_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    """Zone-days, zones, volumes and days: nations as zones, regions as boroughs, order prices as amounts."""
     orders = table(spark, sf_dir, "orders").withColumn("date", F.to_date("o_orderdate"))
     customers = table(spark, sf_dir, "customer")
     suppliers = table(spark, sf_dir, "supplier")
@@ -35,17 +35,38 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
         means={LABEL: "o_totalprice"},
     )
     located = suppliers.join(zones, F.expr("s_nationkey = zone"))
-    shipped = lines.join(located, F.expr("l_suppkey = s_suppkey"))
-    volumes = daily_aggregate(shipped, ["boro", "date"], sums={"total_vol": "l_quantity"})
-    days = daily_aggregate(lines, ["date"], means={"mean_discount": "l_discount"})
-    return feature_table(zone_days, zones, volumes, days, zone="zone")
+    # one pass over the lines; days are rolled up from boroughs and days
+    shipped = (
+        lines.join(located, F.expr("l_suppkey = s_suppkey"), "left")
+        .groupBy("boro", "date")
+        .agg(F.sum("l_quantity").alias("total_vol"), F.sum("l_discount").alias("d"), F.count("l_discount").alias("n"))
+    )
+    volumes = shipped.filter("boro IS NOT NULL").select("boro", "date", "total_vol")
+    days = shipped.groupBy("date").agg(ratio(F.sum("d"), F.sum("n")).alias("mean_discount"))
+    return zone_days, zones, volumes, days
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feature_table(*daily_tables(spark, sf_dir), zone="zone")
+
+
+def model(spark: SparkSession, sf_dir: str, scored: Period) -> dict[str, str]:
+    """Curated daily tables as stored, then features, model and scores from them."""
+    zone_days, zones, volumes, days = daily_tables(spark, sf_dir)
+    root = scratch_path(spark, "model")
+    curated = {"zone_days": zone_days, "volumes": volumes, "observations": days}
+    for name, df in curated.items():
+        write_table(df, f"{root}/{name}")
+    paths = {name: f"{root}/{name}" for name in curated}
+    return build_model(spark, paths, zones, root, FEATURES, LABEL, TRAINING, scored, zone="zone")
 
 
-def curated_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature table as stored, so that fitting and scoring do not repeat its joins."""
-    path = scratch_path(spark, "features")
-    write_table(features(spark, sf_dir), path)
-    return read_parquet(spark, path)
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """A small result, kept apart from the scratch it was read from, which goes."""
+    result = read_parquet(spark, path)
+    rows, schema = result.collect(), result.schema
+    clear_scratch(spark, path.rsplit("/", 1)[0])
+    return spark.createDataFrame(rows, schema)
 
 
 FEATURES_SQL = """
@@ -89,22 +110,36 @@ def feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     "UNION ALL SELECT 'mean_discount', round(b, 3) FROM line"
 )
 def linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training = filter_dates(curated_features(spark, sf_dir), "date", TRAINING)
-    model = fit_linear(training, FEATURES, LABEL)
-    return rounded(coefficients(spark, model, FEATURES), {"value": 3})
+    stored = _stored(spark, model(spark, sf_dir, LATER)["coefficients"])
+    return rounded(stored, {"value": 3})
+
+
+SCORED_SQL = f"""{FEATURES_SQL} {FIT_SQL}, scored AS (SELECT avg_amount AS y,
+  c + a * total_vol + b * mean_discount AS p FROM features, line
+  WHERE date BETWEEN '{LATER.start}' AND '{LATER.end}')"""
 
 
 @query(
-    f"{FEATURES_SQL} {FIT_SQL}, scored AS (SELECT avg_amount AS y, "
-    "c + a * total_vol + b * mean_discount AS p FROM features, line "
-    f"WHERE date BETWEEN '{LATER.start}' AND '{LATER.end}' AND total_vol IS NOT NULL "
-    "AND mean_discount IS NOT NULL) SELECT count(*) AS num_rows, "
+    f"{SCORED_SQL} SELECT count(*) AS num_rows, "
     "round(sqrt(avg((y - p) * (y - p))), 3) AS rmse, round(avg(abs(y - p)), 3) AS mae, "
-    "round(1 - avg((y - p) * (y - p)) / var_pop(y), 8) AS r2 FROM scored"
+    "round(1 - avg((y - p) * (y - p)) / var_pop(y), 8) AS r2 FROM scored WHERE p IS NOT NULL"
 )
 def linear_regression_later(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model of one period judged on a later one."""
-    table_of_features = curated_features(spark, sf_dir)
-    model = fit_linear(filter_dates(table_of_features, "date", TRAINING), FEATURES, LABEL)
-    scored = score(model, filter_dates(table_of_features, "date", LATER))
-    return rounded(evaluate(scored, LABEL), {"rmse": 3, "mae": 3, "r2": 8})
+    quality = _stored(spark, model(spark, sf_dir, LATER)["quality"])
+    return rounded(quality, {"rmse": 3, "mae": 3, "r2": 8})
+
+
+@query(
+    f"{SCORED_SQL} SELECT count(*) AS num_rows, count(p) AS num_scored, "
+    "round(avg(p), 3) AS mean_prediction FROM scored"
+)
+def score_keeps_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone-days without a feature stay, with a null prediction."""
+    scored = read_parquet(spark, model(spark, sf_dir, LATER)["scored"])
+    totals = scored.agg(
+        F.count("*").alias("num_rows"),
+        F.count("prediction").alias("num_scored"),
+        F.mean("prediction").alias("mean_prediction"),
+    )
+    return rounded(totals, {"mean_prediction": 3})

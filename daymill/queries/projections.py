@@ -153,6 +153,18 @@ def date_from_parts_as_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("o_orderkey", date_from_parts("y", "m", "d", pad=False).alias("day"))
 
 
+@query(
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders"
+)
+def date_from_long_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of three characters form no date, whatever their first two say."""
+    long_ = F.col("o_orderkey") % 2 != 0
+    parts = _order_parts(spark, sf_dir).withColumns(
+        {c: F.when(long_, F.rpad(c, 3, "3")).otherwise(F.col(c)) for c in ("m", "d")}
+    )
+    return parts.select("o_orderkey", date_from_parts("y", "m", "d").alias("day"))
+
+
 @query(
     "SELECT event_id, CAST(ts AS DATE) AS day, CAST(isodow(ts) AS INTEGER) AS day_of_week FROM events"
 )

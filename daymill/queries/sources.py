@@ -77,29 +77,27 @@ ORDER_FEED = SourceSpec(
     constants={"fee": (0, "double")},
 )
 ORDER_COLUMNS = ("order_id", "ordered_at", "o_orderstatus", "amount", "fee")
-ALL_ORDERS = Period.of("1995-01-01", "2001-08-31")
 SOME_ORDERS = Period.of("1996-11-15", "1999-02-10")
 
 
-def _landing_orders(spark: SparkSession, sf_dir: str) -> str:
-    """Monthly order files, as a feed would deliver them."""
+def landing_orders(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
+    """Monthly order files, as a feed would deliver them, and their months."""
     orders = table(spark, sf_dir, "orders")
     monthly = orders.withColumn(PERIOD_COLUMN, F.date_format("o_orderdate", "yyyy-MM"))
     path = promote(monthly, scratch_path(spark, "landing"), "orders", rebalance=True)
-    return f"{path}/{PERIOD_COLUMN}={{period}}"
+    months = read_parquet(spark, path).select(PERIOD_COLUMN).distinct().collect()
+    return f"{path}/{PERIOD_COLUMN}={{period}}", sorted(row[PERIOD_COLUMN] for row in months)
 
 
 @query(
-    "SELECT o_orderkey AS order_id, o_orderdate AS ordered_at, o_orderstatus, "
-    "o_totalprice AS amount, CAST(0 AS DOUBLE) AS fee FROM orders"
+    "SELECT o_orderkey AS order_id, o_orderdate AS ordered_at, o_orderstatus, o_totalprice AS amount, "
+    "CAST(0 AS DOUBLE) AS fee, strftime(o_orderdate, '%Y-%m') AS month FROM orders"
 )
 def period_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every monthly file, each conformed by itself."""
+    """Every monthly file, conformed, each row with its file's month."""
+    template, months = landing_orders(spark, sf_dir)
     return scan_period(
-        spark,
-        _landing_orders(spark, sf_dir),
-        ALL_ORDERS.months(),
-        lambda df: conform(df, ORDER_FEED, ORDER_COLUMNS),
+        spark, template, months, lambda df: conform(df, ORDER_FEED, ORDER_COLUMNS), stamp="month"
     )
 
 
@@ -115,3 +113,21 @@ def promote_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = raw.withColumn(PERIOD_COLUMN, F.date_format("ordered_at", "yyyy-MM"))
     path = promote(stamped, scratch_path(spark, "raw"), "orders", rebalance=True)
     return read_layer(spark, path, dict(raw.dtypes), SOME_ORDERS.months())
+
+
+@query(
+    "SELECT o_orderkey AS order_id, o_orderdate AS ordered_at, o_orderstatus, "
+    "o_totalprice AS amount, CAST(0 AS DOUBLE) AS fee FROM orders "
+    "WHERE o_orderdate < '1996-11-01' OR o_orderdate >= '1999-03-01' "
+    "OR (o_totalprice > 1000 AND (o_orderdate < '1997-01-01' OR o_orderdate >= '1997-02-01'))"
+)
+def promote_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders, then corrected files of some months, one of which has become empty."""
+    raw = conform(table(spark, sf_dir, "orders"), ORDER_FEED, ORDER_COLUMNS)
+    stamped = raw.withColumn(PERIOD_COLUMN, F.date_format("ordered_at", "yyyy-MM"))
+    root, months = scratch_path(spark, "raw"), SOME_ORDERS.months()
+    promote(stamped, root, "orders", rebalance=True)
+    named = F.col(PERIOD_COLUMN).isin(months)
+    corrected = stamped.filter(named & (F.col("amount") > 1000) & (F.col(PERIOD_COLUMN) != "1997-01"))
+    path = promote(corrected, root, "orders", rebalance=True, periods=months)
+    return read_layer(spark, path, dict(raw.dtypes))

@@ -84,3 +84,41 @@ def trim_many_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     kept = trim_outliers(lines, list(LINE_MEASURES))
     return kept.select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+SPARSE_MEASURES = {
+    "unit_price": "l_extendedprice / l_quantity",
+    "discount_money": "l_extendedprice / l_quantity * l_discount",
+    "rare": "CASE WHEN l_partkey % 10 = 0 THEN l_extendedprice / l_quantity * l_tax END",
+    "rarer": "CASE WHEN l_suppkey % 3 = 0 THEN 1000 / l_extendedprice END",
+    "l_quantity": "l_quantity",
+}
+SPARSE_SQL = ", ".join(f"{sql} AS {name}" for name, sql in SPARSE_MEASURES.items())
+
+
+@query(
+    f"WITH measures AS (SELECT l_orderkey, l_linenumber, l_partkey, {SPARSE_SQL} FROM lineitem), "
+    f"{trim_sql('measures', list(SPARSE_MEASURES), 'kept')} "
+    "SELECT l_orderkey, l_linenumber, l_partkey FROM kept"
+)
+def trim_sparse_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns without a value in most rows, behind others that lose rows."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", *(f"{s} AS {n}" for n, s in SPARSE_MEASURES.items())
+    )
+    kept = trim_outliers(lines, list(SPARSE_MEASURES))
+    return kept.select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query(
+    "WITH odd AS (SELECT event_id, CASE WHEN event_id % 100 > 2 THEN value END AS reading, "
+    f"value * value AS value_squared FROM events), {trim_sql('odd', ['value_squared', 'reading'], 'kept')} "
+    "SELECT event_id FROM kept"
+)
+def trim_non_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN and infinity count as missing values."""
+    odd = "get(array(double('NaN'), double('Infinity'), double('-Infinity')), int(event_id % 100))"
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", f"IF(event_id % 100 > 2, value, {odd}) AS reading", "value * value AS value_squared"
+    )
+    return trim_outliers(events, ["value_squared", "reading"]).select("event_id")

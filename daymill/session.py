@@ -26,9 +26,14 @@ def get_session(
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the cluster's shared folder.
+    """A fresh path in this application's scratch folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
-    Executors and driver must see the same files, so the folder is the one named
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the cluster's shared one; ``clear_scratch`` removes it.
+
+    Executors and driver must see the same files, so the shared folder is the one named
     in ``spark.checkpoint.dir``. Only a local session without that setting gets a
     folder of its own, set once and then reused.
     """
@@ -37,7 +42,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/daymill/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/daymill/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession, path: str | None = None) -> None:
+    """Remove a scratch path, or all of this application's once no result needs it any more."""
+    root = scratch_root(spark)
+    path = path or root
+    if path != root and not path.startswith(f"{root}/"):
+        raise ValueError(f"{path} is not scratch of this application")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(folder, True)
 
 
 _LOCAL_ROOT: list[str] = []

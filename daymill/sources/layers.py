@@ -14,23 +14,35 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def promote(df: DataFrame, raw_root: str, source: str, rebalance: bool = False) -> str:
+def promote(
+    df: DataFrame,
+    raw_root: str,
+    source: str,
+    rebalance: bool = False,
+    periods: Sequence[str] = (),
+) -> str:
     """Write a source's conformed rows to its own raw path, one folder per period.
 
     One job writes all periods. Periods not in ``df`` stay as they are, so a later
-    month can be added by itself. Rows read file by file are already apart by period;
-    for rows in mixed order ``rebalance`` gathers each period first, where adaptive
-    execution splits crowded periods and merges thin ones.
+    month can be added by itself; those named in ``periods`` are emptied if ``df`` has
+    no row of theirs, so a corrected file without rows leaves no old ones behind. Rows
+    read file by file are already apart by period; for rows in mixed order ``rebalance``
+    gathers each period first, where adaptive execution splits crowded periods and
+    merges thin ones.
     """
     path = f"{raw_root.rstrip('/')}/{source}"
-    if rebalance:
-        df = df.hint("rebalance", F.col(PERIOD_COLUMN))
+    rows = df.hint("rebalance", F.col(PERIOD_COLUMN)) if rebalance else df
     (
-        df.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PERIOD_COLUMN)
         .parquet(path)
     )
+    if periods:
+        brought = {row[PERIOD_COLUMN] for row in df.select(PERIOD_COLUMN).distinct().collect()}
+        nothing = df.drop(PERIOD_COLUMN).limit(0)
+        for period in sorted(set(periods) - brought):
+            write_table(nothing, f"{path}/{PERIOD_COLUMN}={period}")
     return path
 
 

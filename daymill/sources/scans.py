@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymill.operators.conform import union_sources
@@ -49,30 +51,52 @@ def scan_period(
     periods: Sequence[str],
     conform: Callable[[DataFrame], DataFrame],
     stamp: str | None = None,
+    missing: str = "error",
 ) -> DataFrame:
     """The Parquet files of the given months or years as one conformed frame.
 
     Names and types drift between the files of a feed, so each file's own schema is
     looked up. Files that agree become one scan, so the plan grows with the number of
     layouts and not of files. ``stamp`` names a column to hold the period of a row's
-    file; it keeps the files apart.
+    file, taken from the file's path. With ``missing="skip"`` periods without a file are
+    left out, as long as one has a file.
     """
+    if missing not in ("error", "skip"):
+        raise ValueError(f"missing must be 'error' or 'skip', not {missing!r}")
     paths = period_paths(template, periods)
+
+    def look_up(path: str) -> DataFrame | None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as error:
+            if missing == "skip" and error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     with ThreadPoolExecutor(max_workers=LOOKUPS_AT_ONCE) as lookups:
-        frames = dict(zip(paths, lookups.map(spark.read.parquet, paths.values()), strict=True))
-    if stamp:
-        return union_sources(
-            conform(frame).withColumn(stamp, F.lit(period)) for period, frame in frames.items()
-        )
+        found = dict(zip(paths, lookups.map(look_up, paths.values()), strict=True))
+    frames = {period: frame for period, frame in found.items() if frame is not None}
+    if not frames:
+        raise FileNotFoundError(f"no file of {template} for {', '.join(periods)}")
     layouts: dict[str, list[str]] = {}
     for period, frame in frames.items():
         layouts.setdefault(frame.schema.json(), []).append(period)
-    return union_sources(
+    scans = (
         conform(
             spark.read.schema(frames[alike[0]].schema).parquet(*(paths[period] for period in alike))
         )
         for alike in layouts.values()
     )
+    if stamp:
+        scans = (scan.withColumn(stamp, _period_of_file(template)) for scan in scans)
+    return union_sources(scans)
+
+
+def _period_of_file(template: str) -> Column:
+    """What stands for ``{period}`` in the path of a row's file."""
+    folder = next(part for part in template.split("/") if "{period}" in part)
+    before, after = map(re.escape, folder.split("{period}", 1))
+    return F.regexp_extract(F.input_file_name(), f"/{before}([^/]*?){after}(?:/|$)", 1)
 
 
 def scan_text_period(
@@ -81,7 +105,11 @@ def scan_text_period(
     periods: Sequence[str],
     types: Mapping[str, str],
     separator: str = ",",
+    stamp: str | None = None,
 ) -> DataFrame:
     """The delimited files of the given months or years, each by its own header."""
-    paths = period_paths(template, periods).values()
-    return union_sources(read_delimited(spark, path, types, separator) for path in paths)
+    frames = []
+    for period, path in period_paths(template, periods).items():
+        frame = read_delimited(spark, path, types, separator)
+        frames.append(frame.withColumn(stamp, F.lit(period)) if stamp else frame)
+    return union_sources(frames)

@@ -74,3 +74,9 @@ def test_iso_day_of_week_agrees_with_the_calendar(spark):
 def test_ratio_over_zero_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 0.0), (None, 1.0)], "a double, b double")
     assert values(df, ratio("a", "b")) == [0.5, None, None]
+
+
+def test_parts_of_three_characters_form_no_date(spark):
+    parts = spark.createDataFrame([("2023", "123", "015"), ("2023", "1", "015"), ("2023", "12", "9")], "y string, m string, d string")
+    found = parts.select(date_from_parts("y", "m", "d").alias("day")).collect()
+    assert [str(r["day"]) for r in found] == ["None", "None", "2023-12-09"]

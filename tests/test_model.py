@@ -29,10 +29,10 @@ def test_fit_is_least_squares_over_complete_rows(spark, sample):
 def test_evaluation_agrees_with_spark_ml(sample):
     df, *_ = sample
     scored = score(fit_linear(df, ["a", "b"], "y"), df)
-    assert "features" not in scored.columns and scored.count() == 201
+    assert "features" not in scored.columns and scored.count() == 202
     found = evaluate(scored, "y").first()
     assert found["num_rows"] == 200
-    known = scored.dropna(subset=["y"])
+    known = scored.dropna(subset=["y", "prediction"])
     for metric in ("rmse", "mae", "r2"):
         evaluator = RegressionEvaluator(labelCol="y", metricName=metric)
         assert found[metric] == pytest.approx(evaluator.evaluate(known))
@@ -50,3 +50,11 @@ def test_feature_table_keeps_every_zone_day(spark):
     assert (found[1]["boro"], found[1]["total_vol"], found[1]["mean_temperature"]) == ("Bronx", 70.0, 15.0)
     assert (found[2]["boro"], found[2]["total_vol"], found[2]["mean_temperature"]) == ("Queens", None, None)
     assert (found[9]["boro"], found[9]["total_vol"], found[9]["mean_temperature"]) == (None, None, 15.0)
+
+
+def test_rows_without_a_feature_stay_unscored(spark, sample):
+    model = fit_linear(sample[0], ["a", "b"], "y")
+    rows = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 2.0), (3, 1.0, None)], "id int, a double, b double")
+    scored = {r["id"]: r["prediction"] for r in score(model, rows).collect()}
+    assert scored[1] is not None and scored[2] is None and scored[3] is None
+    assert score(model, rows, drop_unscored=True).count() == 1

@@ -142,11 +142,55 @@ def test_column_without_numbers_trims_nothing(spark, caplog):
     ]
 
 
-def test_nan_behaves_as_in_a_plain_filter(spark):
+def odd_rows(spark):
+    rows = [(i, float(i)) for i in range(50)] + [(50, float("nan")), (51, float("inf")), (52, -float("inf"))]
+    return spark.createDataFrame(rows, "id int, a double").withColumn("b", F.col("a") * 2)
+
+
+def test_kept_nan_behaves_as_in_a_plain_filter(spark):
     """NaN poisons mean and deviation; only NaN then lies within the bounds."""
-    rows = [(i, float(i)) for i in range(50)] + [(50, float("nan"))]
-    df = spark.createDataFrame(rows, "id int, a double").withColumn("b", F.col("a") * 2)
-    assert kept_ids(df, ["a", "b"]) == {50}
+    df = odd_rows(spark).filter("id <= 50")
+    assert kept_ids(df, ["a", "b"], on_non_finite="keep") == {50}
+
+
+def test_nan_and_infinity_count_as_missing(spark, caplog):
+    nulls = odd_rows(spark).withColumn("a", F.when(F.col("id") < 50, F.col("a")))
+    bounds = outlier_bounds(nulls, ["a", "b"])
+    with caplog.at_level("WARNING"):
+        assert outlier_bounds(odd_rows(spark), ["a", "b"]) == bounds
+    assert "column 'a': 3 values are NaN or infinite and count as missing" in caplog.messages
+    assert kept_ids(odd_rows(spark), ["a", "b"]) == set(range(50))
+    with pytest.raises(ValueError, match="NaN or infinite"):
+        outlier_bounds(odd_rows(spark), ["a"], on_non_finite="error")
+
+
+@pytest.mark.parametrize("share", [0.05, 0.4, 3.0])
+def test_sparse_columns(spark, monkeypatch, share):
+    """Mostly empty columns before, between and after others that lose rows."""
+    monkeypatch.setattr(outliers, "CORE_SHARE", share)
+    table = heavy_tailed(21, rows=900)
+    draw = np.random.default_rng(22)
+    for column, gaps in ((1, 0.5), (2, 0.6)):
+        table[draw.random(len(table)) < gaps, column] = np.nan
+    assert kept_ids(frame(spark, table)) == brute_force(table)
+
+
+def test_the_edge_stays_small_with_a_sparse_column(spark):
+    table = heavy_tailed(23, rows=4000)[:, [2, 4, 2]]
+    table[np.random.default_rng(24).random(len(table)) < 0.9, 2] = np.nan
+    df = frame(spark, table)
+    names = COLUMNS[:3]
+    options = outliers._Options("skip", "drop")
+    measured = outliers._measure(df, names, options)
+    guesses = {c: outliers._guess(c, measured[c]) for c in names}
+    assert df.filter(~outliers._in_core(names, guesses, options)).count() < 2000
+
+
+def test_a_column_that_ends_untrimmed_keeps_its_gaps(spark):
+    """Once other columns are trimmed, one is left with a single value and trims nothing."""
+    rows = [(i, float(i % 7), None, float(i % 5)) for i in range(60)] + [(60, 1e6, 1.0, 1.0), (61, 3.0, 2.0, 1.0), (62, 3.0, None, 1e6)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double")
+    assert kept_ids(df, ["a", "b", "c"]) == set(range(60)) | {61}
 
 
 def test_nothing_stays_cached(spark):

@@ -1,6 +1,7 @@
 """The complete tables from files on disk, checked against hand-made figures."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,7 +108,7 @@ def test_trip_tables(spark, roots):
     raw, curated = roots
     assert trips.read_raw_trips(spark, raw, PERIOD).count() == 44
     cleaned_path, averages_path = trips.build_trip_tables(spark, raw, curated, PERIOD)
-    cleaned, averages = spark.read.parquet(cleaned_path), spark.read.parquet(averages_path)
+    cleaned, averages = trips.read_cleaned_trips(spark, cleaned_path, PERIOD), spark.read.parquet(averages_path)
 
     assert cleaned.count() == 34
     assert cleaned.columns == [
@@ -173,6 +174,19 @@ def test_filters_and_columns_reach_the_scans(spark, roots):
     assert "Python" not in plan
 
 
+def test_cleaned_trips_are_kept_by_month(spark, roots):
+    raw, curated = roots
+    october = Period.of("2022-10-01", "2022-10-31")
+    path, _ = trips.build_trip_tables(spark, raw, curated, PERIOD, prefix="monthly_")
+    whole = trips.read_cleaned_trips(spark, path, PERIOD).count()
+    one = trips.read_cleaned_trips(spark, path, october)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*period", plan)
+    assert 0 < one.count() < whole
+    trips.build_trip_tables(spark, raw, curated, october, prefix="monthly_")
+    assert trips.read_cleaned_trips(spark, path, PERIOD).count() == whole  # November stays
+
+
 def test_observation_table(spark, tmp_path):
     header = "Year|Month|Day|station|" + "|".join(observations.MEASURES)
 
@@ -195,6 +209,14 @@ def test_observation_table(spark, tmp_path):
     assert found[1][1] == pytest.approx(sum(11 + n % 3 for n in range(40)) / 40)
     assert daily.first()["mean_wet_bulb_temperature"] == 7.0
 
+    def raw_rows():
+        both = Period.of("2022-01-01", "2023-12-31")
+        return observations.read_raw_observations(spark, str(tmp_path / "raw"), both).count()
+
+    assert raw_rows() == len(first) + len(second)  # rows of other days and without a date as well
+    main(["observations", *folders, "--start", "2023-01-01", "--end", "2023-01-31"])
+    assert raw_rows() == len(first) + len(second)
+
 
 def test_observed_year_is_trimmed_like_a_measure(spark):
     """The single row of 2023 lies beyond the bound of the year column."""
@@ -218,5 +240,6 @@ def test_volume_table(spark, tmp_path):
     totals = spark.read.parquet(daily)
     assert dict(totals.dtypes) == {"boro": "string", "date": "date", "total_vol": "double"}
     assert totals.agg(F.sum("total_vol")).first()[0] == sum(n % 7 for n in range(60))
+    assert spark.read.parquet(str(tmp_path / "raw" / volumes.SOURCE)).count() == len(rows)
     keys = [(r["date"], r["boro"]) for r in totals.collect()]
     assert keys == sorted(keys)

@@ -1,10 +1,11 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from daymill.operators.conform import SourceSpec, conform
-from daymill.session import scratch_path
+from daymill.session import clear_scratch, scratch_path, scratch_root
 from daymill.sources import (
     period_paths,
     promote,
@@ -82,8 +83,10 @@ def test_period_scan_conforms_files_that_drift(spark, tmp_path):
     assert sorted(map(tuple, everything.collect())) == expected
     assert plan_of(everything).count("FileScan") == 2  # one per layout
     assert read(["2022-11"]).count() == 5
-    stamped = read(["2022-10", "2022-12"], stamp="period").groupBy("period").count()
-    assert sorted(map(tuple, stamped.collect())) == [("2022-10", 5), ("2022-12", 5)]
+    stamped = read(["2022-10", "2022-12"], stamp="period")
+    assert plan_of(stamped).count("FileScan") == 1
+    counts = stamped.groupBy("period").count().collect()
+    assert sorted(map(tuple, counts)) == [("2022-10", 5), ("2022-12", 5)]
 
 
 def test_missing_month_is_an_error(spark, tmp_path):
@@ -92,6 +95,17 @@ def test_missing_month_is_an_error(spark, tmp_path):
         scan_period(spark, f"{tmp_path}/{{period}}.parquet", ["2023-01"], lambda df: df)
 
 
+def test_missing_months_can_be_skipped(spark, tmp_path):
+    monthly_files(spark, tmp_path)
+    template = f"{tmp_path}/{{period}}.parquet"
+    some = scan_period(spark, template, ["2022-10", "2023-01"], lambda df: df, missing="skip")
+    assert some.count() == 5
+    with pytest.raises(FileNotFoundError):
+        scan_period(spark, template, ["2023-01"], lambda df: df, missing="skip")
+    with pytest.raises(ValueError):
+        scan_period(spark, template, ["2022-10"], lambda df: df, missing="ignore")
+
+
 TYPES = {"item": "long", "fee": "double"}
 
 
@@ -110,6 +124,16 @@ def test_promotion_keeps_sources_and_other_months(spark, tmp_path):
     assert [r["fee"] for r in read_layer(spark, b, TYPES).collect()] == [3.0] * 4
 
 
+def test_an_emptied_month_leaves_no_old_rows(spark, tmp_path):
+    rows = spark.range(8).select(
+        F.col("id").alias("item"), F.lit(1.0).alias("fee"), F.concat(F.lit("2022-1"), F.col("id") % 2).alias("period")
+    )
+    path = promote(rows, str(tmp_path / "raw"), "a")
+    promote(rows.filter("period = '2022-10' AND item > 2"), str(tmp_path / "raw"), "a", periods=["2022-10", "2022-11", "2022-12"])
+    assert sorted(r["item"] for r in read_layer(spark, path, TYPES).collect()) == [4, 6]
+    assert read_layer(spark, path, TYPES, ["2022-11", "2022-12"]).count() == 0
+
+
 def test_a_crowded_period_is_split_on_promotion(spark, tmp_path):
     """One month holds a third of all rows; rebalancing spreads it over several tasks."""
     month = F.when(F.col("id") % 3 == 0, F.lit("2022-10")).otherwise(
@@ -156,13 +180,26 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_scratch_can_be_removed(spark):
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    one, two = scratch_path(spark, "x"), scratch_path(spark, "y")
+    write_table(spark.range(3), one)
+    write_table(spark.range(3), two)
+    clear_scratch(spark, one)
+    assert not (root / one.rsplit("/", 1)[1]).exists() and read_parquet(spark, two).count() == 3
+    with pytest.raises(ValueError):
+        clear_scratch(spark, "/tmp/elsewhere")
+    clear_scratch(spark, two)
+    assert not (root / two.rsplit("/", 1)[1]).exists()
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Unset:
         def get(self, key, default):
             return default
 
-    cluster = SimpleNamespace(conf=Unset(), sparkContext=SimpleNamespace(master="yarn"))
+    cluster = SimpleNamespace(conf=Unset(), sparkContext=SimpleNamespace(master="yarn", applicationId="a"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(cluster, "x")
-    local = SimpleNamespace(conf=Unset(), sparkContext=SimpleNamespace(master="local[2]"))
+    local = SimpleNamespace(conf=Unset(), sparkContext=SimpleNamespace(master="local[2]", applicationId="a"))
     assert scratch_path(local, "x").rsplit("/", 1)[0] == scratch_path(local, "y").rsplit("/", 1)[0]
