@@ -276,15 +276,16 @@ def drop_lines(docs: DataFrame, state: State, keys: DataFrame | None = None) ->
     )
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     joined = rows.join(lost, F.col("row.doc_id") == F.col("lost_id"), "left").select(
-        "row", F.coalesce("row.text", F.lit("")).alias("text"), F.col("lost.hi").alias("hi"), F.col("lost.lo").alias("lo")
+        "row", F.col("lost.hi").alias("hi"), F.col("lost.lo").alias("lo")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, rows_ in binary_rows(batches):
+        for batch in batches:
+            rows_ = batch.column(0).field("text").cast(pa.large_binary())
             his, los = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("hi", "lo"))
             kept, n_lines, n_dropped = [], [], []
-            for text, hi, lo in zip(rows_, his, los, strict=True):
-                lines = text.split(b"\n")
+            for cell, hi, lo in zip(rows_, his, los, strict=True):
+                lines = (cell.as_py() or b"").split(b"\n")
                 stay = lines
                 if hi:
                     gone = np.column_stack([hi, lo]).astype(np.int64).tobytes()

@@ -30,7 +30,7 @@ TREE_NODES = 1024
 #: More blocks are taken once a bucket is expected to hold more nodes than this.
 BUCKET_NODES = 256
 #: Pairs of search and node looked at in one step, at most.
-PAIRS_AT_ONCE = 1 << 21
+PAIRS_AT_ONCE = 1 << 19
 
 
 # --- fingerprints ---------------------------------------------------------------------
@@ -151,14 +151,12 @@ def _links(frame: pd.DataFrame, radius: int) -> pd.DataFrame:
     seekers, tree = seekers[tree >= 0], tree[tree >= 0]
     work = np.cumsum(np.diff(tree_starts)[tree])
     cuts = np.searchsorted(work, np.arange(PAIRS_AT_ONCE, (work[-1] if len(work) else 0), PAIRS_AT_ONCE))
-    a, b = [], []
+    label = np.arange(len(fps))
     for part in np.split(np.arange(len(seekers)), cuts):
         q, node = forest.search(fps[seekers[part]], forest.roots[tree[part]], radius)
-        left, right = seekers[part][q], nodes[node]
-        other = left != right
-        a.append(left[other])
-        b.append(right[other])
-    label = smallest_reachable(len(fps), np.concatenate(a), np.concatenate(b))
+        left, right = label[seekers[part][q]], label[nodes[node]]
+        apart = left != right
+        label = smallest_reachable(len(fps), left[apart], right[apart])[label]
     moved = label != np.arange(len(fps))
     return pd.DataFrame({"a": fps[moved].view(np.int64), "b": fps[label[moved]].view(np.int64)})
 

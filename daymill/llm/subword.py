@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from daymill.llm.common import batch_of, binary_rows, texts
+from daymill.llm.common import batch_of, texts
 
 #: Bound of the sample a model is learned from: rows per class, and characters in all.
 SAMPLE_ROWS = 1500
@@ -29,7 +29,7 @@ DIMENSIONS = 12
 EPOCHS = 8
 RATE = 2.0
 #: Words whose features are kept by a worker before it starts afresh.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 _SAME, _SEEN = BUCKETS, BUCKETS + 1
 
@@ -149,9 +149,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             return float(margins32[found].sum()), len(found)
 
         vocabulary = Vocabulary(of)
-        for batch, rows in binary_rows(batches):
+        for batch in batches:
+            rows = batch.column(0).field("text").cast(pa.large_binary())
             scores = np.empty(len(rows))
-            for k, text in enumerate(rows):
+            for k, cell in enumerate(rows):
+                text = cell.as_py() or b""
                 if len(vocabulary) > KEPT_WORDS:
                     vocabulary = Vocabulary(of)
                 numbers = vocabulary.numbers(text)
@@ -166,7 +168,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 scores[k] = value / max(1, count) + bias
             yield batch_of(batch, ["row"], score=pa.array(1 / (1 + np.exp(-np.clip(scores, -50, 50)))))
 
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
     return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))
 
 
