@@ -23,6 +23,24 @@ KEPT_PIECES = 600_000
 PIECES_AT_ONCE = 50_000
 #: Marks that are looked at apart from the word before them.
 MARKS = ".,!?;:$%*&#"
+#: Letters from here on may be newer than the library's tables of characters.
+LAST_LETTER = "\u0250"
+
+
+def _byte_chars() -> np.ndarray:
+    """The character that stands for each byte in a byte-level vocabulary; a line feed stays, between words.
+
+    Printable bytes of Latin-1 stand for themselves, all others follow from U+0100 on.
+    """
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in shown]
+    chars = np.arange(256, dtype="<u4")
+    chars[others] = 256 + np.arange(len(others))
+    chars[10] = 10
+    return chars
+
+
+BYTE_CHARS = _byte_chars()
 
 
 def read_tokenizer(path: str) -> str:
@@ -37,9 +55,11 @@ def read_tokenizer(path: str) -> str:
 class Encoder:
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
@@ -70,17 +90,29 @@ class Encoder:
                 known[piece] = known[word] + self.marks[marks]
 
     def _encode_pieces(self, pieces: list[str]) -> None:
-        """One run of the library over all pieces, cut by their numbers of bytes."""
-        for at in range(0, len(pieces), PIECES_AT_ONCE):
-            part = pieces[at : at + PIECES_AT_ONCE]
-            joined = " " + " ".join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.cumsum([len(p.encode()) + 1 for p in part])
-            cuts = 4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)
-            raw, low = ids.tobytes(), 0
-            for piece, high in zip(part, cuts.tolist(), strict=True):
-                self.known[piece] = raw[low:high]
-                low = high
+        """Runs of the library over many pieces at a time, cut by their numbers of bytes.
+
+        A piece of letters is one word to the tokenizer, blank included, so its model alone
+        does; the rest goes through all of the tokenizer.
+        """
+        letters, rest = [], []
+        for p in pieces:
+            (letters if p.isalpha() and (p.isascii() or max(p) < LAST_LETTER) else rest).append(p)
+        for own, of_letters in ((letters, True), (rest, False)):
+            for at in range(0, len(own), PIECES_AT_ONCE):
+                part = own[at : at + PIECES_AT_ONCE]
+                if of_letters:
+                    raw = np.frombuffer(("\n ".join(["", *part])[1:]).encode(), np.uint8)
+                    coded = self.words.encode_batch_fast([BYTE_CHARS[raw].tobytes().decode("utf-32-le")], add_special_tokens=False)
+                else:
+                    coded = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+                ids = np.array(coded[0].ids, np.uint32)
+                ends = np.cumsum([len(p.encode()) + 1 for p in part])
+                cuts = 4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)
+                buffer, low = ids.tobytes(), 0
+                for piece, high in zip(part, cuts.tolist(), strict=True):
+                    self.known[piece] = buffer[low:high]
+                    low = high
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins, with the end as last entry."""
@@ -93,10 +125,12 @@ class Encoder:
         trimmed = pc.utf8_trim_whitespace(coded.dictionary)
         odd = np.asarray(pc.or_(pc.not_equal(trimmed, coded.dictionary), pc.equal(trimmed, ""))).astype(bool)
         values = list(map(self.known.get, pieces))
+        for k in np.flatnonzero(odd).tolist():
+            values[k] = b""
         missing = [k for k, v in enumerate(values) if v is None]
-        self._learn([pieces[k] for k in missing if not odd[k]])
+        self._learn([pieces[k] for k in missing])
         for k in missing:
-            values[k] = b"" if odd[k] else self.known[pieces[k]]
+            values[k] = self.known[pieces[k]]
         # a text's first piece has no blank in front
         first = bounds[:-1]
         leading, of = np.unique(codes[first], return_inverse=True)

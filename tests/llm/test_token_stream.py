@@ -26,7 +26,7 @@ def encoder(tokenizer):
     return Encoder(tokenizer)
 
 
-PARTS = st.sampled_from([" ", "  ", "\n", "\t", "a", "The", "é", "'s", "12", "$$", ".", ",", "!!", "é.", "12.", ").", "¼", "　", "\x1c", "\x85", "日本", "<|endoftext|>"])
+PARTS = st.sampled_from([" ", "  ", "\n", "\t", "a", "The", "é", "'s", "12", "$$", ".", ",", "!!", "é.", "12.", ").", "¼", "　", "\x1c", "\x85", "日本", "<|endoftext|>", " straße", " ñandú", " ǅa", " ɐb", "ª", "ʰ", " ÀÉ", "\u00ad"])
 
 
 @settings(max_examples=400, deadline=None)
