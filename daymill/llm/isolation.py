@@ -120,11 +120,13 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def fit(stats: DataFrame) -> Forest:
-    """A forest on the rows past the base rule, its subsamples from those with the smallest hashes."""
-    chosen = stats.filter(~base_failed()).select("doc_id", *COUNTS, *FURTHER).orderBy(F.xxhash64("doc_id"), *COUNTS).limit(TREES * ROWS_PER_TREE)
-    frame = chosen.toPandas()
-    return Forest(features({c: frame[c].to_numpy() for c in COUNTS + FURTHER}))
+def fit(stats: DataFrame, seed: int = 11) -> Forest:
+    """A forest on the rows past the base rule: on all, or on a random TREES * ROWS_PER_TREE of them (about so many)."""
+    passed, wanted = stats.filter(~base_failed()).select(*COUNTS, *FURTHER), TREES * ROWS_PER_TREE
+    n = passed.count()
+    frame = (passed.sample(wanted / n, seed) if n > wanted else passed).toPandas()
+    frame = frame.sort_values(list(frame.columns))
+    return Forest(features({c: frame[c].to_numpy() for c in COUNTS + FURTHER}), seed)
 
 
 def add_score(stats: DataFrame, forest: Forest) -> DataFrame:
