@@ -22,7 +22,7 @@ from daymill.operators.outliers import trim_outliers  # noqa: E402
 from daymill.period import Period  # noqa: E402
 from daymill.plans import trips  # noqa: E402
 from daymill.queries import daily_tables  # noqa: E402
-from daymill.session import get_session  # noqa: E402
+from daymill.session import get_session, scratch_path  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.1"
 WHOLE = Period.of("1995-01-01", "2001-12-31")
@@ -38,13 +38,17 @@ def main(scratch: str, copies: int) -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": scratch,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
     path = f"{scratch}/copies-{copies}"
     if not Path(path).exists():
         copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
-        rows = daily_tables.raw_trips(spark, SF_DIR).repartition(32).withColumn("copy", copy)
+        landing, raw = daily_tables.landing_trips(spark, SF_DIR), scratch_path(spark, "raw")
+        trips.promote_trips(spark, landing, raw, WHOLE, "{source}/period={period}", missing="skip")
+        whole = trips.read_raw_trips(spark, raw, WHOLE)
+        rows = whole.repartition(32).withColumn("copy", copy)
         longer = F.col("trip_distance") * (1 + F.col("copy") / 7)
         rows.withColumn("trip_distance", longer).drop("copy").write.parquet(path)
     table = spark.read.parquet(path)
