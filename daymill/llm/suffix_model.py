@@ -2,19 +2,20 @@
 
 A text is a start, its words and one end. A context is a sequence of up to DEPTH tokens before a
 token; a state is a context whose next-token distribution diverges enough from that of its
-suffix, which must be a state as well (the root always is). The tree grows level by level. A
-gram, context and next token, counts only if it makes up GRAM_SHARE of all tokens, so a level
-has at most 1 / GRAM_SHARE of them however large the corpus is. Grams of the first level are
-found in two passes: the first adds up hashed counters of all pairs (a fixed number), the second
-counts the pairs whose counter is high enough exactly. Longer ones must extend a counted gram
-below a state.
+suffix, which must be a state as well (the root always is). A gram, context and next token,
+counts if it occurs MIN_COUNT times, whatever the size of the corpus. The tree grows level by
+level, as tables of states and grams: a level's grams are counted exactly, dealt by their names
+after each chunk of texts added up its own; gains are sums per context.
 
 With c the count of state s, n those of its grams and r what other tokens had, the smoothed
 probability is n / (c + PRIOR) plus (r + PRIOR) / (c + PRIOR) times that of the suffix, down to
 add-one counts of single tokens at the root. A token is scored by its longest suffix that is a
-state. Words rarer than GRAM_SHARE are in no gram, so their counts only add to a score: those
-are joined, all others are looked up in the tasks.
+state. So the score is the one by single tokens, plus for each place a factor: the deepest gram
+found there, against its token at the root, times what deeper states leave to their suffix. The
+places and the part of the tree below their last token meet in one shard; frequent last tokens
+have several shards, with a copy of their part in each.
 
+Bitmaps of states and grams, of bounded size, spare places that cannot matter; the tables decide.
 Words are named by 64-bit hashes in grams and by themselves in the counts of single tokens.
 """
 
@@ -28,22 +29,28 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymill.llm.common import stage, texts
+from daymill.llm.common import shards_for, stage, texts
 
 DEPTH = 3
-GRAM_SHARE = 1e-6
-MIN_COUNT = 8
+MIN_COUNT = 4
 #: A context becomes a state if it gains so many nats, in all and per occurrence.
 MIN_EVIDENCE = 12.0
 MIN_DIVERGENCE = 0.02
 PRIOR = 1.0
-#: Hashed counters of pairs, in blocks.
-CELL_BITS, BLOCK_BITS = 24, 12
+#: Bits of a bitmap of names, between these bounds as exponents of two.
+MAP_BITS, BLOCK_BITS = (20, 27), 17
+#: Words whose counts are sent to the tasks, the most frequent ones; those of others are joined.
+HEAD_WORDS = 300_000
+#: Places of one shard, about.
+SHARD_PLACES = 2_000_000
 CHUNK_BYTES = 8 << 20
 START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: In place of a token that no state has there.
+NOTHING = np.uint64(0)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -71,16 +78,18 @@ def word_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """word, c: how often each word occurs. Counts are added up per task before they are sent."""
+    """word, name, c: how often each word occurs. Counts are added up per task before they are sent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, _, codes, words in word_chunks(batch.column(0)):
                 count = np.bincount(codes, minlength=len(words))
                 used = np.flatnonzero(count)
-                yield pa.RecordBatch.from_arrays([words.take(pa.array(used)).cast(pa.string()), pa.array(count[used])], ["word", "c"])
+                words = words.take(pa.array(used)).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([words, pa.array(word_names(words).view(np.int64)), pa.array(count[used])], ["word", "name", "c"])
 
-    return texts(docs).select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    counted = texts(docs).select("text").mapInArrow(run, "word string, name long, c long")
+    return counted.groupBy("word").agg(F.first("name").alias("name"), F.sum("c").alias("c"))
 
 
 def word_names(words: pa.Array) -> np.ndarray:
@@ -147,56 +156,6 @@ class Tree:
             open_, context = open_[longer], context[longer]
         return p
 
-    def below(self, token: np.ndarray, since: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places whose context of the deepest level is a state and could be one longer, and the longer contexts' names."""
-        open_ = np.flatnonzero(since >= 1)
-        context = np.zeros(len(open_), np.uint64)
-        for depth, level in enumerate(self.levels, 1):
-            context = mix(context, token[open_ - depth])
-            _, known = within(level.states, context)
-            known &= since[open_] > depth
-            open_, context = open_[known], context[known]
-        return open_, mix(context, token[open_ - len(self.levels) - 1])
-
-
-def _pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for low, high, row, codes, words in word_chunks(batch.column(0)):
-        token, _, since = sequences(high - low, row, word_names(words)[codes])
-        yield token, since
-
-
-def heavy_cells(docs: DataFrame, least: int) -> np.ndarray:
-    """One bit per hashed counter: whether all pairs of tokens that share it come to ``least``."""
-    cells, block = 1 << CELL_BITS, 1 << BLOCK_BITS
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.uint32)
-        for batch in batches:
-            for token, since in _pairs(batch):
-                at = np.flatnonzero(since >= 1)
-                gram = mix(mix(np.zeros(len(at), np.uint64), token[at - 1]), token[at])
-                cell, n = np.unique(gram >> np.uint64(64 - CELL_BITS), return_counts=True)
-                total[cell.astype(np.int64)] += n.astype(np.uint32)
-        if total.any():
-            kind = np.dtype("<u2") if total.max() < 1 << 16 else np.dtype("<u4")
-            for at in range(0, cells, 256 * block):
-                rows = [total[k : k + block].astype(kind).tobytes() for k in range(at, at + 256 * block, block)]
-                numbers = np.arange(at // block, at // block + 256, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(rows, pa.binary())], ["block", "counts"])
-
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(block, np.int64)
-        for raw in frame["counts"]:
-            total += np.frombuffer(raw, "<u2" if len(raw) == 2 * block else "<u4").astype(np.int64)
-        return pd.DataFrame({"block": frame["block"].iloc[:1], "flags": [np.packbits(total >= least).tobytes()]})
-
-    counted = texts(docs).select("text").mapInArrow(count, "block int, counts binary")
-    flags = counted.groupBy("block").applyInPandas(add, "block int, flags binary").collect()
-    out = np.zeros((cells // block, block // 8), np.uint8)
-    for r in flags:
-        out[r["block"]] = np.frombuffer(r["flags"], np.uint8)
-    return out.reshape(-1)
-
 
 @dataclass
 class Root:
@@ -214,71 +173,316 @@ class Root:
         return np.where(known, p[at], 1.0) if len(p) else np.ones(len(token))
 
 
-def _count_grams(docs: DataFrame, tree: Tree, root: Root, heavy: np.ndarray, least: int) -> pd.DataFrame:
-    """Grams one longer than the tree's states that come to ``least``: context, token, n, below (probability so far).
+# --- tokens by chunk ------------------------------------------------------------------
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit names and numbers in few bytes: distinct values, and codes as narrow as can be."""
+    out = []
+    for c in columns:
+        values, codes = np.unique(c, return_inverse=True)
+        kind = np.uint8 if len(values) <= 1 << 8 else np.uint16 if len(values) <= 1 << 16 else np.uint32
+        out += [pa.array(values.view(np.uint64)), pa.array(codes.astype(kind))]
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for array in out:
+        batch = pa.RecordBatch.from_arrays([array], ["v"])
+        with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+            writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(raw: bytes) -> list[np.ndarray]:
+    source, out = pa.BufferReader(raw), []
+    while source.tell() < len(raw):
+        with pa.ipc.open_stream(source) as reader:
+            out.append(reader.read_all().column(0).to_numpy())
+    return [values[codes] for values, codes in zip(out[::2], out[1::2], strict=True)]
+
+
+CHUNK_SCHEMA = "chunk long, n long, tokens binary, ids binary, sizes binary, learns binary"
 
-    Below the first level, rows with token 0 hold how often each context occurs.
-    """
-    depth = len(tree.levels) + 1
+
+def _chunk_row(chunk: int, token: np.ndarray, text: np.ndarray, ids: np.ndarray, learn: np.ndarray) -> list[pa.Array]:
+    """One row of CHUNK_SCHEMA: the tokens of some texts, each text's row, and whether to learn from it."""
+    sizes = np.bincount(text, minlength=len(ids)).astype(np.int64)
+    raw = [packed(token), ids.astype(np.int64).tobytes(), sizes.tobytes(), learn.astype(bool).tobytes()]
+    return [pa.array([x]) for x in (chunk, len(token), *raw)]
+
+
+def tokenized(docs: DataFrame) -> DataFrame:
+    """All texts by chunk, to learn from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for token, since in _pairs(batch):
-                at, context = tree.below(token, since)
-                cell = (mix(mix(np.zeros(len(token) - 1, np.uint64), token[:-1]), token[1:]) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-                often = np.append(False, heavy[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
-                if depth > 1:
-                    able = often[at - depth + 1]
-                    at, context = at[able], context[able]
-                    names, n = np.unique(context, return_counts=True)
-                    yield rows(names, np.zeros(len(names), np.uint64), n, np.zeros(len(names)))
-                able = often[at]
-                at, context = at[able], context[able]
-                _, first, n = np.unique(mix(context, token[at]), return_index=True, return_counts=True)
-                at, context = at[first], context[first]
-                yield rows(context, token[at], n, tree.probabilities(token, since, at, root.probabilities(token[at])))
-
-    def rows(context, token, n, p):
-        columns = [context.view(np.int64), token.view(np.int64), n.astype(np.int64), p]
-        return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["context", "token", "n", "below"])
-
-    counted = texts(docs).select("text").mapInArrow(run, "context long, token long, n long, below double")
-    frame = counted.groupBy("context", "token").agg(F.sum("n").alias("n"), F.max("below").alias("below")).filter(F.col("n") >= least).toPandas()
-    return frame.astype({"context": np.int64, "token": np.int64, "n": np.int64, "below": float})
+            for low, high, row, codes, words in word_chunks(batch.column(0)):
+                token, text, _ = sequences(high - low, row, word_names(words)[codes])
+                columns = _chunk_row(chunk, token, text, np.arange(high - low), np.ones(high - low))
+                yield pa.RecordBatch.from_arrays(columns, ["chunk", "n", "tokens", "ids", "sizes", "learns"])
+                chunk += 1
 
+    return texts(docs).select("text").mapInArrow(run, CHUNK_SCHEMA)
 
-def grow(docs: DataFrame, root: Root, least: int) -> Tree:
-    """The tree of ``docs``: one pass per level, and one for the counters. Every level is a bounded number of grams."""
-    tree, heavy = Tree(), heavy_cells(docs, least)
-    names = mix(np.zeros(len(root.names), np.uint64), root.names)
-    totals = pd.Series(root.counts.astype(float), names.view(np.int64))
+
+CHUNK = ["chunk", "tokens", "ids", "sizes", "learns"]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """chunk, ids of its texts, then token, text number and tokens since the start of each place, and whether to learn from it."""
+    for batch in batches:
+        for chunk, raw, ids, sizes, learn in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            size = np.frombuffer(sizes, np.int64)
+            text = np.repeat(np.arange(len(size)), size)
+            since = np.arange(len(text)) - (np.cumsum(size) - size)[text]
+            yield chunk, np.frombuffer(ids, np.int64), unpacked(raw)[0], text, since, np.frombuffer(learn, bool)[text]
+
+
+def _cut(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard with where it stands."""
+    if not len(shard):
+        return
+    order = np.argsort(shard, kind="stable")
+    numbers, first = np.unique(shard[order], return_index=True)
+    yield from zip(numbers.tolist(), np.split(order, first[1:]), strict=True)
+
+
+@dataclass
+class Bitmap:
+    """Bits of hashed names: no for a name is certain."""
+
+    bits: int
+    flags: np.ndarray
+
+    def may_have(self, names: np.ndarray) -> np.ndarray:
+        cell = (names >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (self.flags[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def bitmap(table: DataFrame, name: str) -> Bitmap:
+    bits = min(max(MAP_BITS[0], (16 * table.count()).bit_length()), MAP_BITS[1])
+
+    def pack(part: pa.Table) -> pa.Table:
+        cell = part.column("cell").to_numpy()
+        flags = np.zeros(1 << BLOCK_BITS, bool)
+        flags[cell & ((1 << BLOCK_BITS) - 1)] = True
+        return pa.table({"block": cell[:1] >> BLOCK_BITS, "flags": [np.packbits(flags).tobytes()]})
+
+    cells = table.select(F.shiftrightunsigned(name, 64 - bits).alias("cell")).distinct()
+    blocks = cells.withColumn("block", F.shiftright("cell", BLOCK_BITS)).groupBy("block").applyInArrow(pack, "block long, flags binary")
+    out = np.zeros((1 << (bits - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
+    for r in blocks.collect():
+        out[r["block"]] = np.frombuffer(r["flags"], np.uint8)
+    return Bitmap(bits, out.reshape(-1))
+
+
+# --- growing --------------------------------------------------------------------------
+
+
+def _contexts(token: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    context = np.zeros(len(at), np.uint64)
+    for k in range(1, depth + 1):
+        context = mix(context, token[at - k])
+    return context
+
+
+def _count_grams(chunks: DataFrame, depth: int, maps: list[tuple[Bitmap, Bitmap]], least: int, shards: int) -> DataFrame:
+    """context, token, suffix, last, name, n of grams with ``depth`` tokens of context that come to ``least``.
+
+    Rows with token 0 hold how often each context occurs. ``maps`` are those of the states and of the
+    grams of each level before.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, token, _, since, learn in _chunks(batches):
+            at = np.flatnonzero(learn & (since >= depth))
+            for k, (states, grams) in enumerate(maps, 1):
+                suffix = _contexts(token, at, k)
+                able = states.may_have(suffix)
+                if k == depth - 1:
+                    # the context itself must be a frequent gram, where grams of that name were counted
+                    before = at - 1
+                    counted = np.ones(len(at), bool)
+                    for j, (shorter, _) in enumerate(maps[: k - 1], 1):
+                        counted &= shorter.may_have(_contexts(token, before, j))
+                    able &= ~counted | grams.may_have(mix(_contexts(token, before, k), token[before]))
+                at = at[able]
+            context = _contexts(token, at, depth)
+            whole, first, n = np.unique(context, return_index=True, return_counts=True)
+            places, counts, kind = [at[first]], [n], [np.zeros(len(whole), np.uint64)]
+            if depth > 1:
+                seen = maps[-1][1].may_have(mix(_contexts(token, at, depth - 1), token[at]))
+                at, context = at[seen], context[seen]
+            _, first, n = np.unique(mix(context, token[at]), return_index=True, return_counts=True)
+            places, counts, kind = (np.concatenate(x) for x in ([*places, at[first]], [*counts, n], [*kind, token[at[first]]]))
+            context = _contexts(token, places, depth)
+            columns = [context, kind, _contexts(token, places, depth - 1), _contexts(token, places, 1), counts.astype(np.uint64)]
+            for shard, part in _cut((mix(context, kind) % np.uint64(shards)).astype(np.int64)):
+                yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([packed(*(c[part] for c in columns))])], ["shard", "grams"])
+
+    def add(part: pa.Table) -> pa.Table:
+        columns = [np.concatenate(x) for x in zip(*map(unpacked, part.column("grams").to_pylist()), strict=True)]
+        context, token, suffix, last, n = columns
+        name, first, same = np.unique(mix(context, token), return_index=True, return_inverse=True)
+        total = np.bincount(same, n.astype(float)).astype(np.int64)
+        often = total >= least
+        first = first[often]
+        found = [context[first], token[first], suffix[first], last[first], name[often], total[often]]
+        return pa.table([pa.array(x.view(np.int64)) for x in found], ["context", "token", "suffix", "last", "name", "n"])
+
+    dealt = chunks.select(*CHUNK).mapInArrow(deal, "shard long, grams binary")
+    return dealt.groupBy("shard").applyInArrow(add, "context long, token long, suffix long, last long, name long, n long")
+
+
+@dataclass
+class Table:
+    """A level: states (context, last, rest), grams (context, token, last, name, own, p, ratio: p against the root) and bitmaps of both."""
+
+    states: DataFrame
+    grams: DataFrame
+    maps: tuple[Bitmap, Bitmap]
+
+
+def grow_tables(chunks: DataFrame, counts: DataFrame, unit: float, least: int, shards: int) -> list[Table]:
+    """The tree's levels as tables. ``counts`` (name, c) are those of single tokens, ``unit`` what they are divided by."""
+    levels: list[Table] = []
     for depth in range(1, DEPTH + 1):
-        grams = _count_grams(docs, tree, root, heavy, least)
-        if depth > 1:
-            totals = grams[grams["token"] == 0].set_index("context")["n"].astype(float)
-            grams = grams[grams["token"] != 0]
-        grams = grams.assign(total=grams["context"].map(totals)).dropna()
-        if not len(grams):
+        grams = stage(_count_grams(chunks, depth, [x.maps for x in levels], least, shards), "suffix-grams")
+        if depth == 1:
+            root = counts.select(F.col("name").alias("token"), ((F.col("c") + 1.0) / unit).alias("below"), ((F.col("c") + 1.0) / unit).alias("root"))
+            known = grams.filter("token != 0").join(root, "token")
+        else:
+            shorter = levels[-1].grams.select(F.col("context").alias("suffix"), "token", F.col("p").alias("below"), (F.col("p") / F.col("ratio")).alias("root"))
+            known = grams.filter("token != 0").join(shorter, ["suffix", "token"])
+        known = stage(known, "suffix-grams-below")
+        listed = known.groupBy("context").agg(F.sum("n").alias("listed"))
+        totals = grams.filter("token = 0").select("context", F.col("n").cast("double").alias("c"))
+        rest = listed.join(totals, "context").select("context", "c", "listed", ((F.col("c") - F.col("listed") + PRIOR) / (F.col("c") + PRIOR)).alias("rest"))
+        p = F.col("n") / (F.col("c") + PRIOR) + F.col("rest") * F.col("below")
+        gained = stage(known.join(rest, "context").withColumn("own", F.col("n") / (F.col("c") + PRIOR)).withColumn("p", p), "suffix-gains")
+        gain = F.sum(F.col("n") * F.log(F.col("p") / F.col("below"))) + F.first(F.col("c") - F.col("listed")) * F.log(F.first("rest"))
+        by = gained.groupBy("context").agg(F.first("last").alias("last"), F.first("rest").alias("rest"), F.first("c").alias("c"), gain.alias("gain"))
+        states = stage(by.filter((F.col("gain") >= MIN_EVIDENCE) & (F.col("gain") >= MIN_DIVERGENCE * F.col("c"))).select("context", "last", "rest"), "suffix-states")
+        if states.isEmpty():
             break
-        by = grams.groupby("context")
-        c, listed = by["total"].first(), by["n"].sum()
-        rest = (c - listed + PRIOR) / (c + PRIOR)
-        p = grams["n"] / (grams["total"] + PRIOR) + grams["context"].map(rest) * grams["below"]
-        gain = (grams["n"] * np.log(p / grams["below"])).groupby(grams["context"]).sum() + (c - listed) * np.log(rest)
-        states = gain.index[(gain >= MIN_EVIDENCE) & (gain >= MIN_DIVERGENCE * c)]
-        if not len(states):
-            break
-        kept = grams[grams["context"].isin(states)]
-        grams_ = mix(kept["context"].to_numpy().view(np.uint64), kept["token"].to_numpy().view(np.uint64))
-        by_state, by_name = np.argsort(states.to_numpy().view(np.uint64)), np.argsort(grams_)
-        own = (kept["n"] / (kept["total"] + PRIOR)).to_numpy()
-        tree.levels.append(Level(states.to_numpy().view(np.uint64)[by_state], rest.loc[states].to_numpy()[by_state], grams_[by_name], own[by_name]))
+        kept = gained.join(states.select("context"), "context", "left_semi")
+        kept = stage(kept.select("context", "token", "last", "name", "own", "p", (F.col("p") / F.col("root")).alias("ratio")), "suffix-kept")
+        levels.append(Table(states, kept, (bitmap(states, "context"), bitmap(grams.filter("token != 0"), "name"))))
+    return levels
+
+
+def grow(docs: DataFrame, root: Root, least: int) -> Tree:
+    """The tree of ``docs`` in arrays, for corpora whose tree the driver can hold."""
+    spark = docs.sparkSession
+    counts = spark.createDataFrame(pd.DataFrame({"name": root.names.view(np.int64), "c": root.counts.astype(np.int64)}))
+    chunks = stage(tokenized(docs), "suffix-tokens")
+    tree = Tree()
+    for level in grow_tables(chunks, counts, float(root.tokens + root.kinds + 1), least, _shards(docs, root.tokens)):
+        states, grams = level.states.toPandas(), level.grams.toPandas()
+        state, gram = states["context"].to_numpy().view(np.uint64), grams["name"].to_numpy().view(np.uint64)
+        by_state, by_name = np.argsort(state), np.argsort(gram)
+        tree.levels.append(Level(state[by_state], states["rest"].to_numpy()[by_state], gram[by_name], grams["own"].to_numpy()[by_name]))
     return tree
 
 
+def _shards(docs: DataFrame, tokens: int) -> int:
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards_for(tokens, SHARD_PLACES))
+
+
 # --- scoring --------------------------------------------------------------------------
 
 
+def _factors(chunks: DataFrame, levels: list[Table], counts: DataFrame, tokens: int, shards: int) -> DataFrame:
+    """row, gain: the sum of the tree's factors over the places of each text, as log10."""
+    share = max(1, tokens // shards)
+    # at most about as many last tokens as there are shards have more than a shard's share
+    heavy = counts.filter(F.col("c") > share).select("name", F.least(F.lit(shards), F.ceil(F.col("c") / share)).cast("long").alias("copies")).toPandas()
+    last_names = mix(np.zeros(len(heavy), np.uint64), heavy["name"].to_numpy(np.int64).view(np.uint64))
+    order = np.argsort(last_names)
+    last_names, copies = last_names[order], heavy["copies"].to_numpy(np.int64)[order]
+    maps = [x.maps[0] for x in levels]
+
+    def copies_of(last: np.ndarray) -> np.ndarray:
+        at, known = within(last_names, last)
+        return np.where(known, copies[at], 1) if len(copies) else np.ones(len(last), np.int64)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, ids, token, text, since, _ in _chunks(batches):
+            at = np.flatnonzero(since >= 1)
+            at = at[maps[0].may_have(_contexts(token, at, 1))]
+            last = _contexts(token, at, 1)
+            near = [token[at], token[at - 1]]
+            able = np.ones(len(at), bool)
+            for depth, states in enumerate(maps[1:], 2):
+                able[able] = since[at[able]] >= depth
+                able[able] = states.may_have(_contexts(token, at[able], depth))
+                near.append(np.where(able, token[at - depth], NOTHING))
+            shard = ((last % np.uint64(shards)).astype(np.int64) + at % copies_of(last)) % shards
+            for k, part in _cut(shard):
+                raw = packed(text[at[part]].astype(np.uint64), *(x[part] for x in near))
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([chunk]), pa.array([raw])], ["shard", "chunk", "places"])
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            last = np.asarray(batch.column(0)).view(np.uint64)
+            times = copies_of(last)
+            row = np.repeat(np.arange(len(last)), times)
+            shift = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+            shard = ((last % np.uint64(shards)).astype(np.int64)[row] + shift) % shards
+            yield pa.RecordBatch.from_arrays([pa.array(shard), *(c.take(pa.array(row)) for c in batch.columns[1:])], ["shard", "kind", "name", "value"])
+
+    parts = None
+    for depth, level in enumerate(levels, 1):
+        states = level.states.select("last", F.lit(2 * depth).alias("kind"), F.col("context").alias("name"), F.log10("rest").alias("value"))
+        grams = level.grams.select("last", F.lit(2 * depth + 1).alias("kind"), "name", F.log10("ratio").alias("value"))
+        both = states.union(grams)
+        parts = both if parts is None else parts.union(both)
+    tree = parts.mapInArrow(copy, "shard long, kind int, name long, value double")
+    places = chunks.select(*CHUNK).mapInArrow(deal, "shard long, chunk long, places binary")
+    depths = len(levels)
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        kind, name = right.column("kind").to_numpy(), right.column("name").to_numpy().view(np.uint64)
+        value = right.column("value").to_numpy()
+        found = {}
+        for k in range(2, 2 * depths + 2):
+            own = np.flatnonzero(kind == k)
+            own = own[np.argsort(name[own])]
+            found[k] = name[own], value[own]
+        chunk, gains = left.column("chunk").to_pylist(), []
+        for raw in left.column("places").to_pylist():
+            text, token, *near = unpacked(raw)
+            factor = np.zeros(len(text))
+            open_, context = np.arange(len(text)), np.zeros(len(text), np.uint64)
+            for depth in range(1, depths + 1):
+                context = mix(context, near[depth - 1][open_])
+                names, rest = found[2 * depth]
+                at, known = within(names, context)
+                open_, context, at = open_[known], context[known], at[known]
+                if not len(open_):
+                    break
+                factor[open_] += rest[at]
+                names, ratio = found[2 * depth + 1]
+                at, seen = within(names, mix(context, token[open_]))
+                factor[open_[seen]] = ratio[at[seen]]
+                longer = near[depth - 1][open_] != START
+                open_, context = open_[longer], context[longer]
+            texts_, same = np.unique(text, return_inverse=True)
+            gains.append(np.array([texts_.astype(float), np.bincount(same, factor)]).tobytes())
+        return pa.table([pa.array(chunk, pa.int64()), pa.array(gains, pa.binary())], ["chunk", "gains"])
+
+    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids = np.frombuffer(right.column("ids")[0].as_py(), np.int64)
+        total = np.zeros(len(ids))
+        for raw in left.column("gains").to_pylist():
+            text, gain = np.frombuffer(raw).reshape(2, -1)
+            total[text.astype(np.int64)] += gain
+        return pa.table([pa.array(ids), pa.array(total)], ["row", "gain"])
+
+    gains = places.groupBy("shard").cogroup(tree.groupBy("shard")).applyInArrow(look, "chunk long, gains binary")
+    return gains.groupBy("chunk").cogroup(chunks.select("chunk", "ids").groupBy("chunk")).applyInArrow(add, "row long, gain double")
+
+
 def score_documents(docs: DataFrame, training: str) -> DataFrame:
     """doc_id, ``training``, n_tokens, n_known, train_tokens, base_score, score of every whole text.
 
@@ -294,59 +498,74 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
     n_texts = learned.count()
     n_words, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     train_tokens, kinds = n_words + n_texts, distinct + bool(n_texts)
-    least = max(MIN_COUNT, int(np.ceil(GRAM_SHARE * train_tokens)))
-    frequent = counted.filter(F.col("c") >= least).toPandas()
+    frequent = counted.select("word", "c").orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toPandas()
     head = pa.array(frequent["word"].to_list(), pa.large_string())
     head_counts = np.append(frequent["c"].to_numpy(np.int64), 0)
-    names = np.append(word_names(head), [START, END])
-    counts = np.append(head_counts[:-1], [n_texts, n_texts])
-    order = np.argsort(names)
-    root = Root(names[order], counts[order], train_tokens, kinds)
-    tree = grow(learned, root, least) if n_texts else Tree()
+    low_head = int(head_counts[:-1].min(initial=1))
     unit = float(np.log10(train_tokens + kinds + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, first = TaskContext.get().partitionId() << 32, TaskContext.get().partitionId() << 40
         for batch in batches:
             for low, high, row, codes, words in word_chunks(batch.column(1)):
                 n, size = high - low, max(1, len(words))
+                learn = batch.column(2).slice(low, n)
+                ids = np.arange(first, first + n)
                 c = head_counts[np.asarray(pc.fill_null(pc.index_in(words, head), len(head))).astype(np.int64)]
-                token, text, since = sequences(n, row, word_names(words)[codes])
-                own = np.flatnonzero(since)
-                p = np.log10(tree.probabilities(token, since, own, root.probabilities(token[own])))
                 known = c > 0
                 pairs, times = np.unique((row * size + codes)[~known[codes]], return_counts=True)
                 bounds = np.searchsorted(pairs // size, np.arange(n + 1)).astype(np.int32)
                 rare = words.take(pa.array(pairs % size)).cast(pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, n),
-                        batch.column(2).slice(low, n),
-                        pa.array(np.bincount(row, minlength=n)),
-                        pa.array(np.bincount(row, known[codes], n).astype(np.int64)),
-                        pa.array(np.bincount(row, np.log10(c + 1.0)[codes], n)),
-                        pa.array(np.bincount(text[own], p, n)),
-                        pa.ListArray.from_arrays(pa.array(bounds), rare),
-                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(times)),
-                    ],
-                    ["doc_id", "learn", "n_words", "n_head", "head_sum", "tree_sum", "rare", "times"],
-                )
-
-    schema = "doc_id long, learn boolean, n_words long, n_head long, head_sum double, tree_sum double, rare array<string>, times array<long>"
-    parts = stage(rows.select("doc_id", "text", "learn").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "document-words")
+                own = [
+                    batch.column(0).slice(low, n),
+                    learn,
+                    pa.array(ids),
+                    pa.array(np.bincount(row, minlength=n)),
+                    pa.array(np.bincount(row, known[codes], n).astype(np.int64)),
+                    pa.array(np.bincount(row, np.log10(c + 1.0)[codes], n)),
+                    pa.ListArray.from_arrays(pa.array(bounds), rare),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(times)),
+                ]
+                token, text, _ = sequences(n, row, word_names(words)[codes])
+                whole = _chunk_row(chunk, token, text, ids, learn.to_numpy(zero_copy_only=False))
+                names = ["doc_id", "learn", "row", "n_words", "n_head", "head_sum", "rare", "times", "chunk", "n", "tokens", "ids", "sizes", "learns"]
+                yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(n, x.type) for x in whole)], names)
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, x.type) for x in own), *whole], names)
+                chunk, first = chunk + 1, first + n
+
+    schema = "doc_id long, learn boolean, row long, n_words long, n_head long, head_sum double, rare array<string>, times array<long>, "
+    both = stage(rows.select("doc_id", "text", "learn").mapInArrow(run, schema + CHUNK_SCHEMA), "document-words")
+    parts = both.filter("chunk IS NULL").select("doc_id", "learn", "row", "n_words", "n_head", "head_sum", "rare", "times")
+    chunks = both.filter("chunk IS NOT NULL").select("n", *CHUNK)
     tail = parts.select("row", F.inline(F.arrays_zip("rare", "times"))).withColumnRenamed("rare", "word")
     found = (
-        tail.join(counted.filter(F.col("c") < least), "word")
+        tail.join(counted.filter(F.col("c") <= low_head), "word")
         .groupBy("row")
         .agg(F.sum("times").alias("n_tail"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("tail_sum"))
     )
+    gains = _gains(chunks, counted, n_texts, train_tokens, kinds)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    n_rare = F.col("n_words") - F.col("n_head")
-    return parts.drop("rare", "times").join(found, "row", "left").select(
+    base = F.col("head_sum") + zero("tail_sum") + float(np.log10(n_texts + 1)) - (F.col("n_words") + 1) * unit
+    return parts.drop("rare", "times").join(found, "row", "left").join(gains, "row", "left").select(
         "doc_id",
         F.col("learn").alias(training),
         (F.col("n_words") + 1).alias("n_tokens"),
         (F.col("n_head") + zero("n_tail") + int(bool(n_texts))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("head_sum") + zero("tail_sum") + float(np.log10(n_texts + 1)) - (F.col("n_words") + 1) * unit).alias("base_score"),
-        (F.col("tree_sum") + zero("tail_sum") - n_rare * unit).alias("score"),
+        base.alias("base_score"),
+        (base + zero("gain")).alias("score"),
     )
+
+
+def _gains(chunks: DataFrame, counted: DataFrame, n_texts: int, train_tokens: int, kinds: int) -> DataFrame:
+    """row, gain: what the tree adds to the score of each text."""
+    spark = chunks.sparkSession
+    nothing = spark.range(0).select(F.col("id").alias("row"), F.lit(0.0).alias("gain"))
+    if not n_texts:
+        return nothing
+    ends = spark.createDataFrame([(int(x.view(np.int64)), n_texts) for x in (START, END)], "name long, c long")
+    counts = counted.select("name", "c").union(ends)
+    places = chunks.agg(F.sum("n")).first()[0]
+    shards = _shards(chunks, places)
+    levels = grow_tables(chunks, counts.filter(F.col("c") >= MIN_COUNT), float(train_tokens + kinds + 1), MIN_COUNT, shards)
+    return _factors(chunks, levels, counts, train_tokens, shards) if levels else nothing

@@ -117,3 +117,13 @@ def test_held_out_texts_gain(spark):
 
 def test_no_documents(spark):
     assert suffix_model.score_documents(marked(spark, [], "true"), "training").collect() == []
+
+
+def test_a_gram_counts_alike_in_any_corpus(spark, monkeypatch):
+    monkeypatch.setattr(suffix_model, "CHUNK_BYTES", 2_000)
+    phrase = "seldom quoted passage returns"
+    own = [(k, f"{phrase} x{k}") for k in range(7)]
+    filler = [(100 + k, " ".join(f"w{(k * 37 + j * j) % 500}" for j in range(20_000))) for k in range(8)]
+    for rows in (own + filler[:1], own + filler):
+        scored = {r.doc_id: r for r in suffix_model.score_documents(marked(spark, rows, "doc_id != 0"), "training").collect()}
+        assert scored[0].score > scored[0].base_score + 6
