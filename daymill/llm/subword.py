@@ -97,6 +97,8 @@ def train(rows: list[tuple[str | None, int]], seed: int = 7) -> Model:
         rng.uniform(-1, 1, (DIMENSIONS, 2)),
         np.zeros(2),
     )
+    if not rows:
+        return Model(np.zeros_like(model.vectors), np.zeros_like(model.weights), np.zeros(2))
     vocabulary = Vocabulary(lambda w: np.array(word_features(w)))
     data = [(*document_features((t or "").encode(), vocabulary), y) for t, y in rows]
     steps = EPOCHS * len(data)
@@ -119,17 +121,22 @@ def train(rows: list[tuple[str | None, int]], seed: int = 7) -> Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str) -> list[tuple[str | None, int]]:
-    """At most SAMPLE_ROWS labelled whole texts per class, SAMPLE_CHARS characters in all, by hash of the id."""
+    """At most SAMPLE_ROWS labelled whole texts per class, SAMPLE_CHARS characters in all, by hash of the id.
+
+    A text that does not fit into what those before it left is left out alone.
+    """
     order = Window.partitionBy("y").orderBy("h", "doc_id")
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter("y IN (0, 1)")
     keyed = known.withColumn("h", F.xxhash64("doc_id"))
     few = keyed.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= SAMPLE_ROWS)
-    chosen = (
-        texts(docs)
-        .join(F.broadcast(few), "doc_id")  # at most SAMPLE_ROWS rows per class
-        .withColumn("chars", F.sum(F.length("text")).over(Window.orderBy("r", "y", "doc_id")))
-        .filter(F.col("chars") <= SAMPLE_CHARS)
-    )
+    found = texts(docs).join(F.broadcast(few.select("doc_id", "y", "r")), "doc_id")  # at most SAMPLE_ROWS rows per class
+    sizes = found.groupBy("r", "y", "doc_id").agg(F.sum(F.length("text")).alias("chars")).collect()
+    fitting, left = [], SAMPLE_CHARS
+    for s in sorted(sizes, key=lambda s: (s.r, s.y, s.doc_id)):
+        if s.chars <= left:
+            fitting.append((s.doc_id, s.y, s.r))
+            left -= s.chars
+    chosen = found.join(F.broadcast(docs.sparkSession.createDataFrame(fitting, "doc_id long, y int, r int")), ["doc_id", "y", "r"])
     rows = chosen.select("text", "y", "r").collect()
     return [(r.text, r.y) for r in sorted(rows, key=lambda r: (r.r, r.y, r.text))]
 

@@ -54,3 +54,16 @@ def test_the_sample_is_bounded(spark, monkeypatch):
     chosen = subword.sample(documents(spark, rows), labels, "quality")
     assert Counter(y for _, y in chosen) == {0: 3, 1: 3}
     assert chosen == subword.sample(documents(spark, rows), labels, "quality")
+
+
+def test_only_texts_that_do_not_fit_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(subword, "SAMPLE_CHARS", 100)
+    rows = [(k, "long " * 40 if k % 3 == 0 else f"text {k}") for k in range(1, 10)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    learned = subword.sample(documents(spark, rows), labels, "quality")
+    assert sorted(t for t, _ in learned) == sorted(t for k, t in rows if k % 3)
+
+
+def test_nothing_learned_says_half(spark):
+    scored = subword.score(documents(spark, [(1, "a clean text"), (2, "")]), subword.train([])).collect()
+    assert [r.score for r in scored] == [0.5, 0.5]
