@@ -28,7 +28,7 @@ from daymill.llm.common import shards_for, stage, texts
 from daymill.llm.tokenize import Encoder
 
 #: Nodes of the search, fillings tried per node, steps looking for one node's fillings.
-NODES = 1000
+NODES = 4000
 WIDTH = 24
 STEPS = 20_000
 #: Up to so many pieces the search decides on one sequence at a time, above on all equal ones.
