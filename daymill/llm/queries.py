@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import chat, decontaminate, isolation, line_dedup, packing, simhash_groups, subword, suffix_array, suffix_model, token_stream
+from daymill.llm import chat, clustering, compression, decontaminate, isolation, line_dedup, mixing, oracles, packing, simhash_groups, subword, suffix_array, suffix_model, token_stream
 from daymill.llm.common import fold_of, stage
 from daymill.llm.tokenize import read_tokenizer
 
@@ -108,3 +108,28 @@ def op9_bucket_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe(), capacity=1024, end_id=2)
+
+
+@query
+def op11_heap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"), "embedding", dim=64, k=16, rounds=3, scale=64, seed="1")
+
+
+ORACLES["op11_heap_clusters"] = oracles.CLUSTERS
+
+
+@query
+def op12_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.copies(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3)
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+ORACLES["op12_systematic_mix"] = oracles.MIXED
+
+
+@query
+def op13_norm_of_sum_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.compress(table(spark, sf_dir, "embeddings"), "embedding", parts=4, entries=256, rounds=4, scale=1024)
+
+
+ORACLES["op13_norm_of_sum_codes"] = oracles.CODES
