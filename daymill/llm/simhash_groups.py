@@ -266,62 +266,3 @@ def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     named = docs.filter("doc_id IS NOT NULL").join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
 
-
-# --- by similarity of the shingles themselves -----------------------------------------
-
-
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, node (name of the set), hashes (sorted, without repeats) of each text's word shingles; a shorter text is one shingle."""
-
-    def run(batches):
-        for batch, rows in binary_rows(batches):
-            sets = []
-            for text in rows:
-                words = text.lower().split()
-                parts = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False)) if len(words) > shingle else [b" ".join(words)] if words else []
-                sets.append(np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED)), np.uint64).view(np.int64)))
-            names = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
-            bounds = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            hashes = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int64), *sets])))
-            yield batch_of(batch, ["doc_id"], node=pa.array(names), hashes=hashes)
-
-    return texts(docs).mapInArrow(run, "doc_id long, node long, hashes array<long>")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those pairs (a, b) of nodes whose sets have at least this Jaccard similarity."""
-    both = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-    shared = F.size(F.array_intersect("left", "right"))
-    return both.filter(shared >= similarity * (F.size("left") + F.size("right") - shared) - 1e-9).select("a", "b")
-
-
-def keep_one_similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs``, all columns, of the smallest doc_id of each group of similar texts.
-
-    Groups are the components of all pairs whose shingle sets have at least the similarity. Such a
-    pair shares one of the first hashes of its sorted sets, one more than the share that may differ,
-    so those are the buckets and no pair is missed. Buckets first test stars, everything against
-    their smallest node; after that only pairs still in different components are tested, so large
-    groups of copies do not make all their pairs. Of rows with one doc_id one stays. Rows without
-    doc_id all stay.
-    """
-    prints = stage(shingle_sets(docs.select("doc_id", "text"), shingle), "similar-sets")
-    sets = stage(prints.groupBy("node").agg(F.first("hashes").alias("hashes")), "similar-nodes")
-    first = F.floor(F.size("hashes") * (1 - similarity) + 1e-9).cast("int") + 1
-    places = sets.select("node", F.explode(F.slice("hashes", F.lit(1), first)).alias("h"))
-    shared = places.groupBy("h").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
-    places = stage(places.join(shared.select("h", "least"), "h"), "similar-buckets")
-    stars = places.filter("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = stage(_verified(stars, sets, similarity), "similar-stars")
-    groups = components(links, "similar-links")
-    labelled = places.select("h", "node").join(groups, "node", "left").select("h", "node", F.coalesce("label", "node").alias("label"))
-    mixed = labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("h")
-    apart = stage(labelled.join(mixed, "h"), "similar-apart")
-    other = apart.select("h", F.col("node").alias("b"), F.col("label").alias("other"))
-    crossed = apart.withColumnRenamed("node", "a").join(other, "h").filter("a < b AND label != other").select("a", "b").distinct()
-    links = stage(links.union(_verified(crossed, sets, similarity)), "similar-all")
-    groups = components(links, "similar-links")
-    known = prints.select("doc_id", "node").join(groups, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"))
-    chosen = stage(known.groupBy("label").agg(F.min("doc_id").alias("doc_id")).filter("doc_id IS NOT NULL").select("doc_id").distinct(), "similar-kept")
-    named = docs.filter("doc_id IS NOT NULL").join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.filter("doc_id IS NULL"))

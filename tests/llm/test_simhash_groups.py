@@ -84,23 +84,3 @@ def test_one_of_each_group_stays(spark):
 def test_no_documents(spark):
     assert simhash_groups.group_documents(documents(spark, [])).collect() == []
     assert simhash_groups.keep_one(documents(spark, [])).collect() == []
-
-
-def test_similar_texts_are_those_of_all_pairs(spark):
-    base = prose(200, 5).split()
-    rows = [(k, " ".join([*base[: 200 - k], *prose(max(k, 1), 100 + k).split()])) for k in range(0, 60, 3)]
-    rows += [(100 + k, f"{'same old phrase again and ' * 60} {prose(30, 300 + k)}") for k in range(6)] + [(200, None), (201, ""), (202, "one"), (203, "ONE")]
-
-    def shingles(t):
-        w = (t or "").lower().split()
-        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
-    sets, label = [shingles(t) for _, t in rows], list(range(len(rows)))
-    for _ in rows:
-        for a, x in enumerate(sets):
-            for b, y in enumerate(sets):
-                if x == y or len(x & y) >= 0.8 * len(x | y):
-                    label[a] = label[b] = min(label[a], label[b])
-    kept = {r.doc_id for r in simhash_groups.keep_one_similar(documents(spark, rows)).collect()}
-    assert kept == {i for k, (i, _) in enumerate(rows) if label[k] == k}
-    assert {100 + k for k in range(6)} <= kept
