@@ -57,7 +57,7 @@ _MIX = np.uint64(0xFF51AFD7ED558CCD)
 # --- words ----------------------------------------------------------------------------
 
 
-def word_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, pa.Array]]:
+def word_chunks(column: pa.Array, lower: bool = True) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, pa.Array]]:
     """Slices of texts: first and last row, then row and word number of each word, and the distinct words."""
     column = column.cast(pa.large_string())
     group = np.cumsum(np.asarray(pc.binary_length(column)).astype(np.int64)) // CHUNK_BYTES
@@ -65,7 +65,8 @@ def word_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     for low, high in zip(cuts[:-1], cuts[1:], strict=True):
         if low == high:
             continue
-        parts = pc.ascii_split_whitespace(pc.ascii_lower(column.slice(low, high - low)))
+        part = column.slice(low, high - low)
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(part) if lower else part)
         bounds = np.asarray(parts.offsets)
         coded = parts.flatten().dictionary_encode()
         codes, words = np.asarray(coded.indices).astype(np.int64), coded.dictionary
@@ -93,7 +94,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def word_names(words: pa.Array) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words.cast(pa.large_binary()).to_pylist()), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words.cast(pa.large_binary()).to_numpy(zero_copy_only=False)), np.uint64, len(words))
 
 
 def mix(context: np.ndarray, token: np.ndarray) -> np.ndarray:

@@ -123,8 +123,10 @@ def _token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
         for batch in batches:
-            ids = [x.astype(kind).tobytes() for x in encoder.documents(batch.column(1), end_id)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            at = 0
+            for ids in encoder.arrays(batch.column(1), end_id, kind):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), ids.cast(pa.binary())], ["doc_id", "ids"])
+                at += len(ids)
 
     return texts(docs).mapInArrow(run, "doc_id long, ids binary")
 
@@ -139,7 +141,10 @@ def _counts(rows: DataFrame, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=len(total))
+            cells = batch.column(0)
+            ends = np.frombuffer(cells.buffers()[1], np.int32)[cells.offset : cells.offset + len(cells) + 1]
+            ids = np.frombuffer(cells.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(kind)
+            found = np.bincount(ids, minlength=len(total))
             found[: len(total)] += total
             total = found
         used = np.flatnonzero(total)

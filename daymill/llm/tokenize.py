@@ -114,12 +114,12 @@ class Encoder:
                     self.known[piece] = buffer[low:high]
                     low = high
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text begins, with the end as last entry."""
+    def encode(self, texts: pa.Array, end: bytes, kind: str) -> pa.Array:
+        """Ids of each text with the end behind them, as bytes of ``kind``; ``end`` and ids kept are four bytes each."""
         parts = pc.split_pattern(texts, " ")
         bounds = np.asarray(parts.offsets)
         coded = parts.flatten().dictionary_encode()
-        codes, pieces = np.asarray(coded.indices).astype(np.int64), coded.dictionary.to_pylist()
+        codes, pieces = np.asarray(coded.indices).astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > KEPT_PIECES:
             self.known.clear()
         trimmed = pc.utf8_trim_whitespace(coded.dictionary)
@@ -142,24 +142,29 @@ class Encoder:
             codes[bounds[t] : bounds[t + 1]] = empty
             codes[bounds[t]] = len(values)
             values.append(self.whole(texts[t].as_py()).tobytes())
-        values.append(b"")
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        store = np.frombuffer(b"".join(values), np.uint32)
-        starts = np.cumsum(sizes) - sizes
-        count = sizes[codes]
-        ends = np.cumsum(count)
-        take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - ends + count, count)
-        return store[take], np.append(0, ends)[bounds]
-
-    def documents(self, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
-        """Ids of each text with the end id behind them, in order."""
-        texts = texts.cast(pa.large_string())
+        values += [b"", end]
+        # one more piece behind each text, its end; then each piece's bytes are copied once
+        sizes = np.cumsum([0, *map(len, values)]) // 4
+        store = np.frombuffer(b"".join(values), "<u4").astype(kind)
+        width = store.dtype.itemsize
+        cells = pa.Array.from_buffers(pa.large_binary(), len(values), [None, pa.py_buffer(sizes * width), pa.py_buffer(store)])
+        found = cells.take(pa.array(np.insert(codes, bounds[1:], empty + 1)))
+        at = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1)[bounds + np.arange(len(bounds))]
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(at), found.buffers()[2]])
+
+    def arrays(self, texts: pa.Array, end_id: int, kind: str) -> Iterator[pa.Array]:
+        """Ids of each text with the end id behind them, as bytes of ``kind``: arrays for some texts after another, in order."""
+        texts, end = texts.cast(pa.large_string()), np.uint32(end_id).tobytes()
         sizes = np.asarray(pc.binary_length(texts)).astype(np.int64)
         group = np.cumsum(sizes) // CHUNK_BYTES
         cuts = np.flatnonzero(np.diff(group)) + 1
         for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True):
-            if low == high:
-                continue
-            ids, bounds = self.encode(texts.slice(low, high - low))
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                yield np.append(ids[a:b], np.uint32(end_id))
+            if low < high:
+                yield self.encode(texts.slice(low, high - low), end, kind)
+
+    def documents(self, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
+        """Ids of each text with the end id behind them, in order."""
+        for cells in self.arrays(texts, end_id, "<u4"):
+            ends = np.frombuffer(cells.buffers()[1], np.int64, len(cells) + 1) // 4
+            ids = np.frombuffer(cells.buffers()[2], np.uint32, ends[-1])
+            yield from (ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
