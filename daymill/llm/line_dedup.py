@@ -106,7 +106,7 @@ class Cuckoo:
         return done
 
     def insert(self, hi: np.ndarray, lo: np.ndarray) -> bool:
-        """Insert distinct new keys. False if they do not all fit; the table is then as before."""
+        """Insert an entry for each key. False if they do not all fit; the table is then as before."""
         before = self.table.copy()
         mark, bucket, _ = self.places(hi, lo)
         for turn in range(ROUNDS):
@@ -143,36 +143,19 @@ class Cuckoo:
         return done
 
 
-def load(payload: bytes | None) -> list[Cuckoo]:
-    """The filters of a shard: a full one is followed by a larger one."""
-    filters, at = [], 0
-    while payload and at < len(payload):
-        size = int.from_bytes(payload[at : at + 8], "little")
-        filters.append(Cuckoo(np.frombuffer(payload[at + 8 : at + 8 + size], np.uint16).reshape(-1, SLOTS).copy()))
-        at += 8 + size
-    return filters
+def load(payload: bytes | None) -> Cuckoo:
+    """The filter of a shard, an empty one if there is none yet."""
+    if not payload:
+        return Cuckoo.for_keys(0)
+    return Cuckoo(np.frombuffer(payload, np.uint16).reshape(-1, SLOTS).copy())
 
 
-def dump(filters: list[Cuckoo]) -> bytes:
-    return b"".join(f.table.nbytes.to_bytes(8, "little") + f.table.tobytes() for f in filters)
-
-
-def seen_and_insert(filters: list[Cuckoo], hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    """Which distinct keys may be known; the others are inserted."""
-    seen = np.zeros(len(hi), bool)
-    for f in filters:
-        seen |= f.contains(hi, lo)
-    new = ~seen
-    if new.any() and not (filters and filters[-1].insert(hi[new], lo[new])):
-        largest = max((f.table.size for f in filters), default=0)
-        size = max(int(new.sum()), largest)
-        while True:
-            filters.append(Cuckoo.for_keys(size))
-            if filters[-1].insert(hi[new], lo[new]):
-                break
-            filters.pop()
-            size *= 2
-    return seen
+def filter_of(hi: np.ndarray, lo: np.ndarray) -> Cuckoo:
+    """A filter made of these keys alone, with room for as many more."""
+    size = 2 * len(hi)
+    while not (made := Cuckoo.for_keys(size)).insert(hi, lo):
+        size = max(16, 2 * size)
+    return made
 
 
 # --- state ----------------------------------------------------------------------------
@@ -201,34 +184,79 @@ def _sharded(counted: DataFrame, shards: int) -> DataFrame:
 
 
 def _through_filters(state: State, counted: DataFrame, change, label: str) -> DataFrame:
-    """Rows of counted keys with ``seen``, and a row with the new payload for each shard."""
+    """What ``change`` says of each key, as ``answer``, beside a row with the payload of each shard it has changed."""
 
     def run(key, rows: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
-        own = load(filters["payload"].iloc[0] if len(filters) else None)
-        seen = change(own, rows["hi"].to_numpy(), rows["lo"].to_numpy())
-        out = rows.assign(seen=seen, payload=None)
-        return pd.concat([out.astype(object), pd.DataFrame([{"shard": key[0], "payload": dump(own)}])], ignore_index=True)[columns]
+        answer, payload = change(filters["payload"].iloc[0] if len(filters) else None, rows["hi"].to_numpy(), rows["lo"].to_numpy())
+        out = rows.assign(answer=answer, payload=None)[columns]
+        if payload is None:
+            return out
+        return pd.concat([out.astype(object), pd.DataFrame([{"shard": key[0], "payload": payload}])], ignore_index=True)[columns]
 
-    columns = ["shard", "hi", "lo", "refs", "owner", "seen", "payload"]
+    columns = ["shard", "hi", "lo", "refs", "owner", "answer", "payload"]
     rows = _sharded(counted, state.shards).groupBy("shard")
-    return stage(rows.cogroup(state.filters.groupBy("shard")).applyInPandas(run, _REFS + ", seen boolean, payload binary"), label)
+    return stage(rows.cogroup(state.filters.groupBy("shard")).applyInPandas(run, _REFS + ", answer boolean, payload binary"), label)
+
+
+def _ask(payload: bytes | None, hi: np.ndarray, lo: np.ndarray):
+    """Which keys may be known."""
+    return load(payload).contains(hi, lo), None
+
+
+def _put(payload: bytes | None, hi: np.ndarray, lo: np.ndarray):
+    """Enter each key; an answer of False marks a shard whose filter is full and has to be made anew."""
+    if not payload:
+        return True, filter_of(hi, lo).table.tobytes()
+    own = load(payload)
+    fits = own.insert(hi, lo)
+    return fits, own.table.tobytes() if fits else None
+
+
+def _take_out(payload: bytes | None, hi: np.ndarray, lo: np.ndarray):
+    own = load(payload)
+    return own.delete(hi, lo), own.table.tobytes()
+
+
+def _changed_filters(state: State, out: DataFrame, label: str) -> DataFrame:
+    """The filters with those shards replaced that ``out`` has a payload of."""
+    changed = out.filter("payload IS NOT NULL").select("shard", "payload")
+    return stage(state.filters.join(changed.select("shard"), "shard", "left_anti").union(changed), label)
 
 
 def insert(state: State, docs: DataFrame, keys: DataFrame | None = None) -> State:
-    """The state with these documents as well. They must not be in it yet."""
-    counted = count_keys(line_keys(docs) if keys is None else keys)
-    out = _through_filters(state, counted, seen_and_insert, "line-filters")
-    rows = out.filter("payload IS NULL").drop("payload")
-    known = rows.filter("seen").select("hi", "lo", F.col("refs").alias("more"), F.col("owner").alias("other"))
-    refs = state.refs.join(known, ["hi", "lo"], "full").select(
-        F.coalesce("shard", F.pmod(F.xxhash64("hi", "lo"), F.lit(state.shards)).cast("int")).alias("shard"),
-        "hi",
-        "lo",
-        (F.coalesce("refs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("refs"),
-        F.least("owner", "other").alias("owner"),
+    """The state with these documents as well. They must not be in it yet.
+
+    Every key in ``refs`` owns one entry of its shard's filter, also where another key has the same
+    fingerprint: a key that the filter takes for known by mistake is found missing in ``refs`` and entered.
+    """
+    counted = stage(count_keys(line_keys(docs) if keys is None else keys), "line-counts")
+    asked = _through_filters(state, counted, _ask, "line-asked")
+    maybe = asked.filter("answer").select("hi", "lo", F.col("refs").alias("more"), F.col("owner").alias("other"))
+    met = state.refs.join(maybe, ["hi", "lo"], "full").withColumn("is_new", F.col("refs").isNull())
+    met = stage(
+        met.select(
+            F.coalesce("shard", F.pmod(F.xxhash64("hi", "lo"), F.lit(state.shards)).cast("int")).alias("shard"),
+            "hi",
+            "lo",
+            (F.coalesce("refs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("refs"),
+            F.least("owner", "other").alias("owner"),
+            "is_new",
+        ),
+        "line-refs-met",
     )
-    refs = rows.filter("NOT seen").select(*state.refs.columns).union(refs)
-    return State(state.shards, stage(refs, "line-refs"), out.filter("payload IS NOT NULL").select("shard", "payload"))
+    new = asked.filter("NOT answer").select(*state.refs.columns).union(met.filter("is_new").select(*state.refs.columns))
+    refs = met.select(*state.refs.columns).union(asked.filter("NOT answer").select(*state.refs.columns))
+    put = _through_filters(state, new.select("hi", "lo", "refs", "owner"), _put, "line-put")
+    filters = _changed_filters(state, put, "line-filters")
+    full = put.filter("NOT answer").select("shard").distinct()
+    if not full.isEmpty():
+        # a full filter is made anew from the exact keys of its shard, twice as large
+        def again(key, rows: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame([{"shard": key[0], "payload": filter_of(rows["hi"].to_numpy(), rows["lo"].to_numpy()).table.tobytes()}])
+
+        made = refs.join(full, "shard", "left_semi").groupBy("shard").applyInPandas(again, _FILTERS)
+        filters = stage(filters.join(full, "shard", "left_anti").union(made), "line-filters-anew")
+    return State(state.shards, refs, filters)
 
 
 def delete(state: State, gone: DataFrame, left: DataFrame) -> State:
@@ -241,17 +269,9 @@ def delete(state: State, gone: DataFrame, left: DataFrame) -> State:
     refs = changed.filter("now > 0").join(heirs, ["hi", "lo"], "left").select(
         "shard", "hi", "lo", F.col("now").alias("refs"), F.coalesce("heir", "owner").alias("owner")
     )
-
-    def change(filters, hi, lo):
-        held = np.zeros(len(hi), bool)
-        for f in filters:
-            held[~held] = f.delete(hi[~held], lo[~held])
-        return held
-
     ended = changed.filter("now = 0").select("hi", "lo", F.lit(0).alias("refs"), "owner")
-    out = _through_filters(state, ended, change, "line-filters-less").filter("payload IS NOT NULL").select("shard", "payload")
-    untouched = state.filters.join(out.select("shard"), "shard", "left_anti")
-    return State(state.shards, stage(refs, "line-refs"), stage(untouched.union(out), "line-filters"))
+    out = _through_filters(state, ended, _take_out, "line-filters-less")
+    return State(state.shards, stage(refs, "line-refs"), _changed_filters(state, out, "line-filters"))
 
 
 # --- dropping lines -------------------------------------------------------------------
@@ -300,10 +320,17 @@ def drop_lines(docs: DataFrame, state: State, keys: DataFrame | None = None) ->
     return joined.mapInArrow(run, StructType([rows.schema["row"], StructField("text", StringType()), *counts]))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """``drop_lines`` of documents against a state made of just these documents."""
+def dedup(docs: DataFrame, batches: int = 2) -> DataFrame:
+    """``drop_lines`` of documents against a state made of just these documents, inserted in batches.
+
+    From the second batch on the filters decide which keys are looked up in the exact counts. The
+    batches are cut by a hash of the id; their number changes no result.
+    """
     keys = stage(line_keys(docs), "line-keys")
     spark = docs.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state = insert(empty_state(spark, max(least, shards_for(keys.count(), KEYS_PER_SHARD))), docs, keys)
+    state = empty_state(spark, max(least, shards_for(keys.count(), KEYS_PER_SHARD)))
+    for batch in range(batches):
+        own = keys.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == batch)
+        state = insert(state, docs, own)
     return drop_lines(docs, state, keys)

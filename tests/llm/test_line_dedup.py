@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from daymill.llm import line_dedup
-from daymill.llm.line_dedup import Cuckoo, dump, load, seen_and_insert
+from daymill.llm.line_dedup import Cuckoo, filter_of, line_key, load
 from tests.llm.helpers import awkward, collected, documents
 
 
@@ -57,7 +57,7 @@ def test_batches_and_deletions_are_reversible(spark):
     empty = line_dedup.delete(line_dedup.delete(again, docs[0], docs[1]), docs[1], docs[0].limit(0))
     assert empty.refs.collect() == []
     for row in empty.filters.collect():
-        assert not any(f.table.any() for f in load(row.payload))
+        assert not load(row.payload).table.any()
 
 
 def test_removing_the_owner_names_the_next(spark):
@@ -74,28 +74,68 @@ keys = st.lists(st.integers(-(2**63), 2**63 - 1), min_size=1, max_size=300, uniq
 @given(keys=keys)
 def test_filters_never_forget(keys):
     lo = keys * 31 + 7
-    filters = []
-    assert not seen_and_insert(filters, keys, lo)[0]
-    filters = load(dump(filters))
-    assert filters[-1].contains(keys, lo).all()
-    assert seen_and_insert(filters, keys, lo).all()
-    held = np.zeros(len(keys), bool)
-    for f in filters:
-        held[~held] = f.delete(keys[~held], lo[~held])
-    # keys that looked known at once share another key's fingerprint and were never inserted
-    assert not any(f.table.any() for f in filters)
-
-
-def test_a_full_filter_is_followed_by_another():
+    made = load(filter_of(keys, lo).table.tobytes())
+    assert made.contains(keys, lo).all()
+    assert made.delete(keys, lo).all() and not made.table.any()
+
+
+def test_few_strangers_look_known():
     rng = np.random.default_rng(5)
-    filters = []
-    for _ in range(6):
-        hi, lo = rng.integers(-(2**62), 2**62, (2, 400))
-        seen_and_insert(filters, hi, lo)
-        assert np.logical_or.reduce([f.contains(hi, lo) for f in filters]).all()
-    assert len(filters) > 1
-    false = np.logical_or.reduce([f.contains(*rng.integers(-(2**62), 2**62, (2, 5000))) for f in filters])
-    assert false.mean() < 0.01
+    made = filter_of(*rng.integers(-(2**62), 2**62, (2, 3000)))
+    assert made.contains(*rng.integers(-(2**62), 2**62, (2, 5000))).mean() < 0.01
+
+
+def colliding():
+    """Two lines that one small filter cannot tell apart."""
+    met = {}
+    for k in range(100_000):
+        line = f"line number {k}"
+        hi, lo = np.frombuffer(line_key(line.encode()), np.int64)[:, None]
+        mark, a, b = Cuckoo.for_keys(1).places(hi, lo)
+        name = (int(mark[0]), *sorted((int(a[0]), int(b[0]))))
+        if name in met:
+            return met[name], line
+        met[name] = line
+
+
+def test_lines_of_one_fingerprint_keep_their_own_entries(spark):
+    a, b = colliding()
+    first, second, third = ([(i, t)] for i, t in ((1, a), (2, b), (3, a)))
+    docs = [documents(spark, rows) for rows in (first, second, third)]
+    state = line_dedup.empty_state(spark, 1)
+    for d in docs[:2]:
+        state = line_dedup.insert(state, d)
+    assert np.count_nonzero(load(state.filters.first().payload).table) == 2
+    state = line_dedup.insert(line_dedup.delete(state, docs[1], docs[0]), docs[2])
+    assert [(r.refs, r.owner) for r in state.refs.collect()] == [(2, 1)]
+    assert answer(line_dedup.drop_lines(docs[0].union(docs[2]), state)) == sorted(plain(first + third), key=str)
+
+
+def test_a_full_filter_is_made_anew(spark):
+    batches = [[(10 * k + j, "\n".join(f"batch {k} row {j} line {n}" for n in range(60))) for j in range(3)] for k in range(3)]
+    state = line_dedup.empty_state(spark, 1)
+    for rows in batches:
+        state = line_dedup.insert(state, documents(spark, rows))
+    made = load(state.filters.first().payload)
+    assert np.count_nonzero(made.table) == state.refs.count() == 540
+    hi, lo = (np.array([r[c] for r in state.refs.collect()]) for c in ("hi", "lo"))
+    assert made.contains(hi, lo).all()
+
+
+def test_later_batches_ask_the_filters(spark, monkeypatch):
+    asked = []
+    through = line_dedup._through_filters
+
+    def counted(state, keys, change, label):
+        out = through(state, keys, change, label)
+        if change is line_dedup._ask:
+            asked.append(out.filter("answer").count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "_through_filters", counted)
+    rows = [(k, "one line for everybody\nand a second one") for k in range(20)]
+    assert answer(line_dedup.dedup(documents(spark, rows), batches=3)) == sorted(plain(rows), key=str)
+    assert asked[0] == 0 and asked[-1] == 2
 
 
 def test_insert_undoes_itself_when_full():
