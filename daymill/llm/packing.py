@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from daymill.llm.common import shards_for, stage, texts
 from daymill.llm.tokenize import Encoder
 
-#: Nodes of the search, fillings tried per node, steps looking for one node's fillings.
+#: Nodes of the search.
 NODES = 4000
-WIDTH = 24
-STEPS = 20_000
+#: Fillings of up to so many pieces are compared, with so many before them.
+COMPARED = 8
 #: Up to so many pieces the search decides on one sequence at a time, above on all equal ones.
 SINGLY = 200
 #: Pieces of one length that are ranked in one group.
@@ -72,10 +72,10 @@ def bins(solution: list[tuple[Pattern, int]]) -> int:
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """Sequences needed at least: by total, and by pieces of which no two share a sequence."""
+    """Sequences needed at least: by total, and for each k by the pieces of which no k + 1 share a sequence."""
     total = sum(x * c for x, c in counts.items())
-    halves = sum(c for x, c in counts.items() if 2 * x > capacity)
-    return max(-(-total // capacity), halves)
+    together = (-(-sum(c for x, c in counts.items() if (k + 1) * x > capacity) // k) for k in range(1, 9))
+    return max(-(-total // capacity), *together)
 
 
 def fits_into(small: tuple[int, ...], large: tuple[int, ...]) -> bool:
@@ -89,83 +89,107 @@ def fits_into(small: tuple[int, ...], large: tuple[int, ...]) -> bool:
     return False
 
 
-def fillings(counts: dict[int, int], room: int, waste: int) -> list[tuple[int, ...]]:
-    """Undominated maximal fillings of ``room`` with at most ``waste`` left over, least waste first.
+def reachable(counts: dict[int, int], lengths: list[int], room: int) -> list[int]:
+    """Per position in ``lengths`` the sums up to ``room`` that pieces from there on come to, as bits of a number."""
+    most, sums = (1 << (room + 1)) - 1, 1
+    out = [sums]
+    for x in reversed(lengths):
+        left, step = min(counts[x], room // x), 1
+        while left:
+            step = min(step, left)
+            sums |= sums << (x * step) & most
+            left, step = left - step, 2 * step
+        out.append(sums)
+    return out[::-1]
 
-    A filling is dominated if its pieces fit into the places of another one's pieces.
-    """
-    lengths = sorted((x for x in counts if x <= room and counts[x]), reverse=True)
-    smallest = lengths[-1] if lengths else room + 1
-    found: list[tuple[int, ...]] = []
-    steps = 0
-    waiting: list[tuple[int, int, tuple[int, ...]]] = [(0, room, ())]
-    while waiting and steps < STEPS and len(found) < 4 * WIDTH:
-        steps += 1
+
+def exact_fillings(counts: dict[int, int], lengths: list[int], sums: list[int], total: int) -> Iterator[tuple[int, ...]]:
+    """Every choice of pieces that comes to ``total``, long ones first; no step is taken that cannot be completed."""
+    waiting = [(0, total, ())]
+    while waiting:
         at, left, chosen = waiting.pop()
-        if left < smallest:
-            if left <= waste:
-                found.append(chosen)
+        if not left:
+            yield chosen
             continue
         follow = []
         for k in range(at, len(lengths)):
+            if not sums[k] >> left & 1:
+                break
             x = lengths[k]
-            if x <= left and chosen.count(x) < counts[x]:
-                follow.append((k, left - x, (*chosen, x)))
-                if len(follow) == WIDTH:
-                    break
-        if not follow and left <= waste:
-            found.append(chosen)
+            used = chosen.count(x)
+            for copies in range(1, min(counts[x] - used, left // x) + 1):
+                if sums[k + 1] >> (left - copies * x) & 1:
+                    follow.append((k + 1, left - copies * x, chosen + (x,) * copies))
         waiting.extend(reversed(follow))
-    found.sort(key=lambda f: (-sum(f), len(f), f))
-    kept: list[tuple[int, ...]] = []
-    for f in found:
-        if len(kept) == WIDTH:
-            break
-        if not any(len(f) <= 8 and fits_into(f, g) for g in kept):
-            kept.append(f)
-    return kept
+
+
+def fillings(counts: dict[int, int], room: int, waste: int) -> Iterator[tuple[int, ...]]:
+    """Undominated maximal fillings of ``room`` with at most ``waste`` left over, least waste first, one at a time.
+
+    A filling is dominated if its pieces fit into the places of another one's pieces. Sums that no
+    pieces come to are known beforehand, so the pieces that close a sequence are found at once.
+    """
+    lengths = sorted((x for x in counts if x <= room and counts[x]), reverse=True)
+    sums = reachable(counts, lengths, room)
+    given: list[tuple[int, ...]] = []
+    for left in range(min(waste, room) + 1):
+        if not sums[0] >> (room - left) & 1:
+            continue
+        for filling in exact_fillings(counts, lengths, sums, room - left):
+            used = Counter(filling)
+            if any(x <= left and used[x] < counts[x] for x in reversed(lengths)):
+                continue
+            if len(filling) <= COMPARED and any(fits_into(filling, g) for g in given if len(g) <= COMPARED):
+                continue
+            given = given[-COMPARED:] + [filling]
+            yield filling
 
 
 def pack(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
-    """Patterns for counted lengths in as few sequences as the search finds."""
+    """Patterns for counted lengths in as few sequences as the search finds.
+
+    Depth first; every open node keeps its fillings yet to try, so a node's fillings are bounded by the
+    search as a whole only.
+    """
     counts = {x: c for x, c in counts.items() if c}
     best, bound = best_fit(counts, capacity), lower_bound(counts, capacity)
     fewest, total = bins(best), sum(x * c for x, c in counts.items())
     singly = sum(counts.values()) <= SINGLY
-    waiting: list[tuple[dict[int, int], int, tuple]] = [(counts, 0, ())]
+    open_ = [(counts, 0, (), _node_fillings(counts, capacity, (fewest - 1) * capacity - total))] if counts else []
     nodes = 0
-    while waiting and fewest > bound and nodes < NODES:
-        left, wasted, path = waiting.pop()
-        nodes += 1
+    while open_ and fewest > bound and nodes < NODES:
+        left, wasted, path, options = open_[-1]
+        filling = next(options, None)
         allowed = (fewest - 1) * capacity - total - wasted
-        used = _length(path)
-        if allowed < 0 or used + lower_bound(left, capacity) >= fewest:
+        largest = max(left)
+        waste = capacity - largest - sum(filling) if filling is not None else 0
+        if filling is None or waste > allowed:  # later fillings waste no less
+            open_.pop()
+            continue
+        own = Counter((largest, *filling))
+        times = 1 if singly else min(left[x] // c for x, c in own.items())
+        times = min(times, allowed // waste) if waste else times
+        nodes += 1
+        after = {x: c - own[x] * times if x in own else c for x, c in left.items()}
+        after = {x: c for x, c in after.items() if c}
+        way = (tuple(sorted(own.items(), reverse=True)), times, path)
+        used, wasted = _length(way), wasted + waste * times
+        if used + lower_bound(after, capacity) >= fewest:
             continue
-        rest = best_fit(left, capacity)
+        rest = best_fit(after, capacity)
         if used + bins(rest) < fewest:
-            best, fewest = _patterns(path) + rest, used + bins(rest)
-            allowed -= capacity
-        largest = max(left)
-        others = dict(left)
-        others[largest] -= 1
-        follow = []
-        for filling in fillings(others, capacity - largest, allowed):
-            own = Counter((largest, *filling))
-            times = 1 if singly else min(left[x] // c for x, c in own.items())
-            waste = capacity - largest - sum(filling)
-            times = min(times, allowed // waste) if waste else times
-            if not times:
-                continue
-            after = {x: c - own[x] * times if x in own else c for x, c in left.items()}
-            after = {x: c for x, c in after.items() if c}
-            if after:
-                follow.append((after, wasted + waste * times, (tuple(sorted(own.items(), reverse=True)), times, path)))
-            elif used + times < fewest:
-                best, fewest = _patterns(path) + [(tuple(sorted(own.items(), reverse=True)), times)], used + times
-        waiting.extend(reversed(follow))
+            best, fewest = _patterns(way) + rest, used + bins(rest)
+        if after:
+            open_.append((after, wasted, way, _node_fillings(after, capacity, (fewest - 1) * capacity - total - wasted)))
     return best
 
 
+def _node_fillings(left: dict[int, int], capacity: int, allowed: int) -> Iterator[tuple[int, ...]]:
+    """What can stand beside the largest piece left."""
+    largest = max(left)
+    return fillings(left | {largest: left[largest] - 1}, capacity - largest, allowed)
+
+
 def _length(path: tuple) -> int:
     n = 0
     while path:

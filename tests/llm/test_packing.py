@@ -50,8 +50,22 @@ def test_completion_improves_on_best_fit():
     assert packing.lower_bound(counts, 1024) <= packing.bins(packing.pack(counts, 1024)) < packing.bins(packing.best_fit(counts, 1024))
 
 
+def test_pieces_that_close_a_sequence_are_found():
+    """Mixes where three pieces fill a sequence and best fit alone takes four sequences more."""
+    counts = dict(Counter(np.random.default_rng(2).integers(250, 420, 300).tolist()))
+    assert packing.bins(packing.pack(counts, 1024)) <= 100
+
+
+def test_least_waste_comes_first():
+    counts = {7: 2, 5: 1, 4: 3, 2: 1}
+    found = list(packing.fillings(counts, 14, 14))
+    waste = [14 - sum(f) for f in found]
+    assert waste == sorted(waste) and waste[0] == 0 and len(set(found)) == len(found)
+    assert all(max(Counter(f)[x] - c for x, c in counts.items()) <= 0 for f in found)
+
+
 def test_dominated_fillings_go():
-    assert packing.fillings({5: 1, 3: 1, 2: 2}, 5, 5) == [(5,)]
+    assert list(packing.fillings({5: 1, 3: 1, 2: 2}, 5, 5)) == [(5,)]
     assert packing.fits_into((3, 2), (5,)) and not packing.fits_into((5,), (3, 2))
 
 
