@@ -165,9 +165,7 @@ def outlier_bounds(
     kept = df.select(*dict.fromkeys(columns))
     options = _Options(on_null_stddev, on_non_finite)
     if mode == "single_pass":
-        measured = _measure(kept, columns, options)
-        found = [_bound(column, measured[column], options) for column in columns]
-        return [bound for bound in found if bound]
+        return bounds_of_moments(_measure(kept, columns, options), columns, on_null_stddev, on_non_finite)
 
     bounds: list[Bound] = []
     todo = list(columns)
@@ -184,6 +182,24 @@ def outlier_bounds(
     return bounds
 
 
+def moment_measures(columns: Sequence[str], on_non_finite: str = "drop") -> list[Column]:
+    """Aggregates that measure the columns: rows, and values, mean, stddev, low, high and odd by position."""
+    return _measures(columns, _Options("skip", on_non_finite))
+
+
+def bounds_of_moments(
+    measured: Mapping[str, Moments], columns: Sequence[str], on_null_stddev: str = "skip", on_non_finite: str = "drop"
+) -> list[Bound]:
+    """The single-pass bounds that follow from moments measured before."""
+    options = _Options(on_null_stddev, on_non_finite)
+    found = [_bound(column, measured[column], options) for column in columns]
+    return [bound for bound in found if bound]
+
+
+def within_bounds(df: DataFrame, bounds: Iterable[Bound]) -> DataFrame:
+    return _within(df, bounds)
+
+
 def _settle_split(
     kept: DataFrame, batch: Sequence[str], measured: Mapping[str, Moments], options: _Options
 ) -> tuple[int, list[Bound], Mapping[str, Moments]]:

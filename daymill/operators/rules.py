@@ -35,10 +35,8 @@ def filter_dates(df: DataFrame, column: str, period: Period) -> DataFrame:
     return df.filter(F.col(column).between(F.lit(period.start), F.lit(period.end)))
 
 
-def filter_span(
-    df: DataFrame, start: str, end: str, period: Period, last_day: str = "whole_day"
-) -> DataFrame:
-    """Keep rows that start and end inside the period.
+def within_span(start: str, end: str, period: Period, last_day: str = "whole_day") -> Column:
+    """Whether a row starts and ends inside the period.
 
     ``last_day="midnight"`` compares with the bare end date, which is its first
     instant, so the last day is lost; ``"whole_day"`` keeps it. The bounds are date
@@ -50,7 +48,14 @@ def filter_span(
         ends_inside = F.col(end) <= F.lit(period.end)
     else:
         raise ValueError(f"last_day must be 'whole_day' or 'midnight', not {last_day!r}")
-    return df.filter((F.col(start) >= F.lit(period.start)) & ends_inside)
+    return (F.col(start) >= F.lit(period.start)) & ends_inside
+
+
+def filter_span(
+    df: DataFrame, start: str, end: str, period: Period, last_day: str = "whole_day"
+) -> DataFrame:
+    """Keep rows that start and end inside the period, see ``within_span``."""
+    return df.filter(within_span(start, end, period, last_day))
 
 
 def reconcile(

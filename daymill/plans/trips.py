@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.functions import duration_hours, midpoint
+from daymill.functions import absolute_difference, component_total, duration_hours, midpoint
 from daymill.operators.conform import SourceSpec, conform, union_sources
 from daymill.operators.daily import add_day_of_week, daily_aggregate, sort_by_date
 from daymill.operators.outliers import trim_outliers
-from daymill.operators.rules import Rule, apply_rules, filter_span, reconcile
+from daymill.operators.rules import Rule, apply_rules, filter_span, reconcile, within_span
+from daymill.operators.steps import Step, rule_steps, step_report, watch_steps
 from daymill.period import Period
-from daymill.sources import promote, read_layer, scan_period, write_table
+from daymill.sources import promote_at_once, read_promoted, scan_period, write_table
 from daymill.sources.scans import PERIOD_COLUMN
 
 # --- Fixed values ---------------------------------------------------------------
@@ -182,10 +183,29 @@ def scan_landing(
     )
 
 
+def trip_steps(period: Period, last_day: str = "whole_day", enforce_total: bool = True) -> list[Step]:
+    """What ``validate_trips`` asks of a trip, step by step."""
+    steps = [Step("inside the period", within_span(PICKUP, DROPOFF, period, last_day)), *rule_steps(RULES)]
+    steps.append(Step("minimum duration", duration_hours(PICKUP, DROPOFF) > MIN_TRIP_HOURS))
+    if enforce_total:
+        difference = absolute_difference("total_amount", component_total(TOTAL_COMPONENTS))
+        steps.append(Step("total reconciled", difference <= TOTAL_TOLERANCE))
+    return steps
+
+
 def validate_trips(
-    trips: DataFrame, period: Period, last_day: str = "whole_day", enforce_total: bool = True
+    trips: DataFrame,
+    period: Period,
+    last_day: str = "whole_day",
+    enforce_total: bool = True,
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Trips of the period that pass the rules, with duration and recomputed total."""
+    """Trips of the period that pass the rules, with duration and recomputed total.
+
+    ``observation`` counts what fails each of ``trip_steps``, with the first action on the result.
+    """
+    if observation is not None:
+        trips = watch_steps(trips, trip_steps(period, last_day, enforce_total), observation)
     trips = filter_span(trips, PICKUP, DROPOFF, period, last_day)
     trips = apply_rules(trips, RULES)
     trips = trips.withColumn("trip_time_hours", duration_hours(PICKUP, DROPOFF))
@@ -199,6 +219,7 @@ def clean_trips(
     last_day: str = "whole_day",
     enforce_total: bool = True,
     trimmed: Sequence[str] = TRIMMED_COLUMNS,
+    observation: Observation | None = None,
     **options,
 ) -> DataFrame:
     """Validated trips without outliers, dated by pickup.
@@ -207,7 +228,7 @@ def clean_trips(
     the original recipe keeps: the last day is cut off at its first instant, and
     totals are compared but not acted on. Further options are those of the trim.
     """
-    valid = validate_trips(trips, period, last_day, enforce_total)
+    valid = validate_trips(trips, period, last_day, enforce_total, observation)
     kept = trim_outliers(valid, trimmed, **options)
     return kept.withColumn("date", F.to_date(PICKUP))
 
@@ -253,7 +274,7 @@ def promote_trips(
     for spec in (YELLOW, GREEN):
         template = f"{landing_root}/{layout}".replace("{source}", spec.name)
         rows = scan_landing(spark, template, spec, period, PERIOD_COLUMN, missing)
-        paths[spec.name] = promote(rows, raw_root, spec.name, periods=period.months())
+        paths[spec.name] = promote_at_once(rows, raw_root, spec.name, periods=period.months())
     return paths
 
 
@@ -263,7 +284,7 @@ def read_raw_trips(
     """Both promoted sources as one frame, months of the period only."""
     types = trip_types(datetime_type)
     return union_sources(
-        read_layer(spark, f"{raw_root}/{spec.name}", types, period.months())
+        read_promoted(spark, f"{raw_root}/{spec.name}", types, period.months())
         for spec in (YELLOW, GREEN)
     )
 
@@ -275,23 +296,29 @@ def build_trip_tables(
     period: Period,
     prefix: str = "",
     datetime_type: str = "timestamp_ntz",
+    report: str | None = None,
     **options,
 ) -> tuple[str, str]:
     """Write cleaned trips and zone-day averages of a period; return their paths.
 
     Cleaned trips have a folder per month, and only those of the period are written. The
     averages are taken from the cleaned table as written, so validation and trim run
-    once. A later period is another call with its own ``period`` and ``prefix``.
+    once. A later period is another call with its own ``period`` and ``prefix``. ``report``
+    names a path for the rows that each cleaning step dropped, counted by the trim's first scan.
     """
     averages_path = f"{curated_root}/{prefix}zone_day_averages"
     raw = read_raw_trips(spark, raw_root, period, datetime_type)
-    cleaned = clean_trips(raw, period, **options)
+    counts = Observation() if report else None
+    cleaned = clean_trips(raw, period, observation=counts, **options)
     monthly = cleaned.withColumn(PERIOD_COLUMN, F.date_format("date", "yyyy-MM"))
-    cleaned_path = promote(
+    cleaned_path = promote_at_once(
         monthly, curated_root, f"{prefix}cleaned_trips", rebalance=True, periods=period.months()
     )
     averages = zone_day_averages(read_cleaned_trips(spark, cleaned_path, period, datetime_type))
     write_table(sort_by_date(averages, "date", "pu_location_id"), averages_path)
+    if report:
+        judged = {name: options[name] for name in ("last_day", "enforce_total") if name in options}
+        write_table(step_report(spark, trip_steps(period, **judged), counts), report)
     return cleaned_path, averages_path
 
 
@@ -301,4 +328,4 @@ def read_cleaned_trips(
     """Cleaned trips of the months of a period, without those of other months."""
     measures = dict.fromkeys(("trip_time_hours", "calc_total_amount", "total_diff"), "double")
     types = trip_types(datetime_type) | measures | {"date": "date"}
-    return read_layer(spark, path, types, period.months())
+    return read_promoted(spark, path, types, period.months())

@@ -10,7 +10,7 @@ from daymill.operators.daily import daily_aggregate, sort_by_date
 from daymill.operators.outliers import trim_outliers
 from daymill.operators.rules import filter_dates
 from daymill.period import Period
-from daymill.sources import promote, read_delimited, read_layer, write_table
+from daymill.sources import promote_at_once, read_delimited, read_promoted, write_table
 from daymill.sources.scans import PERIOD_COLUMN
 
 # --- Fixed values ---------------------------------------------------------------
@@ -36,12 +36,12 @@ def promote_volumes(spark: SparkSession, path: str, raw_root: str) -> str:
     counts = scan_volumes(spark, path)
     dated = counts.withColumn("date", date_from_parts("yr", "m", "d"))
     year = F.coalesce(F.date_format("date", "yyyy"), F.lit(UNDATED))
-    return promote(dated.withColumn(PERIOD_COLUMN, year), raw_root, SOURCE, rebalance=True)
+    return promote_at_once(dated.withColumn(PERIOD_COLUMN, year), raw_root, SOURCE, rebalance=True)
 
 
 def read_raw_volumes(spark: SparkSession, raw_root: str, period: Period) -> DataFrame:
     """Raw counts of the period; only folders of its years are read."""
-    raw = read_layer(spark, f"{raw_root}/{SOURCE}", COUNT_TYPES | {"date": "date"}, period.years())
+    raw = read_promoted(spark, f"{raw_root}/{SOURCE}", COUNT_TYPES | {"date": "date"}, period.years())
     return filter_dates(raw.select("boro", "date", "vol"), "date", period)
 
 

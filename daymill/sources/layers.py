@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daymill.sources.scans import PERIOD_COLUMN
@@ -31,7 +31,10 @@ def promote(
     merges thin ones.
     """
     path = f"{raw_root.rstrip('/')}/{source}"
+    seen = Observation()  # which periods there are comes with the write
     rows = df.hint("rebalance", F.col(PERIOD_COLUMN)) if rebalance else df
+    if periods:
+        rows = rows.observe(seen, F.collect_set(PERIOD_COLUMN).alias("periods"))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -39,7 +42,7 @@ def promote(
         .parquet(path)
     )
     if periods:
-        brought = {row[PERIOD_COLUMN] for row in df.select(PERIOD_COLUMN).distinct().collect()}
+        brought = set(seen.get.get("periods") or ())
         nothing = df.drop(PERIOD_COLUMN).limit(0)
         for period in sorted(set(periods) - brought):
             write_table(nothing, f"{path}/{PERIOD_COLUMN}={period}")
