@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -148,19 +149,24 @@ def fillings(counts: dict[int, int], room: int, waste: int) -> Iterator[tuple[in
 def pack(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
     """Patterns for counted lengths in as few sequences as the search finds.
 
-    Depth first; every open node keeps its fillings yet to try, so a node's fillings are bounded by the
-    search as a whole only.
+    Depth first. An open node is its path and how many of its fillings were tried; only the newest
+    one holds what it enumerates from, others work it out again when the search comes back to them.
     """
     counts = {x: c for x, c in counts.items() if c}
     best, bound = best_fit(counts, capacity), lower_bound(counts, capacity)
     fewest, total = bins(best), sum(x * c for x, c in counts.items())
     singly = sum(counts.values()) <= SINGLY
-    open_ = [(counts, 0, (), _node_fillings(counts, capacity, (fewest - 1) * capacity - total))] if counts else []
-    nodes = 0
+    open_: list[list] = [[(), 0, 0]] if counts else []
+    newest, nodes = None, 0
     while open_ and fewest > bound and nodes < NODES:
-        left, wasted, path, options = open_[-1]
-        filling = next(options, None)
+        node = open_[-1]
+        path, wasted, tried = node
         allowed = (fewest - 1) * capacity - total - wasted
+        if newest is not node:
+            left = _left(counts, path)
+            newest, options = node, islice(_node_fillings(left, capacity, allowed), tried, None)
+        filling = next(options, None)
+        node[2] += 1
         largest = max(left)
         waste = capacity - largest - sum(filling) if filling is not None else 0
         if filling is None or waste > allowed:  # later fillings waste no less
@@ -170,9 +176,8 @@ def pack(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
         times = 1 if singly else min(left[x] // c for x, c in own.items())
         times = min(times, allowed // waste) if waste else times
         nodes += 1
-        after = {x: c - own[x] * times if x in own else c for x, c in left.items()}
-        after = {x: c for x, c in after.items() if c}
         way = (tuple(sorted(own.items(), reverse=True)), times, path)
+        after = _left(left, (*way[:2], ()))
         used, wasted = _length(way), wasted + waste * times
         if used + lower_bound(after, capacity) >= fewest:
             continue
@@ -180,10 +185,20 @@ def pack(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
         if used + bins(rest) < fewest:
             best, fewest = _patterns(way) + rest, used + bins(rest)
         if after:
-            open_.append((after, wasted, way, _node_fillings(after, capacity, (fewest - 1) * capacity - total - wasted)))
+            open_.append([way, wasted, 0])
     return best
 
 
+def _left(counts: dict[int, int], path: tuple) -> dict[int, int]:
+    """What a path of patterns leaves of the counts."""
+    left = dict(counts)
+    while path:
+        for x, c in path[0]:
+            left[x] -= c * path[1]
+        path = path[2]
+    return {x: c for x, c in left.items() if c}
+
+
 def _node_fillings(left: dict[int, int], capacity: int, allowed: int) -> Iterator[tuple[int, ...]]:
     """What can stand beside the largest piece left."""
     largest = max(left)
