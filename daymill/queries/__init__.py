@@ -1,6 +1,6 @@
 """Every operator as a query on the given tables, each beside its SQL oracle."""
 
-from daymill.queries import aggregates, daily_tables, filters, modelling, projections, sources, trims, upkeep
+from daymill.queries import aggregates, daily_tables, filters, layouts, modelling, projections, sources, trims, upkeep
 from daymill.queries.registry import REGISTRY
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "aggregates",
     "daily_tables",
     "filters",
+    "layouts",
     "modelling",
     "projections",
     "sources",

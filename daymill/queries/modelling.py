@@ -35,12 +35,15 @@ def daily_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
         means={LABEL: "o_totalprice"},
     )
     located = suppliers.join(zones, F.expr("s_nationkey = zone"))
-    # one pass over the lines; days are rolled up from boroughs and days
-    shipped = (
+    # one pass over the lines: written, since days are rolled up from boroughs and days
+    path = scratch_path(spark, "shipped")
+    shipped_now = (
         lines.join(located, F.expr("l_suppkey = s_suppkey"), "left")
         .groupBy("boro", "date")
         .agg(F.sum("l_quantity").alias("total_vol"), F.sum("l_discount").alias("d"), F.count("l_discount").alias("n"))
     )
+    write_table(shipped_now, path)
+    shipped = spark.read.schema(shipped_now.schema).parquet(path)
     volumes = shipped.filter("boro IS NOT NULL").select("boro", "date", "total_vol")
     days = shipped.groupBy("date").agg(ratio(F.sum("d"), F.sum("n")).alias("mean_discount"))
     return zone_days, zones, volumes, days
