@@ -484,6 +484,22 @@ def _factors(chunks: DataFrame, levels: list[Table], counts: DataFrame, tokens:
     return gains.groupBy("chunk").cogroup(chunks.select("chunk", "ids").groupBy("chunk")).applyInArrow(add, "row long, gain double")
 
 
+def _steps_of_count():
+    """A word's count on a scale of 64 steps a doubling."""
+    return F.floor(F.log2("c") * 64)
+
+
+def head_cut(counted: DataFrame) -> int:
+    """The least step of counts from which on there are at most HEAD_WORDS words; a row per step is fetched."""
+    sizes = counted.groupBy(_steps_of_count().alias("step")).count().collect()
+    words = 0
+    for step, n in sorted(map(tuple, sizes), reverse=True):
+        words += n
+        if words > HEAD_WORDS:
+            return step + 1
+    return 0
+
+
 def score_documents(docs: DataFrame, training: str) -> DataFrame:
     """doc_id, ``training``, n_tokens, n_known, train_tokens, base_score, score of every whole text.
 
@@ -499,10 +515,10 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
     n_texts = learned.count()
     n_words, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     train_tokens, kinds = n_words + n_texts, distinct + bool(n_texts)
-    frequent = counted.select("word", "c").orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toPandas()
+    cut = head_cut(counted)
+    frequent = counted.filter(_steps_of_count() >= cut).select("word", "c").toPandas()
     head = pa.array(frequent["word"].to_list(), pa.large_string())
     head_counts = np.append(frequent["c"].to_numpy(np.int64), 0)
-    low_head = int(head_counts[:-1].min(initial=1))
     unit = float(np.log10(train_tokens + kinds + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -540,7 +556,7 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
     chunks = both.filter("chunk IS NOT NULL").select("n", *CHUNK)
     tail = parts.select("row", F.inline(F.arrays_zip("rare", "times"))).withColumnRenamed("rare", "word")
     found = (
-        tail.join(counted.filter(F.col("c") <= low_head), "word")
+        tail.join(counted.filter(_steps_of_count() < cut), "word")
         .groupBy("row")
         .agg(F.sum("times").alias("n_tail"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("tail_sum"))
     )
