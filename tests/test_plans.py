@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from daymill.__main__ import main
 from daymill.period import Period
 from daymill.plans import observations, trips, volumes
+from daymill.sources.quarantine import read_quarantined
 
 PERIOD = Period.of("2022-10-01", "2022-11-30")
 LATER = Period.of("2022-12-01", "2022-12-31")
@@ -243,3 +244,27 @@ def test_volume_table(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "raw" / volumes.SOURCE)).count() == len(rows)
     keys = [(r["date"], r["boro"]) for r in totals.collect()]
     assert keys == sorted(keys)
+
+
+def test_trip_steps_are_reported(spark, roots, tmp_path):
+    raw, curated = roots
+    report = str(tmp_path / "report")
+    cleaned_path, _ = trips.build_trip_tables(spark, raw, curated, PERIOD, prefix="counted_", report=report)
+    rows = spark.read.parquet(report).orderBy("position").collect()
+    assert rows[0].num_left == 44
+    valid = trips.validate_trips(trips.read_raw_trips(spark, raw, PERIOD), PERIOD)
+    assert rows[-1].num_left == valid.count() and rows[-1].step == "total reconciled"
+    assert all(after.num_left == before.num_left - after.num_failed_first for before, after in zip(rows, rows[1:], strict=False))
+    failed = {r.step: r.num_failed for r in rows}
+    assert failed["fare_amount >= 2.5"] >= 1 and failed["minimum duration"] >= 2 and failed["inside the period"] >= 1
+    assert trips.read_cleaned_trips(spark, cleaned_path, PERIOD).count() == 34
+
+
+def test_observations_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    names = (*observations.DATE_PARTS, *observations.MEASURES)
+    lines = ["|".join(names)] + ["|".join(["2022", "10", "1", *["1.5"] * 7, "T" if k == 3 else "2"]) for k in range(6)]
+    (tmp_path / "2022.psv").write_text("\n".join(lines) + "\n")
+    period, template, raw = Period.of("2022-10-01", "2022-10-31"), f"{tmp_path}/{{period}}.psv", str(tmp_path / "raw")
+    path = observations.promote_observations(spark, template, raw, ["2022"], misfits="quarantine")
+    assert observations.read_raw_observations(spark, raw, period, misfits="quarantine").count() == 5
+    assert [r.reason for r in read_quarantined(spark, path).collect()] == [f"{observations.MEASURES[-1]} is no double"]
