@@ -13,6 +13,8 @@ from daymill.llm.common import batch_of, binary_rows, stage, texts
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
+#: Share of repeated lines from which on published quality rules reject a text.
+DUP_LINES = 0.3
 TREES = 128
 #: Rows a tree is grown from: the method's own subsample.
 ROWS_PER_TREE = 256
@@ -23,13 +25,16 @@ DEFAULT_THRESHOLD = 0.6
 _EULER = 0.5772156649
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-FURTHER = ("n_upper", "n_marks", "n_same")
+FURTHER = ("n_upper", "n_marks", "n_same", "n_lines")
 _UPPER = bytes(range(65, 91))
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 def statistics(text: bytes) -> tuple[int, ...]:
-    """COUNTS and FURTHER of a text; n_marks are ASCII marks, n_same words equal to the one before."""
+    """COUNTS and FURTHER of a text.
+
+    n_marks are ASCII marks, n_same words equal to the one before, n_lines lines with a word.
+    """
     words = text.split()
     n = len(words)
     lines = [x for x in text.split(b"\n") if x and not x.isspace()]
@@ -46,7 +51,7 @@ def statistics(text: bytes) -> tuple[int, ...]:
         repeated = sum(covered)
     return (
         n, len(joined.decode("utf-8", "replace")), less(SYMBOLS), len(lines) - len(set(lines)), repeated,
-        less(_UPPER), less(_MARKS), sum(map(bytes.__eq__, words, words[1:])),
+        less(_UPPER), less(_MARKS), sum(map(bytes.__eq__, words, words[1:])), len(lines),
     )
 
 
@@ -62,11 +67,16 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
 
 
 def features(table: dict[str, np.ndarray]) -> np.ndarray:
-    """Shares of the statistics, one row per document."""
+    """Shares of the statistics, one row per document.
+
+    Of the share of repeated lines only what is beyond DUP_LINES counts: a few repeated lines are as
+    frequent in good texts as in bad ones, and rare enough for random splits to single them out.
+    """
     n = np.maximum(table["n_words"], 1).astype(float)
     chars = np.maximum(table["word_chars"], 1).astype(float)
-    per_word = [table[c] / n for c in ("word_chars", "n_repeat_words", "n_same")]
-    return np.column_stack(per_word + [table[c] / chars for c in ("n_symbols", "n_upper", "n_marks")])
+    shares = [table[c] / n for c in ("word_chars", "n_repeat_words", "n_same")]
+    shares.append(np.maximum(table["n_dup_lines"] / np.maximum(table["n_lines"], 1) - DUP_LINES, 0))
+    return np.column_stack(shares + [table[c] / chars for c in ("n_symbols", "n_upper", "n_marks")])
 
 
 def expected_path(n: np.ndarray) -> np.ndarray:
@@ -121,10 +131,17 @@ def base_failed() -> Column:
 
 
 def fit(stats: DataFrame, seed: int = 11) -> Forest:
-    """A forest on the rows past the base rule: on all, or on a random TREES * ROWS_PER_TREE of them (about so many)."""
-    passed, wanted = stats.filter(~base_failed()).select(*COUNTS, *FURTHER), TREES * ROWS_PER_TREE
+    """A forest on the rows past the base rule: on all, or on about TREES * ROWS_PER_TREE of them.
+
+    A row's hash decides whether it is drawn, so the forest does not depend on the layout of files.
+    Repeated rows count once, so that they cannot exceed the bound.
+    """
+    passed, wanted = stats.filter(~base_failed()).select("doc_id", *COUNTS, *FURTHER), TREES * ROWS_PER_TREE
     n = passed.count()
-    frame = (passed.sample(wanted / n, seed) if n > wanted else passed).toPandas()
+    if n > wanted:
+        place = F.pmod(F.xxhash64(F.lit(seed), *passed.columns), F.lit(1 << 32))
+        passed = passed.filter(place < int(wanted / n * (1 << 32)))
+    frame = passed.distinct().toPandas()
     frame = frame.sort_values(list(frame.columns))
     return Forest(features({c: frame[c].to_numpy() for c in COUNTS + FURTHER}), seed)
 

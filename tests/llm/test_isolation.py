@@ -66,3 +66,30 @@ def test_without_labels_or_rows(spark):
     assert isolation.judge(documents(spark, []), labels).collect() == []
     got = isolation.judge(documents(spark, [(1, prose(100, 1)), (2, None)]), labels).collect()
     assert {r.threshold for r in got} == {isolation.DEFAULT_THRESHOLD}
+
+
+def lined(k, repeats=0):
+    """Lines of six different words, and between them one short line ``repeats`` times."""
+    lines = [" ".join(f"w{(k * 7919 + 6 * j + i) % 5003:04}" for i in range(6)) for j in range(30)]
+    return "\n".join(x for j, own in enumerate(lines) for x in ([own, "again twice"] if j < repeats else [own]))
+
+
+def test_repeated_short_lines_alone_are_an_anomaly(spark):
+    rows = [(k, lined(k)) for k in range(300)] + [(300, lined(300, 25))]
+    text = lined(300, 25).encode()
+    assert statistics(text)[3:5] == (24, 0)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    got = {r.doc_id: r for r in isolation.judge(documents(spark, rows), labels).collect()}
+    assert max(got.values(), key=lambda r: r.anomaly).doc_id == 300
+    assert not got[300].base_failed and not got[300].kept and got[0].kept
+
+
+def test_forest_does_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(isolation, "ROWS_PER_TREE", 8)
+    monkeypatch.setattr(isolation, "TREES", 10)
+    stats = isolation.rule_statistics(documents(spark, [(k, lined(k, k % 3)) for k in range(300)] + [(7, lined(7, 1))] * 200)).persist()
+    one, other = (isolation.fit(stats.repartition(n)) for n in (1, 7))
+    assert one.size == 8 and len(one.trees) == 10
+    for a, b in zip(one.trees, other.trees, strict=True):
+        assert all((x == y).all() for x, y in zip(a, b, strict=True))
+    stats.unpersist()
