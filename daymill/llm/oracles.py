@@ -73,3 +73,53 @@ WITH sized AS (
     FROM sized JOIN aimed ON sized.source IS NOT DISTINCT FROM aimed.source
 )
 SELECT doc_id, size, source_size, target, size * (floor(place * rate + u) - floor((place - 1) * rate + u))::BIGINT AS taken FROM placed"""
+
+
+#: Conversations rendered and read as the digest of ``chat`` describes them.
+CHATS = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), rendered AS (
+    SELECT *, length('<|turn|>' || replace(replace(role, '\', '\\'), '<|', '<\|') || '<|text|>'
+        || replace(replace(text, '\', '\\'), '<|', '<\|') || '<|end|>') AS chars FROM turns
+), placed AS (
+    SELECT *, role = 'assistant' AS reply, row_number() OVER w AS place,
+           sum(chars) OVER (w ROWS UNBOUNDED PRECEDING) AS so_far
+    FROM rendered WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (reply), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (reply), '')) AS loss_sha256,
+       (coalesce(sum(so_far) FILTER (reply), 0) + max(so_far) - coalesce(max(so_far) FILTER (reply), 0))::BIGINT AS formatted_chars
+FROM placed GROUP BY conv_id"""
+
+#: Every window of 200 bytes by its digest; runs of bytes that windows found twice cover.
+REPEATS = """
+WITH bytes AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), pieces AS (
+    SELECT doc_id, c, substr(h, 2 * c + 1, 998) AS p
+    FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199, 300)) AS c FROM bytes)
+), windows AS (
+    SELECT doc_id, c + i AS s, md5(substr(p, 2 * i + 1, 400)) AS w
+    FROM (SELECT doc_id, c, p, unnest(range(least(300, length(p) // 2 - 199))) AS i FROM pieces)
+), hits AS (
+    SELECT doc_id, s, s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200 AS apart
+    FROM windows SEMI JOIN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1) USING (w)
+), numbered AS (
+    SELECT doc_id, s, sum(coalesce(apart, true)::INT) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM hits
+), runs AS (
+    SELECT doc_id, min(s) AS low, max(s) + 200 AS high FROM numbered GROUP BY doc_id, run
+), parts AS (
+    SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS since FROM runs
+), cut AS (
+    SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last,
+           string_agg(substr(h, 2 * since + 1, 2 * (low - since)), '' ORDER BY low) AS before
+    FROM parts JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM bytes LEFT JOIN cut USING (doc_id)"""

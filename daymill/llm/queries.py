@@ -94,6 +94,9 @@ def op7_prefix_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(pieces).drop("trainable")
 
 
+ORACLES["op7_prefix_expansion"] = oracles.CHATS
+
+
 @query
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash_groups.group_documents(table(spark, sf_dir, "documents"))
@@ -105,6 +108,9 @@ def op9_bucket_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+ORACLES["op9_bucket_pointers"] = oracles.REPEATS
+
+
 @query
 def op10_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe(), capacity=1024, end_id=2)

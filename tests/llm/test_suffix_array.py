@@ -2,6 +2,7 @@
 
 from collections import Counter
 from hashlib import sha256
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -9,8 +10,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from daymill.llm import suffix_array
+from daymill.llm.queries import ORACLES, QUERIES
 from daymill.llm.suffix_array import anchors, refine, repeated_windows, window_minimum
-from tests.llm.helpers import awkward, documents, prose
+from tests.llm.helpers import SF_DIR, awkward, documents, prose
+from tests.oracle import differences
 
 LENGTH = 40
 
@@ -93,3 +96,7 @@ def test_one_id_with_two_texts(spark):
 
 def test_no_documents(spark):
     assert suffix_array.remove_repeats(documents(spark, [])).collect() == []
+
+
+def test_query_against_sql(spark):
+    assert differences(spark, SimpleNamespace(run=QUERIES["op9_bucket_pointers"], sql=ORACLES["op9_bucket_pointers"]), SF_DIR) == []
