@@ -23,8 +23,8 @@ KEPT_PIECES = 600_000
 PIECES_AT_ONCE = 50_000
 #: Marks that are looked at apart from the word before them.
 MARKS = ".,!?;:$%*&#"
-#: Letters from here on may be newer than the library's tables of characters.
-LAST_LETTER = "\u0250"
+#: Letters whose kind no table of characters doubts; others take the longer way.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 
 
 def _byte_chars() -> np.ndarray:
@@ -64,91 +64,89 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.bytes_of[number] = len(token)
-        self.known: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
+        self.known, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Ids of new pieces, each with a blank in front.
+    def _ids_of(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces, each with a blank in front; new ones are learned.
 
         Marks behind a letter are tokens of their own, so a word with marks has the ids of
         the word and then those of the marks.
         """
-        known, marked = self.known, [p for p in pieces if p[-1] in MARKS]
-        plain = [p for p in pieces if p[-1] not in MARKS]
-        words = [p.rstrip(MARKS) for p in marked]
-        plain += [p for p, w in zip(marked, words, strict=True) if not w[-1:].isalpha()]
-        self._encode_pieces(plain)
-        self._encode_pieces(list({w for w in words if w not in known and w[-1:].isalpha()}))
-        for piece, word in zip(marked, words, strict=True):
-            if word[-1:].isalpha():
-                marks = piece[len(word) :]
-                if marks not in self.marks:
-                    self.marks[marks] = self.whole(marks).tobytes()
-                known[piece] = known[word] + self.marks[marks]
-
-    def _encode_pieces(self, pieces: list[str]) -> None:
+        if len(self.known) > KEPT_PIECES:
+            self.known, self.ids = self.known.slice(0, 0), self.ids.slice(0, 0)
+        words = pc.utf8_rtrim(pieces, MARKS)
+        marked = pc.and_(pc.not_equal(words, pieces), pc.match_substring_regex(words, f"[{LETTERS}]$"))
+        coded = pc.if_else(marked, words, pieces).dictionary_encode()
+        words, place = coded.dictionary, pc.index_in(coded.dictionary, self.known)
+        new = np.flatnonzero(np.asarray(pc.is_null(place)))
+        place = np.asarray(pc.fill_null(place, 0)).astype(np.int64)
+        place[new] = len(self.known) + self._encode_pieces(words.take(pa.array(new)))
+        of_words = self.ids.take(pa.array(place[np.asarray(coded.indices)]))
+        marks = pc.if_else(marked, pc.replace_substring_regex(pieces, f"(?s)^.*[{LETTERS}]", ""), "").dictionary_encode()
+        of_marks = pa.array([self.whole(m).tobytes() if m else b"" for m in marks.dictionary.to_pylist()], pa.large_binary())
+        return pc.binary_join_element_wise(of_words, of_marks.take(marks.indices), pa.scalar(b"", pa.large_binary()))
+
+    def _encode_pieces(self, pieces: pa.Array) -> np.ndarray:
         """Runs of the library over many pieces at a time, cut by their numbers of bytes.
 
         A piece of letters is one word to the tokenizer, blank included, so its model alone
-        does; the rest goes through all of the tokenizer.
+        does; the rest goes through all of the tokenizer. Pieces are kept letters first; the
+        place of each among the new ones is returned.
         """
-        letters, rest = [], []
-        for p in pieces:
-            (letters if p.isalpha() and (p.isascii() or max(p) < LAST_LETTER) else rest).append(p)
-        for own, of_letters in ((letters, True), (rest, False)):
+        letters = pc.match_substring_regex(pieces, f"^[{LETTERS}]+$")
+        rest = pc.invert(letters)
+        for own, of_letters in ((pieces.filter(letters), True), (pieces.filter(rest), False)):
             for at in range(0, len(own), PIECES_AT_ONCE):
-                part = own[at : at + PIECES_AT_ONCE]
+                part = own.slice(at, PIECES_AT_ONCE)
+                text = ("\n " if of_letters else " ").join(["", *part.to_pylist()])
                 if of_letters:
-                    raw = np.frombuffer(("\n ".join(["", *part])[1:]).encode(), np.uint8)
+                    raw = np.frombuffer(text[1:].encode(), np.uint8)
                     coded = self.words.encode_batch_fast([BYTE_CHARS[raw].tobytes().decode("utf-32-le")], add_special_tokens=False)
                 else:
-                    coded = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+                    coded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
                 ids = np.array(coded[0].ids, np.uint32)
-                ends = np.cumsum([len(p.encode()) + 1 for p in part])
-                cuts = 4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)
-                buffer, low = ids.tobytes(), 0
-                for piece, high in zip(part, cuts.tolist(), strict=True):
-                    self.known[piece] = buffer[low:high]
-                    low = high
+                ends = np.cumsum(np.asarray(pc.binary_length(part)).astype(np.int64) + 1)
+                cuts = np.insert(4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1), 0, 0)
+                cells = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(cuts), pa.py_buffer(ids)])
+                self.known, self.ids = pa.concat_arrays([self.known, part]), pa.concat_arrays([self.ids, cells])
+        return np.argsort(np.argsort(np.asarray(rest), kind="stable"))
 
     def encode(self, texts: pa.Array, end: bytes, kind: str) -> pa.Array:
         """Ids of each text with the end behind them, as bytes of ``kind``; ``end`` and ids kept are four bytes each."""
         parts = pc.split_pattern(texts, " ")
         bounds = np.asarray(parts.offsets)
         coded = parts.flatten().dictionary_encode()
-        codes, pieces = np.asarray(coded.indices).astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        trimmed = pc.utf8_trim_whitespace(coded.dictionary)
-        odd = np.asarray(pc.or_(pc.not_equal(trimmed, coded.dictionary), pc.equal(trimmed, ""))).astype(bool)
-        values = list(map(self.known.get, pieces))
-        for k in np.flatnonzero(odd).tolist():
-            values[k] = b""
-        missing = [k for k, v in enumerate(values) if v is None]
-        self._learn([pieces[k] for k in missing])
-        for k in missing:
-            values[k] = self.known[pieces[k]]
+        codes, pieces = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+        trimmed = pc.utf8_trim_whitespace(pieces)
+        odd = np.asarray(pc.or_(pc.not_equal(trimmed, pieces), pc.equal(trimmed, ""))).astype(bool)
+        usual = np.flatnonzero(~odd)
+        of_pieces = self._ids_of(pieces.take(pa.array(usual)))
+        # odd pieces share the empty cell behind those of the others
+        cell = np.full(len(pieces), len(usual))
+        cell[usual] = np.arange(len(usual))
+        values = [b""]
         # a text's first piece has no blank in front
         first = bounds[:-1]
         leading, of = np.unique(codes[first], return_inverse=True)
-        values += [self.whole(pieces[c]).tobytes() if not odd[c] else b"" for c in leading.tolist()]
-        odd_texts = np.unique(np.searchsorted(bounds, np.flatnonzero(odd[codes]), "right") - 1)
-        codes[first] = len(pieces) + of
-        empty = len(values) + len(odd_texts)
-        for k, t in enumerate(odd_texts.tolist()):
-            codes[bounds[t] : bounds[t + 1]] = empty
-            codes[bounds[t]] = len(values)
+        codes, lead_codes = cell[codes], len(usual) + 1 + of
+        values += [self.whole(p).tobytes() if not odd[c] else b"" for c, p in zip(leading.tolist(), pieces.take(pa.array(leading)).to_pylist(), strict=True)]
+        odd_texts = np.unique(np.searchsorted(bounds, np.flatnonzero(codes == len(usual)), "right") - 1)
+        codes[first] = lead_codes
+        for t in odd_texts.tolist():
+            codes[bounds[t] : bounds[t + 1]] = len(usual)
+            codes[bounds[t]] = len(usual) + len(values)
             values.append(self.whole(texts[t].as_py()).tobytes())
-        values += [b"", end]
+        values.append(end)
         # one more piece behind each text, its end; then each piece's bytes are copied once
-        sizes = np.cumsum([0, *map(len, values)]) // 4
-        store = np.frombuffer(b"".join(values), "<u4").astype(kind)
+        every = pa.concat_arrays([of_pieces, pa.array(values, pa.large_binary())])
+        sizes = np.frombuffer(every.buffers()[1], np.int64, len(every) + 1) // 4
+        store = np.frombuffer(every.buffers()[2], "<u4", sizes[-1]).astype(kind)
         width = store.dtype.itemsize
-        cells = pa.Array.from_buffers(pa.large_binary(), len(values), [None, pa.py_buffer(sizes * width), pa.py_buffer(store)])
-        found = cells.take(pa.array(np.insert(codes, bounds[1:], empty + 1)))
+        cells = pa.Array.from_buffers(pa.large_binary(), len(every), [None, pa.py_buffer(sizes * width), pa.py_buffer(store)])
+        found = cells.take(pa.array(np.insert(codes, bounds[1:], len(every) - 1)))
         at = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1)[bounds + np.arange(len(bounds))]
         return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(at), found.buffers()[2]])
 
