@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daymill.llm import tokenize
 from daymill.llm.common import shards_for, stage, texts
-from daymill.llm.tokenize import Encoder
 
 #: Nodes of the search.
 NODES = 4000
@@ -240,10 +240,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
     """doc_id, piece, start, length, ids_crc32. Only documents longer than a sequence are cut; their first piece takes the remainder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
         for batch in batches:
             index, rows = [], []
-            for k, ids in enumerate(encoder.documents(batch.column(1), end_id)):
+            for k, ids in enumerate(tokenize.encoder(tokenizer).documents(batch.column(1), end_id)):
                 raw, n = memoryview(ids.astype("<u4").tobytes()), len(ids)
                 at, to, piece = 0, n % capacity or capacity, 0
                 while at < n:

@@ -25,8 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daymill.llm import tokenize
 from daymill.llm.common import stage, texts
-from daymill.llm.tokenize import Encoder
 from daymill.session import scratch_path
 
 LANES = 2048
@@ -121,10 +121,9 @@ def _token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     kind = _kind(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
         for batch in batches:
             at = 0
-            for ids in encoder.arrays(batch.column(1), end_id, kind):
+            for ids in tokenize.encoder(tokenizer).arrays(batch.column(1), end_id, kind):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), ids.cast(pa.binary())], ["doc_id", "ids"])
                 at += len(ids)
 

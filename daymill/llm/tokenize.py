@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -52,6 +53,12 @@ def read_tokenizer(path: str) -> str:
     return text
 
 
+@lru_cache(maxsize=1)
+def encoder(tokenizer: str) -> Encoder:
+    """The encoder of this Python worker: tasks it runs one after another share the pieces kept."""
+    return Encoder(tokenizer)
+
+
 class Encoder:
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
