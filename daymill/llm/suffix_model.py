@@ -22,10 +22,9 @@ Words are named by 64-bit hashes in grams and by themselves in the counts of sin
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymill.llm.common import shards_for, stage, texts
+from daymill.llm.common import runs, shards_for, stage, texts
 
 DEPTH = 3
 MIN_COUNT = 4
@@ -41,8 +40,8 @@ MIN_COUNT = 4
 MIN_EVIDENCE = 12.0
 MIN_DIVERGENCE = 0.02
 PRIOR = 1.0
-#: Bits of a bitmap of names, between these bounds as exponents of two.
-MAP_BITS, BLOCK_BITS = (20, 27), 17
+#: Bits of a bitmap of names, between these bounds as exponents of two; blocks are those of Spark's bitmap functions.
+MAP_BITS, BLOCK_BITS = (20, 27), 15
 #: Words whose counts are sent to the tasks, the most frequent ones; those of others are joined.
 HEAD_WORDS = 300_000
 #: Places of one shard, about.
@@ -104,19 +103,42 @@ def mix(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def sequences(n: int, row: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of n texts in a row, start and end around each text's words: names, text, tokens since the start."""
-    count = np.bincount(row, minlength=n)
-    size = count + 2
+def sequences(n: int, row: np.ndarray, codes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of n texts in a row, start and end (codes ``words`` and ``words + 1``) around each: codes, text, tokens since the start."""
+    size = np.bincount(row, minlength=n) + 2
     first = np.cumsum(size) - size
-    token = np.empty(int(size.sum()), np.uint64)
-    token[first], token[first + size - 1] = START, END
-    place = np.arange(len(row)) + 2 * row + 1
-    token[place] = names
+    token = np.empty(int(size.sum()), np.int64)
+    token[first], token[first + size - 1] = words, words + 1
+    token[np.arange(len(row)) + 2 * row + 1] = codes
     text = np.repeat(np.arange(n), size)
     return token, text, np.arange(len(token)) - first[text]
 
 
+def tallied(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of columns of codes below ``size``, and how often each occurs.
+
+    Rows are folded into one integer each, so that values alone are sorted, no indexes.
+    """
+    bits = max(1, int(size).bit_length())
+    key, width, folds = columns[0], bits, []
+    for column in columns[1:]:
+        if width + bits > 63:
+            table, key = np.unique(key, return_inverse=True)
+            width = len(table).bit_length()
+            folds.append(table)
+        key, width = key << bits | column, width + bits
+        folds.append(None)
+    key, n = np.unique(key, return_counts=True)
+    rows = []
+    for table in reversed(folds):
+        if table is None:
+            rows.append(key & ((1 << bits) - 1))
+            key = key >> bits
+        else:
+            key = table[key]
+    return [key, *reversed(rows)], n
+
+
 # --- the tree -------------------------------------------------------------------------
 
 
@@ -128,124 +150,74 @@ def within(sorted_: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, sorted_[at] == values
 
 
-@dataclass
-class Level:
-    """States of one length by name, sorted, with the share left to their suffix; grams by name with their own share."""
-
-    states: np.ndarray
-    rest: np.ndarray
-    grams: np.ndarray
-    own: np.ndarray
-
-
-@dataclass
-class Tree:
-    levels: list[Level] = field(default_factory=list)
-
-    def probabilities(self, token: np.ndarray, since: np.ndarray, places: np.ndarray, root: np.ndarray) -> np.ndarray:
-        """Probability of the tokens at ``places`` (no starts) given those before, from their probabilities at the root."""
-        p = root.copy()
-        open_, context = np.arange(len(places)), np.zeros(len(places), np.uint64)
-        for depth, level in enumerate(self.levels, 1):
-            context = mix(context, token[places[open_] - depth])
-            state, known = within(level.states, context)
-            open_, context, state = open_[known], context[known], state[known]
-            found, seen = within(level.grams, mix(context, token[places[open_]]))
-            own = np.where(seen, level.own[found], 0.0) if len(level.own) else 0.0
-            p[open_] = own + level.rest[state] * p[open_]
-            longer = since[places[open_]] > depth
-            open_, context = open_[longer], context[longer]
-        return p
-
-
-@dataclass
-class Root:
-    """Names of frequent tokens, sorted, their counts, and the number of all tokens and kinds of token."""
-
-    names: np.ndarray
-    counts: np.ndarray
-    tokens: int
-    kinds: int
-
-    def probabilities(self, token: np.ndarray) -> np.ndarray:
-        """Add-one probability of frequent tokens; 1 for all others, which is made up for later."""
-        at, known = within(self.names, token)
-        p = (self.counts + 1.0) / (self.tokens + self.kinds + 1)
-        return np.where(known, p[at], 1.0) if len(p) else np.ones(len(token))
+# --- tokens by chunk ------------------------------------------------------------------
 
 
-# --- tokens by chunk ------------------------------------------------------------------
+def _narrow(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes below ``size`` that occur, and each one's place among them, in few bytes."""
+    if size > 4 * len(codes):
+        used, at = np.unique(codes, return_inverse=True)
+    else:
+        flags = np.zeros(size, bool)
+        flags[codes] = True
+        used, at = np.flatnonzero(flags), (np.cumsum(flags) - 1)[codes]
+    kind = np.uint8 if len(used) <= 1 << 8 else np.uint16 if len(used) <= 1 << 16 else np.uint32
+    return used, at.astype(kind)
 
 
-def packed(*columns: np.ndarray) -> bytes:
-    """Columns of 64-bit names and numbers in few bytes: distinct values, and codes as narrow as can be."""
-    out = []
-    for c in columns:
-        values, codes = np.unique(c, return_inverse=True)
-        kind = np.uint8 if len(values) <= 1 << 8 else np.uint16 if len(values) <= 1 << 16 else np.uint32
-        out += [pa.array(values.view(np.uint64)), pa.array(codes.astype(kind))]
+def packed(*columns: tuple[np.ndarray, np.ndarray]) -> bytes:
+    """Columns, each of values and codes that choose them, in few bytes: only the values used, and narrow codes."""
     sink = pa.BufferOutputStream()
     options = pa.ipc.IpcWriteOptions(compression="zstd")
-    for array in out:
-        batch = pa.RecordBatch.from_arrays([array], ["v"])
-        with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
-            writer.write_batch(batch)
+    for values, codes in columns:
+        used, at = _narrow(codes, len(values))
+        for array in (pa.array(values[used]), pa.array(at)):
+            batch = pa.RecordBatch.from_arrays([array], ["v"])
+            with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+                writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def unpacked(raw: bytes) -> list[np.ndarray]:
+def unpacked(raw: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Values and codes of each column."""
     source, out = pa.BufferReader(raw), []
     while source.tell() < len(raw):
         with pa.ipc.open_stream(source) as reader:
             out.append(reader.read_all().column(0).to_numpy())
-    return [values[codes] for values, codes in zip(out[::2], out[1::2], strict=True)]
+    return list(zip(out[::2], out[1::2], strict=True))
 
 
 CHUNK_SCHEMA = "chunk long, n long, tokens binary, ids binary, sizes binary, learns binary"
 
 
-def _chunk_row(chunk: int, token: np.ndarray, text: np.ndarray, ids: np.ndarray, learn: np.ndarray) -> list[pa.Array]:
-    """One row of CHUNK_SCHEMA: the tokens of some texts, each text's row, and whether to learn from it."""
+def _chunk_row(chunk: int, names: np.ndarray, token: np.ndarray, text: np.ndarray, ids: np.ndarray, learn: np.ndarray) -> list[pa.Array]:
+    """One row of CHUNK_SCHEMA: the tokens of some texts, as codes of ``names``, each text's row, and whether to learn from it."""
     sizes = np.bincount(text, minlength=len(ids)).astype(np.int64)
-    raw = [packed(token), ids.astype(np.int64).tobytes(), sizes.tobytes(), learn.astype(bool).tobytes()]
+    raw = [packed((names, token)), ids.astype(np.int64).tobytes(), sizes.tobytes(), learn.astype(bool).tobytes()]
     return [pa.array([x]) for x in (chunk, len(token), *raw)]
 
 
-def tokenized(docs: DataFrame) -> DataFrame:
-    """All texts by chunk, to learn from."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for low, high, row, codes, words in word_chunks(batch.column(0)):
-                token, text, _ = sequences(high - low, row, word_names(words)[codes])
-                columns = _chunk_row(chunk, token, text, np.arange(high - low), np.ones(high - low))
-                yield pa.RecordBatch.from_arrays(columns, ["chunk", "n", "tokens", "ids", "sizes", "learns"])
-                chunk += 1
-
-    return texts(docs).select("text").mapInArrow(run, CHUNK_SCHEMA)
-
-
 CHUNK = ["chunk", "tokens", "ids", "sizes", "learns"]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """chunk, ids of its texts, then token, text number and tokens since the start of each place, and whether to learn from it."""
+    """chunk, ids of its texts, names of tokens, then code, text number and tokens since the start of each place, and whether to learn from it."""
     for batch in batches:
         for chunk, raw, ids, sizes, learn in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
             size = np.frombuffer(sizes, np.int64)
             text = np.repeat(np.arange(len(size)), size)
             since = np.arange(len(text)) - (np.cumsum(size) - size)[text]
-            yield chunk, np.frombuffer(ids, np.int64), unpacked(raw)[0], text, since, np.frombuffer(learn, bool)[text]
+            ((names, codes),) = unpacked(raw)
+            yield chunk, np.frombuffer(ids, np.int64), names, codes.astype(np.int64), text, since, np.frombuffer(learn, bool)[text]
 
 
-def _cut(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each shard with where it stands."""
-    if not len(shard):
-        return
-    order = np.argsort(shard, kind="stable")
-    numbers, first = np.unique(shard[order], return_index=True)
-    yield from zip(numbers.tolist(), np.split(order, first[1:]), strict=True)
+def _cut(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard that has rows, with where they stand."""
+    order = np.argsort(shard.astype(np.uint16 if shards <= 1 << 16 else np.uint32), kind="stable")
+    ends = np.cumsum(np.bincount(shard, minlength=shards))
+    for k, (low, high) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
+        if low < high:
+            yield k, order[low:high]
 
 
 @dataclass
@@ -257,23 +229,18 @@ class Bitmap:
 
     def may_have(self, names: np.ndarray) -> np.ndarray:
         cell = (names >> np.uint64(64 - self.bits)).astype(np.int64)
-        return (self.flags[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
+        return (self.flags[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def bitmap(table: DataFrame, name: str) -> Bitmap:
+    """Each task sends one bitmap a block, so what moves is bounded by tasks, not by rows."""
     bits = min(max(MAP_BITS[0], (16 * table.count()).bit_length()), MAP_BITS[1])
-
-    def pack(part: pa.Table) -> pa.Table:
-        cell = part.column("cell").to_numpy()
-        flags = np.zeros(1 << BLOCK_BITS, bool)
-        flags[cell & ((1 << BLOCK_BITS) - 1)] = True
-        return pa.table({"block": cell[:1] >> BLOCK_BITS, "flags": [np.packbits(flags).tobytes()]})
-
-    cells = table.select(F.shiftrightunsigned(name, 64 - bits).alias("cell")).distinct()
-    blocks = cells.withColumn("block", F.shiftright("cell", BLOCK_BITS)).groupBy("block").applyInArrow(pack, "block long, flags binary")
+    # the built-in functions number cells from one, and blocks too
+    cell = F.shiftrightunsigned(name, 64 - bits) + 1
+    blocks = table.groupBy(F.bitmap_bucket_number(cell).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("flags"))
     out = np.zeros((1 << (bits - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
     for r in blocks.collect():
-        out[r["block"]] = np.frombuffer(r["flags"], np.uint8)
+        out[r["block"] - 1] = np.frombuffer(r["flags"], np.uint8)
     return Bitmap(bits, out.reshape(-1))
 
 
@@ -287,6 +254,14 @@ def _contexts(token: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     return context
 
 
+def _names_of(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of a context without its first token, of the whole context and of the gram; ``tokens``: the context backwards, then the token."""
+    suffix = context = np.zeros(len(tokens[0]), np.uint64)
+    for t in tokens[:-1]:
+        suffix, context = context, mix(context, t)
+    return suffix, context, mix(context, tokens[-1])
+
+
 def _count_grams(chunks: DataFrame, depth: int, maps: list[tuple[Bitmap, Bitmap]], least: int, shards: int) -> DataFrame:
     """context, token, suffix, last, name, n of grams with ``depth`` tokens of context that come to ``least``.
 
@@ -295,7 +270,8 @@ def _count_grams(chunks: DataFrame, depth: int, maps: list[tuple[Bitmap, Bitmap]
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, token, _, since, learn in _chunks(batches):
+        for _, _, names, codes, _, since, learn in _chunks(batches):
+            token = names[codes]
             at = np.flatnonzero(learn & (since >= depth))
             for k, (states, grams) in enumerate(maps, 1):
                 suffix = _contexts(token, at, k)
@@ -308,28 +284,34 @@ def _count_grams(chunks: DataFrame, depth: int, maps: list[tuple[Bitmap, Bitmap]
                         counted &= shorter.may_have(_contexts(token, before, j))
                     able &= ~counted | grams.may_have(mix(_contexts(token, before, k), token[before]))
                 at = at[able]
-            context = _contexts(token, at, depth)
-            whole, first, n = np.unique(context, return_index=True, return_counts=True)
-            places, counts, kind = [at[first]], [n], [np.zeros(len(whole), np.uint64)]
+            near = [codes[at - k] for k in range(1, depth + 1)]
+            rows, n = tallied(near, len(names))
+            rows.append(np.full(len(n), len(names)))
             if depth > 1:
                 seen = maps[-1][1].may_have(mix(_contexts(token, at, depth - 1), token[at]))
-                at, context = at[seen], context[seen]
-            _, first, n = np.unique(mix(context, token[at]), return_index=True, return_counts=True)
-            places, counts, kind = (np.concatenate(x) for x in ([*places, at[first]], [*counts, n], [*kind, token[at[first]]]))
-            context = _contexts(token, places, depth)
-            columns = [context, kind, _contexts(token, places, depth - 1), _contexts(token, places, 1), counts.astype(np.uint64)]
-            for shard, part in _cut((mix(context, kind) % np.uint64(shards)).astype(np.int64)):
-                yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([packed(*(c[part] for c in columns))])], ["shard", "grams"])
+                at, near = at[seen], [c[seen] for c in near]
+            grams_, times = tallied([*near, codes[at]], len(names))
+            rows, n = [np.concatenate(x) for x in zip(rows, grams_, strict=True)], np.append(n, times)
+            values = np.append(names, NOTHING)
+            shard = (_names_of([values[c] for c in rows])[2] % np.uint64(shards)).astype(np.int64)
+            for k, part in _cut(shard, shards):
+                # few rows differ in their number, so numbers are values with codes too
+                raw = packed(*((values, c[part]) for c in rows), np.unique(n[part], return_inverse=True))
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([raw])], ["shard", "grams"])
 
     def add(part: pa.Table) -> pa.Table:
-        columns = [np.concatenate(x) for x in zip(*map(unpacked, part.column("grams").to_pylist()), strict=True)]
-        context, token, suffix, last, n = columns
-        name, first, same = np.unique(mix(context, token), return_index=True, return_inverse=True)
-        total = np.bincount(same, n.astype(float)).astype(np.int64)
+        columns = zip(*([v[c] for v, c in unpacked(raw)] for raw in part.column("grams").to_pylist()), strict=True)
+        *tokens, n = (np.concatenate(x) for x in columns)
+        name = _names_of(tokens)[2]
+        order = np.argsort(name)
+        starts = runs(name[order])
+        total = np.add.reduceat(n[order], starts[:-1])
         often = total >= least
-        first = first[often]
-        found = [context[first], token[first], suffix[first], last[first], name[often], total[often]]
-        return pa.table([pa.array(x.view(np.int64)) for x in found], ["context", "token", "suffix", "last", "name", "n"])
+        first = order[starts[:-1][often]]
+        tokens = [t[first] for t in tokens]
+        suffix, context, name = _names_of(tokens)
+        found = [context, tokens[-1], suffix, mix(np.zeros(len(first), np.uint64), tokens[0]), name]
+        return pa.table([*(pa.array(x.view(np.int64)) for x in found), pa.array(total[often])], ["context", "token", "suffix", "last", "name", "n"])
 
     dealt = chunks.select(*CHUNK).mapInArrow(deal, "shard long, grams binary")
     return dealt.groupBy("shard").applyInArrow(add, "context long, token long, suffix long, last long, name long, n long")
@@ -372,20 +354,6 @@ def grow_tables(chunks: DataFrame, counts: DataFrame, unit: float, least: int, s
     return levels
 
 
-def grow(docs: DataFrame, root: Root, least: int) -> Tree:
-    """The tree of ``docs`` in arrays, for corpora whose tree the driver can hold."""
-    spark = docs.sparkSession
-    counts = spark.createDataFrame(pd.DataFrame({"name": root.names.view(np.int64), "c": root.counts.astype(np.int64)}))
-    chunks = stage(tokenized(docs), "suffix-tokens")
-    tree = Tree()
-    for level in grow_tables(chunks, counts, float(root.tokens + root.kinds + 1), least, _shards(docs, root.tokens)):
-        states, grams = level.states.toPandas(), level.grams.toPandas()
-        state, gram = states["context"].to_numpy().view(np.uint64), grams["name"].to_numpy().view(np.uint64)
-        by_state, by_name = np.argsort(state), np.argsort(gram)
-        tree.levels.append(Level(state[by_state], states["rest"].to_numpy()[by_state], gram[by_name], grams["own"].to_numpy()[by_name]))
-    return tree
-
-
 def _shards(docs: DataFrame, tokens: int) -> int:
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards_for(tokens, SHARD_PLACES))
 
@@ -408,19 +376,21 @@ def _factors(chunks: DataFrame, levels: list[Table], counts: DataFrame, tokens:
         return np.where(known, copies[at], 1) if len(copies) else np.ones(len(last), np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, ids, token, text, since, _ in _chunks(batches):
+        for chunk, ids, names, codes, text, since, _ in _chunks(batches):
+            token = names[codes]
             at = np.flatnonzero(since >= 1)
             at = at[maps[0].may_have(_contexts(token, at, 1))]
             last = _contexts(token, at, 1)
-            near = [token[at], token[at - 1]]
+            near = [codes[at], codes[at - 1]]
             able = np.ones(len(at), bool)
             for depth, states in enumerate(maps[1:], 2):
                 able[able] = since[at[able]] >= depth
                 able[able] = states.may_have(_contexts(token, at[able], depth))
-                near.append(np.where(able, token[at - depth], NOTHING))
+                near.append(np.where(able, codes[at - depth], len(names)))
+            values, numbers = np.append(names, NOTHING), np.arange(len(ids))
             shard = ((last % np.uint64(shards)).astype(np.int64) + at % copies_of(last)) % shards
-            for k, part in _cut(shard):
-                raw = packed(text[at[part]].astype(np.uint64), *(x[part] for x in near))
+            for k, part in _cut(shard, shards):
+                raw = packed((numbers, text[at[part]]), *((values, x[part]) for x in near))
                 yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([chunk]), pa.array([raw])], ["shard", "chunk", "places"])
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -452,13 +422,21 @@ def _factors(chunks: DataFrame, levels: list[Table], counts: DataFrame, tokens:
             found[k] = name[own], value[own]
         chunk, gains = left.column("chunk").to_pylist(), []
         for raw in left.column("places").to_pylist():
-            text, token, *near = unpacked(raw)
+            (texts_, text), *columns = unpacked(raw)
+            token, *near = (values[codes] for values, codes in columns)
             factor = np.zeros(len(text))
             open_, context = np.arange(len(text)), np.zeros(len(text), np.uint64)
             for depth in range(1, depths + 1):
-                context = mix(context, near[depth - 1][open_])
                 names, rest = found[2 * depth]
-                at, known = within(names, context)
+                if depth == 1:
+                    # single tokens are looked up once for each of their kinds
+                    kinds, codes = columns[1]
+                    one = mix(np.zeros(len(kinds), np.uint64), kinds)
+                    at, known = (x[codes] for x in within(names, one))
+                    context = one[codes]
+                else:
+                    context = mix(context, near[depth - 1][open_])
+                    at, known = within(names, context)
                 open_, context, at = open_[known], context[known], at[known]
                 if not len(open_):
                     break
@@ -468,8 +446,7 @@ def _factors(chunks: DataFrame, levels: list[Table], counts: DataFrame, tokens:
                 factor[open_[seen]] = ratio[at[seen]]
                 longer = near[depth - 1][open_] != START
                 open_, context = open_[longer], context[longer]
-            texts_, same = np.unique(text, return_inverse=True)
-            gains.append(np.array([texts_.astype(float), np.bincount(same, factor)]).tobytes())
+            gains.append(np.array([texts_.astype(float), np.bincount(text, factor, len(texts_))]).tobytes())
         return pa.table([pa.array(chunk, pa.int64()), pa.array(gains, pa.binary())], ["chunk", "gains"])
 
     def add(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -506,8 +483,9 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
     ``training`` names a boolean column: true for rows to learn from, false or null for others.
     Texts are lower-cased (A-Z); tokens are the words and one end. base_score is the log10
     probability by add-one counts of single tokens, score that by the tree. A null or empty text
-    is the end alone. Repeated rows are learned from and scored each. Without any row to learn
-    from, all tokens have probability 1.
+    is the end alone. Repeated rows are learned from and scored each; doc_id may be null, and
+    further columns of ``docs`` are left out. Without any row to learn from, all tokens have
+    probability 1.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col(training), F.lit(False)).alias("learn"))
     learned = rows.filter("learn")
@@ -543,11 +521,12 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(bounds), rare),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(times)),
                 ]
-                token, text, _ = sequences(n, row, word_names(words)[codes])
-                whole = _chunk_row(chunk, token, text, ids, learn.to_numpy(zero_copy_only=False))
-                names = ["doc_id", "learn", "row", "n_words", "n_head", "head_sum", "rare", "times", "chunk", "n", "tokens", "ids", "sizes", "learns"]
-                yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(n, x.type) for x in whole)], names)
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, x.type) for x in own), *whole], names)
+                token, text, _ = sequences(n, row, codes, len(words))
+                names = np.append(word_names(words), [START, END])
+                whole = _chunk_row(chunk, names, token, text, ids, learn.to_numpy(zero_copy_only=False))
+                fields = ["doc_id", "learn", "row", "n_words", "n_head", "head_sum", "rare", "times", "chunk", "n", "tokens", "ids", "sizes", "learns"]
+                yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(n, x.type) for x in whole)], fields)
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, x.type) for x in own), *whole], fields)
                 chunk, first = chunk + 1, first + n
 
     schema = "doc_id long, learn boolean, row long, n_words long, n_head long, head_sum double, rare array<string>, times array<long>, "

@@ -1,7 +1,8 @@
-"""Scores of the suffix tree: counts by brute force, distributions that add up, gains on held-out texts."""
+"""Scores of the suffix tree: against dictionaries by brute force, gains on held-out texts."""
 
 import math
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from daymill.llm import suffix_model
 from daymill.llm.queries import QUERIES
-from daymill.llm.suffix_model import END, START, Root, grow, mix, sequences, word_chunks, word_names
+from daymill.llm.suffix_model import packed, sequences, tallied, unpacked, word_chunks
 from tests.llm.helpers import SF_DIR, awkward, documents, prose
 
 
@@ -55,50 +56,109 @@ def test_chunks_hold_the_words(monkeypatch):
     assert found == [t.encode().lower().split() for t in texts]
 
 
-def tree_of(spark, texts):
-    counts = Counter(w for t in texts for w in t.split())
-    names = word_names(pa.array(list(counts), pa.large_string()))
-    every = np.append(names, [START, END])
-    c = np.append(list(counts.values()), [len(texts)] * 2)
-    order = np.argsort(every)
-    n = sum(counts.values()) + len(texts)
-    root = Root(every[order], c[order], n, len(counts) + 1)
-    docs = documents(spark, list(enumerate(texts)))
-    return grow(docs, root, 2), root, names
-
-
-def test_distributions_add_up(spark):
-    texts = [prose(40, k % 3, 30) + " always the same ending here" for k in range(60)]
-    tree, root, names = tree_of(spark, texts)
-    assert len(tree.levels) >= 2 and all(len(x.states) for x in tree.levels)
-    outcomes = np.append(names, END)
-    for before in (["always"], ["always", "the"], ["nowhere"], texts[0].split()[:3], []):
-        past = word_names(pa.array(before, pa.large_string()))
-        total = 0.0
-        for o in outcomes:
-            token = np.concatenate([[START], past, [o]]).astype(np.uint64)
-            places = np.array([len(token) - 1])
-            total += tree.probabilities(token, np.arange(len(token)), places, root.probabilities(token[places]))[0]
-        unknown = 1 / (root.tokens + root.kinds + 1)
-        rest = tree.probabilities(np.concatenate([[START], past, [np.uint64(7)]]).astype(np.uint64), np.arange(len(past) + 2), np.array([len(past) + 1]), np.array([unknown]))[0]
-        assert total + rest == pytest.approx(1, abs=1e-9)
-
-
-def test_states_are_suffix_closed_and_diverge(spark):
-    texts = ["a b c d"] * 30 + [" ".join(np.random.default_rng(k).permutation(list("abcdefgh"))) for k in range(200)]
-    tree, root, _ = tree_of(spark, texts)
-    name = lambda w: word_names(pa.array([w], pa.large_string()))
-    one = mix(np.zeros(1, np.uint64), name("b"))
-    assert one[0] in tree.levels[0].states
-    token = np.concatenate([[START], name("a"), name("b"), name("c")]).astype(np.uint64)
-    places = np.array([3])
-    p = tree.probabilities(token, np.arange(4), places, root.probabilities(token[places]))
-    assert p[0] > 2 * root.probabilities(token[places])[0]
+def brute(rows, learned):
+    """(id, score) by dictionaries of tuples: counts, states level by level, then every place by its longest state."""
+    least, depths, prior = suffix_model.MIN_COUNT, suffix_model.DEPTH, suffix_model.PRIOR
+    tokens = [("^", *(t or "").encode().lower().split(), "$") for _, t in rows]
+    train = [t for t, (i, _) in zip(tokens, rows, strict=True) if learned(i)]
+    if not train:
+        return [(i, 0.0) for i, _ in rows]
+    single = Counter(w for t in train for w in t[1:])
+    unit = sum(single.values()) + len(single) + 1
+    root = lambda w: (single[w] + 1) / unit
+    below, levels = {((), w): root(w) for w, c in single.items() if c >= least}, []
+    for depth in range(1, depths + 1):
+        grams, whole = Counter(), Counter()
+        for t in train:
+            for at in range(depth, len(t)):
+                grams[t[at - depth : at], t[at]] += 1
+                whole[t[at - depth : at]] += 1
+        listed = {}
+        for (context, w), n in grams.items():
+            if n >= least and (context[1:], w) in below:
+                listed.setdefault(context, {})[w] = n
+        states, kept = {}, {}
+        for context, found in listed.items():
+            c, own = whole[context], sum(found.values())
+            rest = (c - own + prior) / (c + prior)
+            p = {w: n / (c + prior) + rest * below[context[1:], w] for w, n in found.items()}
+            gain = sum(n * math.log(p[w] / below[context[1:], w]) for w, n in found.items()) + (c - own) * math.log(rest)
+            if gain >= suffix_model.MIN_EVIDENCE and gain >= suffix_model.MIN_DIVERGENCE * c:
+                states[context] = rest
+                kept |= {(context, w): x for w, x in p.items()}
+        levels.append((states, kept))
+        below = kept
+    scores = []
+    for (i, _), t in zip(rows, tokens, strict=True):
+        score = 0.0
+        for at in range(1, len(t)):
+            p = root(t[at])
+            for depth, (states, kept) in enumerate(levels[:at], 1):
+                context = t[at - depth : at]
+                if context not in states:
+                    break
+                p = kept.get((context, t[at]), states[context] * p)
+            score += math.log10(p)
+        scores.append((i, score))
+    return scores
+
+
+def check_scores(spark, rows, learn, learned):
+    got = suffix_model.score_documents(marked(spark, rows, learn), "training").collect()
+    rounded = lambda pairs: sorted((i is None, i or 0, round(x, 6) + 0.0) for i, x in pairs)
+    assert rounded((r.doc_id, r.score) for r in got) == rounded(brute(rows, learned))
+    return got
+
+
+@pytest.mark.parametrize("learn", ["doc_id % 2 = 1", "true", "false"])
+def test_scores_by_brute_force(spark, monkeypatch, learn):
+    known = {"true": lambda i: True, "false": lambda i: False}.get(learn, lambda i: i is not None and i % 2 == 1)
+    own = [(100 + k, prose(40, k % 3, 30) + " always the same ending here" * (k % 4)) for k in range(60)]
+    monkeypatch.setattr(suffix_model, "CHUNK_BYTES", 3_000)
+    got = check_scores(spark, awkward() + own, learn, known)
+    if learn != "false":
+        assert sum(r.score > r.base_score for r in got) > 40
+
+
+def test_scores_of_whole_tables(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    check_scores(spark, rows, "pmod(crc32(cast(cast(doc_id as string) as binary)), 7) != 2", lambda i: crc32(str(i).encode()) % 7 != 2)
+
+
+def test_a_last_token_in_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(suffix_model, "SHARD_PLACES", 200)
+    rows = [(k, " ".join(f"the {w} of" for w in prose(30, k % 3, 20).split())) for k in range(40)]
+    check_scores(spark, rows, "doc_id % 3 != 0", lambda i: i % 3 != 0)
+
+
+@pytest.mark.parametrize("size", [3, 1 << 20, 1 << 30])
+def test_tallied_rows(size):
+    rng = np.random.default_rng(size)
+    some = rng.integers(0, size, 5)
+    columns = [rng.choice(some, 1_000) for _ in range(4)]
+    rows, n = tallied(columns, size)
+    want = Counter(zip(*(c.tolist() for c in columns), strict=True))
+    assert dict(zip(zip(*(c.tolist() for c in rows), strict=True), n.tolist(), strict=True)) == want
+
+
+def test_packed_columns_come_back():
+    values, codes = np.array([7, 9, 11], np.uint64), np.array([2, 0, 0, 2])
+    wide = np.arange(1_000) * 3
+    (_, first), (_, second) = columns = unpacked(packed((values, codes), (wide, codes)))
+    assert [v[c].tolist() for v, c in columns] == [[11, 7, 7, 11], [6, 0, 0, 6]]
+    assert first.dtype == second.dtype == np.uint8
+
+
+def test_bitmaps_hold_every_name(spark):
+    names = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 5_000)
+    made = suffix_model.bitmap(spark.createDataFrame([(int(x),) for x in [*names, -1, 0]], "name long"), "name")
+    assert made.may_have(np.append(names, [-1, 0]).view(np.uint64)).all()
+    assert made.may_have(np.random.default_rng(2).integers(0, 1 << 63, 5_000).view(np.uint64)).mean() < 0.02
 
 
 def test_sequences():
-    token, text, since = sequences(3, np.array([0, 0, 2]), np.array([5, 6, 7], np.uint64))
-    assert token.tolist() == [START, 5, 6, END, START, END, START, 7, END]
+    token, text, since = sequences(3, np.array([0, 0, 2]), np.array([0, 1, 0]), 2)
+    assert token.tolist() == [2, 0, 1, 3, 2, 3, 2, 0, 3]
     assert text.tolist() == [0] * 4 + [1] * 2 + [2] * 3
     assert since.tolist() == [0, 1, 2, 3, 0, 1, 0, 1, 2]
 
@@ -110,8 +170,6 @@ def test_held_out_texts_gain(spark):
     assert (held.score > held.base_score).mean() > 0.7
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     small = QUERIES["op2_suffix_tree"](spark, SF_DIR)
-    from zlib import crc32
-
     check_base(rows, small.collect(), lambda i: crc32(str(i).encode()) % 7 != 2)
 
 
