@@ -15,7 +15,7 @@ found there, against its token at the root, times what deeper states leave to th
 places and the part of the tree below their last token meet in one shard; frequent last tokens
 have several shards, with a copy of their part in each.
 
-Bitmaps of states and grams, of bounded size, spare places that cannot matter; the tables decide.
+Bitmaps of words, states and grams, of bounded size, spare places that cannot matter; the tables decide.
 Words are named by 64-bit hashes in grams and by themselves in the counts of single tokens.
 """
 
@@ -48,7 +48,7 @@ HEAD_WORDS = 300_000
 SHARD_PLACES = 2_000_000
 CHUNK_BYTES = 8 << 20
 START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-#: In place of a token that no state has there.
+#: In place of a token that no state has there, and of all words that occur too rarely for any gram.
 NOTHING = np.uint64(0)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -272,7 +272,10 @@ def _count_grams(chunks: DataFrame, depth: int, maps: list[tuple[Bitmap, Bitmap]
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, names, codes, _, since, learn in _chunks(batches):
             token = names[codes]
+            counts = token != NOTHING
             at = np.flatnonzero(learn & (since >= depth))
+            for k in range(1, depth + 1):
+                at = at[counts[at - k]]
             for k, (states, grams) in enumerate(maps, 1):
                 suffix = _contexts(token, at, k)
                 able = states.may_have(suffix)
@@ -287,9 +290,10 @@ def _count_grams(chunks: DataFrame, depth: int, maps: list[tuple[Bitmap, Bitmap]
             near = [codes[at - k] for k in range(1, depth + 1)]
             rows, n = tallied(near, len(names))
             rows.append(np.full(len(n), len(names)))
+            seen = counts[at]
             if depth > 1:
-                seen = maps[-1][1].may_have(mix(_contexts(token, at, depth - 1), token[at]))
-                at, near = at[seen], [c[seen] for c in near]
+                seen &= maps[-1][1].may_have(mix(_contexts(token, at, depth - 1), token[at]))
+            at, near = at[seen], [c[seen] for c in near]
             grams_, times = tallied([*near, codes[at]], len(names))
             rows, n = [np.concatenate(x) for x in zip(rows, grams_, strict=True)], np.append(n, times)
             values = np.append(names, NOTHING)
@@ -498,6 +502,9 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
     head = pa.array(frequent["word"].to_list(), pa.large_string())
     head_counts = np.append(frequent["c"].to_numpy(np.int64), 0)
     unit = float(np.log10(train_tokens + kinds + 1))
+    ends = docs.sparkSession.createDataFrame([(int(x.view(np.int64)), n_texts) for x in (START, END)], "name long, c long")
+    counts = counted.select("name", "c").union(ends)
+    often = bitmap(counts.filter(F.col("c") >= MIN_COUNT), "name")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, first = TaskContext.get().partitionId() << 32, TaskContext.get().partitionId() << 40
@@ -523,7 +530,9 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
                 ]
                 token, text, _ = sequences(n, row, codes, len(words))
                 names = np.append(word_names(words), [START, END])
-                whole = _chunk_row(chunk, names, token, text, ids, learn.to_numpy(zero_copy_only=False))
+                able = often.may_have(names)
+                token = np.where(able, np.cumsum(able), 0)[token]
+                whole = _chunk_row(chunk, np.append(NOTHING, names[able]), token, text, ids, learn.to_numpy(zero_copy_only=False))
                 fields = ["doc_id", "learn", "row", "n_words", "n_head", "head_sum", "rare", "times", "chunk", "n", "tokens", "ids", "sizes", "learns"]
                 yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(n, x.type) for x in whole)], fields)
                 yield pa.RecordBatch.from_arrays([*(pa.nulls(1, x.type) for x in own), *whole], fields)
@@ -539,7 +548,7 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
         .groupBy("row")
         .agg(F.sum("times").alias("n_tail"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("tail_sum"))
     )
-    gains = _gains(chunks, counted, n_texts, train_tokens, kinds)
+    gains = _gains(chunks, counts, n_texts, train_tokens, kinds)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     base = F.col("head_sum") + zero("tail_sum") + float(np.log10(n_texts + 1)) - (F.col("n_words") + 1) * unit
     return parts.drop("rare", "times").join(found, "row", "left").join(gains, "row", "left").select(
@@ -553,14 +562,12 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
     )
 
 
-def _gains(chunks: DataFrame, counted: DataFrame, n_texts: int, train_tokens: int, kinds: int) -> DataFrame:
+def _gains(chunks: DataFrame, counts: DataFrame, n_texts: int, train_tokens: int, kinds: int) -> DataFrame:
     """row, gain: what the tree adds to the score of each text."""
     spark = chunks.sparkSession
     nothing = spark.range(0).select(F.col("id").alias("row"), F.lit(0.0).alias("gain"))
     if not n_texts:
         return nothing
-    ends = spark.createDataFrame([(int(x.view(np.int64)), n_texts) for x in (START, END)], "name long, c long")
-    counts = counted.select("name", "c").union(ends)
     places = chunks.agg(F.sum("n")).first()[0]
     shards = _shards(chunks, places)
     levels = grow_tables(chunks, counts.filter(F.col("c") >= MIN_COUNT), float(train_tokens + kinds + 1), MIN_COUNT, shards)
