@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymill.llm.common import runs, shards_for, stage, texts
+from daymill.session import clear_scratch, scratch_path
 
 DEPTH = 3
 MIN_COUNT = 4
@@ -330,23 +331,32 @@ class Table:
     maps: tuple[Bitmap, Bitmap]
 
 
+def _passing(df: DataFrame, label: str, paths: list[str]) -> DataFrame:
+    """A staged table whose path is noted, to be removed once what follows from it is written."""
+    spark = df.sparkSession
+    paths.append(scratch_path(spark, label))
+    df.write.option("compression", "zstd").parquet(paths[-1])
+    return spark.read.schema(df.schema).parquet(paths[-1])
+
+
 def grow_tables(chunks: DataFrame, counts: DataFrame, unit: float, least: int, shards: int) -> list[Table]:
     """The tree's levels as tables. ``counts`` (name, c) are those of single tokens, ``unit`` what they are divided by."""
     levels: list[Table] = []
     for depth in range(1, DEPTH + 1):
-        grams = stage(_count_grams(chunks, depth, [x.maps for x in levels], least, shards), "suffix-grams")
+        passing: list[str] = []
+        grams = _passing(_count_grams(chunks, depth, [x.maps for x in levels], least, shards), "suffix-grams", passing)
         if depth == 1:
             root = counts.select(F.col("name").alias("token"), ((F.col("c") + 1.0) / unit).alias("below"), ((F.col("c") + 1.0) / unit).alias("root"))
             known = grams.filter("token != 0").join(root, "token")
         else:
             shorter = levels[-1].grams.select(F.col("context").alias("suffix"), "token", F.col("p").alias("below"), (F.col("p") / F.col("ratio")).alias("root"))
             known = grams.filter("token != 0").join(shorter, ["suffix", "token"])
-        known = stage(known, "suffix-grams-below")
+        known = _passing(known, "suffix-grams-below", passing)
         listed = known.groupBy("context").agg(F.sum("n").alias("listed"))
         totals = grams.filter("token = 0").select("context", F.col("n").cast("double").alias("c"))
         rest = listed.join(totals, "context").select("context", "c", "listed", ((F.col("c") - F.col("listed") + PRIOR) / (F.col("c") + PRIOR)).alias("rest"))
         p = F.col("n") / (F.col("c") + PRIOR) + F.col("rest") * F.col("below")
-        gained = stage(known.join(rest, "context").withColumn("own", F.col("n") / (F.col("c") + PRIOR)).withColumn("p", p), "suffix-gains")
+        gained = _passing(known.join(rest, "context").withColumn("own", F.col("n") / (F.col("c") + PRIOR)).withColumn("p", p), "suffix-gains", passing)
         gain = F.sum(F.col("n") * F.log(F.col("p") / F.col("below"))) + F.first(F.col("c") - F.col("listed")) * F.log(F.first("rest"))
         by = gained.groupBy("context").agg(F.first("last").alias("last"), F.first("rest").alias("rest"), F.first("c").alias("c"), gain.alias("gain"))
         states = stage(by.filter((F.col("gain") >= MIN_EVIDENCE) & (F.col("gain") >= MIN_DIVERGENCE * F.col("c"))).select("context", "last", "rest"), "suffix-states")
@@ -355,6 +365,8 @@ def grow_tables(chunks: DataFrame, counts: DataFrame, unit: float, least: int, s
         kept = gained.join(states.select("context"), "context", "left_semi")
         kept = stage(kept.select("context", "token", "last", "name", "own", "p", (F.col("p") / F.col("root")).alias("ratio")), "suffix-kept")
         levels.append(Table(states, kept, (bitmap(states, "context"), bitmap(grams.filter("token != 0"), "name"))))
+        for path in passing:
+            clear_scratch(chunks.sparkSession, path)
     return levels
 
 
