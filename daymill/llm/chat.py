@@ -1,10 +1,12 @@
 """Chat formatting by prefix-target expansion, on DataFrame functions only.
 
 Every assistant turn becomes an example: all turns before it are its context, its own reply is
-the one part under the loss mask. Contexts of one conversation are prefixes of each other, so
-they are stored once: the output has one rendered piece per turn, and an example is the row of
-its reply with the character range of the reply inside the text made of all pieces up to it.
-The output therefore grows with the conversations, not with the square of their length.
+the one part under the loss mask. ``expand`` renders one piece per turn and places the replies;
+``write_examples`` writes every example out whole, context and reply, with the character range of
+the reply, and the turns after a conversation's last reply once, without a mask. What ``digest``
+tells is read back from those texts. Written out, contexts repeat, so characters grow with the
+square of a conversation's length; a conversation of much text is therefore dealt in shares of its
+examples, and a task forms one example at a time.
 
 A piece is ``<|turn|>`` role ``<|text|>`` text ``<|end|>``. Inside roles and texts a backslash is
 doubled and ``<|`` becomes ``<\\|``, so no mark can be forged and every text comes back as it was.
@@ -15,8 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daymill.llm.common import stage
+
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
-_MARKS = r"<\|(?:turn|text|end)\|>"
+_END = r"<\|end\|>"
+_HEADS = r"<\|(?:turn|text)\|>"
+#: Characters of a conversation's examples from which they are dealt among tasks.
+SHARE_CHARS = 64_000_000
 
 
 def escape(text: Column) -> Column:
@@ -69,62 +76,98 @@ def expand(turns: DataFrame) -> DataFrame:
     )
 
 
+def _formed(pieces: DataFrame) -> DataFrame:
+    """conv_id, example, text, loss_start, loss_end, final: every example, and the turns after the last reply.
+
+    Those turns have no example number and no mask. ``final`` marks the last example and them: joined, these two
+    texts are the conversation.
+    """
+    at = F.col("position").cast("int")
+    reply = F.col("example").isNotNull()
+    whole = F.col("prefix_chars") + F.length("piece")
+    packed = pieces.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct(at.alias("position"), "piece"))).alias("turns"),
+        F.array_sort(F.collect_list(F.when(reply, F.struct("example", "loss_start", "loss_end", at.alias("last"))))).alias("replies"),
+        F.ceil(F.coalesce(F.sum(F.when(reply, whole)), F.lit(0)) / SHARE_CHARS).alias("shares"),
+    )
+    shares = F.greatest("shares", F.lit(1))
+    dealt = packed.select(
+        "conv_id",
+        F.transform("turns", lambda t: t.piece).alias("pieces"),
+        "replies",
+        shares.alias("shares"),
+        F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"),
+    ).repartition("conv_id", "share")
+    n, replied = F.size("pieces"), F.size("replies")
+    after = F.when(replied > 0, F.get("replies", replied - 1).last + 1).otherwise(0)
+
+    def row(first, last, example, start, end, final):
+        kinds = {"first": "int", "last": "int", "example": "long", "loss_start": "long", "loss_end": "long", "final": "boolean"}
+        return F.struct(*(c.cast(kind).alias(name) for (name, kind), c in zip(kinds.items(), (first, last, example, start, end, final), strict=True)))
+
+    own = F.filter("replies", lambda r: F.pmod(r.example, F.col("shares")) == F.col("share"))
+    none = F.lit(None)
+    targets = F.concat(
+        F.transform(own, lambda r: row(F.lit(0), r.last, r.example, r.loss_start, r.loss_end, r.example == replied - 1)),
+        F.filter(F.array(row(after, n - 1, none, none, none, F.lit(True))), lambda r: (r.first < n) & (F.col("share") == 0)),
+    )
+    text = F.array_join(F.slice("pieces", F.col("first") + 1, F.col("last") - F.col("first") + 1), "")
+    return dealt.select("conv_id", "pieces", F.inline(targets)).select("conv_id", "example", text.alias("text"), "loss_start", "loss_end", "final")
+
+
 def examples(pieces: DataFrame) -> DataFrame:
-    """Whole examples: conv_id, example, text, loss_start, loss_end.
+    """Whole examples: conv_id, example, text, loss_start, loss_end."""
+    return _formed(pieces).filter("example IS NOT NULL").drop("final")
+
+
+def write_examples(pieces: DataFrame) -> DataFrame:
+    """All examples as written out, and the turns after each last reply; see ``_formed`` for the columns."""
+    return stage(_formed(pieces), "chat-examples")
 
-    Written out, the contexts of a conversation repeat; filter ``pieces`` by conversation first
-    where single conversations are very long.
+
+def read_back(written: DataFrame) -> DataFrame:
+    """Each written text taken apart: conv_id, example, chars, reply (the text under the loss mask), turns.
+
+    Turns (role and text each) are those of the final texts only; other examples are beginnings of them.
     """
-    targets = pieces.filter("example IS NOT NULL").select("conv_id", "example", "loss_start", "loss_end", F.col("position").alias("last"))
-    context = pieces.select(F.col("conv_id").alias("c"), "position", "piece")
-    parts = targets.join(context, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("position") <= F.col("last")))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "piece"))), lambda p: p.piece), "")
-    return parts.groupBy("conv_id", "example", "loss_start", "loss_end").agg(joined.alias("text"))
-
-
-def read_back(pieces: DataFrame) -> DataFrame:
-    """Each piece taken apart again: conv_id, position, role, text, and reply, the text under the loss mask."""
-    parts = F.split("piece", _MARKS)
-    masked = F.substring(F.col("piece"), (F.col("loss_start") - F.col("prefix_chars") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))
-    return pieces.select(
-        "*",
-        unescape(parts[1]).alias("role"),
-        unescape(parts[2]).alias("text"),
+    masked = F.substring(F.col("text"), (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))
+    pieces = F.filter(F.split("text", _END), lambda p: p != "")
+
+    def turn(piece: Column) -> Column:
+        parts = F.split(piece, _HEADS)
+        return F.struct(unescape(parts[1]).alias("role"), unescape(parts[2]).alias("text"))
+
+    return written.select(
+        "conv_id",
+        "example",
+        F.length("text").cast("long").alias("chars"),
         F.when(F.col("example").isNotNull(), unescape(masked)).alias("reply"),
+        F.when(F.col("final"), F.transform(pieces, turn)).alias("turns"),
     )
 
 
 def digest(pieces: DataFrame) -> DataFrame:
-    """Per conversation, read back from the output: turns, loss text and characters of its examples.
+    """Per conversation, read back from its examples as written: turns, loss text and characters.
 
     formatted_chars adds up the texts of all examples, and the turns after the last reply once.
     """
-    turns = F.array_sort(F.collect_list(F.struct("position", "role", "text", "reply")))
-    last = F.max(F.when(F.col("example").isNotNull(), F.col("position")))
-    whole = F.col("prefix_chars") + F.length("piece")
+    number = F.coalesce("example", F.lit(2**62))  # turns after the last reply come last
+    texts = F.array_sort(F.collect_list(F.struct(number.alias("number"), "reply", "turns")))
     return (
-        read_back(pieces)
+        read_back(write_examples(pieces))
         .groupBy("conv_id")
-        .agg(
-            F.count("*").alias("n_turns"),
-            turns.alias("turns"),
-            F.sum(F.when(F.col("example").isNotNull(), whole)).alias("example_chars"),
-            F.max(whole).alias("all_chars"),
-            F.max(F.when(F.col("example").isNotNull(), whole)).alias("covered"),
-            last.alias("last_reply"),
-        )
+        .agg(texts.alias("texts"), F.sum("chars").alias("formatted_chars"), F.count("example").alias("n_examples"))
         .select(
             "conv_id",
-            "n_turns",
-            F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), ""), 256).alias("turns_sha256"),
-            F.array_join(F.transform("turns", lambda t: t.reply), "").alias("loss"),
-            (F.coalesce("example_chars", F.lit(0)) + F.col("all_chars") - F.coalesce("covered", F.lit(0))).alias("formatted_chars"),
-            (F.col("last_reply").isNotNull()).alias("trainable"),
+            F.flatten(F.filter(F.transform("texts", lambda t: t.turns), lambda t: t.isNotNull())).alias("turns"),
+            F.array_join(F.transform("texts", lambda t: t.reply), "").alias("loss"),
+            "formatted_chars",
+            (F.col("n_examples") > 0).alias("trainable"),
         )
         .select(
             "conv_id",
-            "n_turns",
-            "turns_sha256",
+            F.size("turns").cast("long").alias("n_turns"),
+            F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), ""), 256).alias("turns_sha256"),
             F.length("loss").cast("long").alias("loss_chars"),
             F.sha2("loss", 256).alias("loss_sha256"),
             "formatted_chars",

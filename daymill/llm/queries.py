@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymill.llm import chat, clustering, compression, decontaminate, isolation, line_dedup, mixing, oracles, packing, simhash_groups, subword, suffix_array, suffix_model, token_stream
-from daymill.llm.common import fold_of, stage
+from daymill.llm.common import fold_of
 from daymill.llm.tokenize import read_tokenizer
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -90,8 +90,7 @@ def op6_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_prefix_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.range(2).selectExpr("-7L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role", "'</s>[INST] ok [/INST]' AS text")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    pieces = stage(chat.expand(turns.union(added)), "chat-pieces")
-    return chat.digest(pieces).drop("trainable")
+    return chat.digest(chat.expand(turns.union(added))).drop("trainable")
 
 
 ORACLES["op7_prefix_expansion"] = oracles.CHATS

@@ -76,6 +76,24 @@ def test_characters_of_all_examples(spark):
     assert digest[3].formatted_chars == len(f"{TURN}user{TEXT}<\\|turn|>{END}") and not digest[3].trainable
 
 
+def test_the_query_writes_every_example_and_reads_it_back(spark, monkeypatch):
+    written = []
+    kept = lambda df, label: (written.append((label, real(df, label))), written[-1][1])[1]
+    real = chat.stage
+    monkeypatch.setattr(chat, "stage", kept)
+    monkeypatch.setattr(chat, "SHARE_CHARS", 60)  # examples of one conversation in several shares
+    got = {r.conv_id: r for r in QUERIES["op7_prefix_expansion"](spark, SF_DIR).collect()}
+    rows = [r for label, df in written if label == "chat-examples" for r in df.collect()]
+    replies = spark.read.parquet(f"{SF_DIR}/conversations.parquet").filter("role = 'assistant'").count() + 1
+    assert sum(r.example is not None for r in rows) == replies
+    for c, r in got.items():
+        own = [x for x in rows if x.conv_id == c]
+        assert r.formatted_chars == sum(len(x.text) for x in own)
+        assert sorted(x.example for x in own if x.example is not None) == list(range(sum(x.example is not None for x in own)))
+        assert r.loss_chars <= sum(x.loss_end - x.loss_start for x in own if x.example is not None)
+    assert differences(spark, SimpleNamespace(run=QUERIES["op7_prefix_expansion"], sql=ORACLES["op7_prefix_expansion"]), SF_DIR) == []
+
+
 def test_query(spark):
     got = {r.conv_id: r for r in QUERIES["op7_prefix_expansion"](spark, SF_DIR).collect()}
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
