@@ -1,9 +1,12 @@
 """Benchmark decontamination by SimHash over item-sized windows, on DataFrame functions only.
 
 Documents and items are lower-cased and cut into five-word shingles (a text of fewer words is
-one shingle). A window of a document, as many words long as some item, can resemble that item
-only if they share a shingle, and a shared shingle says where the window would begin. So windows
-are formed at those places, every one of them. Each gets a 64-bit SimHash; with 64 bits in
+one shingle). Windows are as many words long as some item and begin at any word; a shorter document
+is one window. A window can reach the similarity with an item of its size only if most of its shingles
+are shingles of such items: of a window's m' and an item's m, 4/9 of (m + m') at least. So shingles
+of items are looked up in all documents, and a window is formed at every place where enough of them
+lie; everywhere else none can resemble an item. Where a shared shingle says that an item would begin
+before the document or end after it, the window that is left of it is formed too. Each window gets a 64-bit SimHash; with 64 bits in
 RADIUS + 1 blocks, any two fingerprints within RADIUS bits agree on one block whole, so looking
 up every block among items of the window's size finds them all. Pairs within the radius are then
 compared by their shingles themselves, each weighted with how often it occurs:
@@ -104,6 +107,43 @@ def text_key(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit("second"), whole).alias("k2")
 
 
+def _shingles_of(n: Column) -> Column:
+    """How many shingles n words have."""
+    return n - F.least(n, F.lit(SHINGLE)) + 1
+
+
+def _least_hits() -> Column:
+    """Shingles that any window must share with an item of n words: 0.8 of the item's."""
+    return F.expr(f"(4 * (n - least(n, {SHINGLE}) + 1) + 4) div 5")
+
+
+def _starts() -> Column:
+    """n, start and hits (and no ``said``) of all windows of n words with enough hits, from the sorted places ``at`` of the hits.
+
+    A window belongs to the first hit in it. It has enough if the hit that completes the number lies in it too, so
+    the windows of a hit begin in one interval.
+    """
+    least, reach = _least_hits(), _shingles_of(F.col("n")) - 1
+
+    def of_hit(i: Column) -> Column:
+        first, last = F.get("at", i), F.get("at", (i + least - 1).cast("int"))
+        low = F.greatest(last - reach, F.coalesce(F.get("at", i - 1) + 1, last - reach))
+
+        def counted(start: Column) -> Column:
+            inside = F.filter(F.slice("at", i + 1, reach + 1), lambda p: p <= start + reach)
+            return F.struct(F.col("n"), start.alias("start"), F.size(inside).alias("hits"), F.lit(False).alias("said"))
+
+        return F.when(low <= first, F.transform(F.sequence(low, F.greatest(low, first)), counted))
+
+    found = F.transform(F.sequence(F.lit(0), (F.size("at") - least).cast("int")), of_hit)
+    return F.flatten(F.filter(found, lambda f: f.isNotNull()))
+
+
+def _said() -> Column:
+    """The starts that shared shingles say, as windows like those of ``_starts``; with all hits, since they lie anywhere."""
+    return F.transform("said", lambda start: F.struct(F.col("n"), start.alias("start"), F.size("at").alias("hits"), F.lit(True).alias("said")))
+
+
 def leaked_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """k1, k2 (name of a text), item_id, similarity, start (first word), n_words of its most similar window."""
     items = stage(_items(benchmark), "benchmark-items")
@@ -116,12 +156,14 @@ def leaked_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         found = (
             named.select("k1", "k2", F.posexplode(let(word_hashes(F.col("text")), grams_of(k))).alias("at", "h"))
             .join(F.broadcast(own) if few else own, "h")
-            .select("k1", "k2", "n", (F.col("at") - F.col("offset")).alias("start"))
+            .select("k1", "k2", "n", "at", (F.col("at") - F.col("offset")).alias("start"))
         )
         hits = found if hits is None else hits.union(found)
     if hits is None:
-        hits = named.select("k1", "k2", F.lit(0).alias("n"), F.lit(0).alias("start")).filter("false")
-    places = stage(hits.distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("n", "start")).alias("places")), "benchmark-places")
+        hits = named.select("k1", "k2", F.lit(0).alias("n"), F.lit(0).alias("at"), F.lit(0).alias("start")).filter("false")
+    gathered = hits.groupBy("k1", "k2", "n").agg(F.sort_array(F.collect_set("at")).alias("at"), F.collect_set("start").alias("said"))
+    starts = gathered.filter(F.size("at") >= _least_hits()).select("k1", "k2", F.concat(_starts(), _said()).alias("starts"))
+    places = stage(starts.groupBy("k1", "k2").agg(F.flatten(F.collect_list("starts")).alias("places")), "benchmark-places")
     texts = named.join(places.select("k1", "k2"), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("text").alias("text"))
     hashed = texts.select("k1", "k2", word_hashes(F.col("text")).alias("w")).join(places, ["k1", "k2"])
 
@@ -130,7 +172,13 @@ def leaked_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         high = F.least(p.start + p.n, F.size("w"))
         return F.struct(p.n.alias("n"), low.alias("start"), (high - low).alias("n_words"), F.slice("w", low + 1, high - low).alias("w"))
 
-    cut = hashed.select("k1", "k2", F.inline(F.transform("places", window)))
+    def can_reach(p: Column) -> Column:
+        low, high = F.greatest(p.start, F.lit(0)), F.least(p.start + p.n, F.size("w"))
+        sticks_out = (p.start < 0) | (p.start + p.n > F.size("w"))
+        enough = 9 * p.hits >= 4 * (2 * _shingles_of(p.n) - (p.n - (high - low)))
+        return enough & (p.said == sticks_out) | enough & (p.start == 0)
+
+    cut = hashed.select("k1", "k2", F.inline(F.transform(F.filter("places", can_reach), window)))
     shingles = F.lit(None).cast("array<long>")
     for k in range(1, SHINGLE + 1):
         is_k = F.least(F.col("n_words"), F.col("n"), F.lit(SHINGLE)) == k

@@ -66,6 +66,20 @@ def test_every_leak_is_found(spark):
     assert len(want) > 8
 
 
+def test_windows_that_begin_at_no_shared_shingles_place(spark):
+    """Parts of an item in another order: the window that holds both begins where neither part says."""
+    a, b, edge = prose(34, 51).split(), prose(30, 52).split(), prose(40, 53).split()
+    docs = [
+        (1, " ".join([*edge, *b, *a, *edge])), (2, " ".join([*edge, *b, *a])), (3, " ".join([*b, *a, *edge])), (4, " ".join([*edge, *b, *edge, *a])),
+        (5, " ".join([*edge, *b[:20], *a, *b[20:], *edge])), (6, " ".join([*b, *a] * 3)), (7, "a " * 90),
+    ]
+    items = [(1, " ".join(a + b)), (2, " ".join(b[:12] + a)), (3, "a " * 30), (4, "a a a a a b b")]
+    got = decontaminate.leaks(documents(spark, docs), items_of(spark, items)).collect()
+    want = plain(docs, items)
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+    assert {(1, 1), (2, 1), (3, 1)} <= set(want)
+
+
 def test_large_benchmarks_are_not_broadcast(spark, monkeypatch):
     docs, items = planted()
     before = {tuple(r) for r in decontaminate.leaks(documents(spark, docs), items_of(spark, items)).collect()}
