@@ -31,12 +31,13 @@ def scan_volumes(spark: SparkSession, path: str) -> DataFrame:
 def promote_volumes(spark: SparkSession, path: str, raw_root: str) -> str:
     """All rows of the text file into the raw layer, dated, one folder per year.
 
-    Rows whose parts form no date are kept in a folder of their own.
+    Rows whose parts form no date are kept in a folder of their own. Rows are not gathered by
+    year first: years are few, and a task then sorts one split of the text, however many rows a year has.
     """
     counts = scan_volumes(spark, path)
     dated = counts.withColumn("date", date_from_parts("yr", "m", "d"))
     year = F.coalesce(F.date_format("date", "yyyy"), F.lit(UNDATED))
-    return promote_at_once(dated.withColumn(PERIOD_COLUMN, year), raw_root, SOURCE, rebalance=True)
+    return promote_at_once(dated.withColumn(PERIOD_COLUMN, year), raw_root, SOURCE)
 
 
 def read_raw_volumes(spark: SparkSession, raw_root: str, period: Period) -> DataFrame:

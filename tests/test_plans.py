@@ -2,6 +2,7 @@
 
 import datetime as dt
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -268,3 +269,17 @@ def test_observations_that_do_not_fit_are_kept_apart(spark, tmp_path):
     path = observations.promote_observations(spark, template, raw, ["2022"], misfits="quarantine")
     assert observations.read_raw_observations(spark, raw, period, misfits="quarantine").count() == 5
     assert [r.reason for r in read_quarantined(spark, path).collect()] == [f"{observations.MEASURES[-1]} is no double"]
+
+
+def test_a_task_sorts_one_split_of_volumes(spark, tmp_path):
+    """A year's counts are not gathered into one task before they are written."""
+    for k in range(3):
+        lines = "".join(f"{v},2024,{m},5,Bronx\n" for v in range(50) for m in (1, 13))
+        (tmp_path / "landing").mkdir(exist_ok=True)
+        (tmp_path / "landing" / f"{k}.csv").write_text("vol,yr,m,d,boro\n" + lines)
+    splits = spark.read.csv(str(tmp_path / "landing"), header=True).rdd.getNumPartitions()
+    path = volumes.promote_volumes(spark, str(tmp_path / "landing"), str(tmp_path / "raw"))
+    for year in ("2024", "undated"):
+        files = list(Path(path).glob(f"batch=*/period={year}/*.parquet"))
+        assert len(files) == splits > 1
+        assert spark.read.parquet(*map(str, files)).count() == 150
