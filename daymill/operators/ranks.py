@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymill.session import scratch_path
@@ -36,25 +36,38 @@ def value_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def rank_correlations(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """column_name, rank_correlation: Spearman's, of each column with the target, over rows that have both; null if one is constant.
 
-    Rows are counted per pair of values before ranks are joined to them, so ties do not make rows. A pair's ranks are
-    taken over the rows that have both values.
+    A pair's ranks are taken over the rows that have both values. Ranks of the columns' values are joined to the rows,
+    which are then summed up once per value of the target, for all columns together; pairs of values are never counted.
     """
-    pairs = F.array(*(F.struct(F.lit(c).alias("pair"), F.col(c).cast("double").alias("x"), F.col(target).cast("double").alias("y")) for c in columns))
-    both = df.select(F.inline(pairs)).filter("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
-    both = _stored(both.groupBy("pair", "x", "y").agg(F.count("*").alias("rows")), "rank-pairs")
-    ranked = both
-    for side in ("x", "y"):
-        counted = both.groupBy("pair", side).agg(F.sum("rows").alias("n"))
-        own = _ranked(counted, "pair", side).select("pair", side, F.col("rank").alias(f"rank_{side}"))
-        ranked = ranked.join(own, ["pair", side])
-    n, x, y = (F.col(c).cast("double") for c in ("rows", "rank_x", "rank_y"))
+    names = list(dict.fromkeys(columns))
+    rows = df.select(_number(target).alias("y"), *(_number(c).alias(f"x{k}") for k, c in enumerate(names))).filter("y IS NOT NULL")
+    values = F.array(*(F.struct(F.lit(k).alias("pair"), F.col(f"x{k}").alias("x")) for k in range(len(names))))
+    counted = rows.select(F.inline(values)).filter("x IS NOT NULL").groupBy("pair", "x").agg(F.count("*").alias("n"))
     # ranks about their middle, (rows + 1) / 2, so that large sums do not cancel
-    middle = both.groupBy("pair").agg(((F.sum("rows") + 1) / 2).alias("middle"))
-    dx, dy = x - F.col("middle"), y - F.col("middle")
-    centred = ranked.join(F.broadcast(middle), "pair")  # a row per column
-    sums = centred.groupBy("pair").agg(F.sum(n * dx * dy).alias("xy"), F.sum(n * dx * dx).alias("xx"), F.sum(n * dy * dy).alias("yy"))
-    found = F.when((F.col("xx") > 0) & (F.col("yy") > 0), F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")))
-    return sums.select(F.col("pair").alias("column_name"), found.alias("rank_correlation"))
+    own = _stored(_about_middle(_ranked(counted, "pair", "x")).select("pair", "x", "n", "off"), "rank-values")
+    for k in range(len(names)):
+        rows = rows.join(own.filter(F.col("pair") == k).select(F.col("x").alias(f"x{k}"), F.col("off").alias(f"off{k}")), f"x{k}", "left")
+    sums = [m for k in range(len(names)) for m in (F.count(f"off{k}").alias(f"n{k}"), F.sum(f"off{k}").alias(f"s{k}"))]
+    found = F.array(*(F.struct(F.lit(k).alias("pair"), F.col(f"n{k}").alias("n"), F.col(f"s{k}").alias("s")) for k in range(len(names))))
+    by_target = rows.groupBy("y").agg(*sums).select("y", F.inline(found)).filter("n > 0")
+    ys = _about_middle(_ranked(by_target, "pair", "y"))
+    n, off = F.col("n").cast("double"), F.col("off")
+    own_squares = own.groupBy("pair").agg(F.sum(n * off * off).alias("xx"))
+    both = ys.groupBy("pair").agg(F.sum(F.col("s") * off).alias("xy"), F.sum(n * off * off).alias("yy")).join(F.broadcast(own_squares), "pair")  # a row per column
+    correlation = F.when((F.col("xx") > 0) & (F.col("yy") > 0), F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")))
+    return both.select(F.get(F.array(*map(F.lit, names)), F.col("pair")).alias("column_name"), correlation.alias("rank_correlation"))
+
+
+def _number(name: str) -> Column:
+    """A column's value as a double; NaN is none."""
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _about_middle(ranked: DataFrame) -> DataFrame:
+    """With ``off``, each value's rank less the middle one of its pair."""
+    middle = ranked.groupBy("pair").agg(((F.sum("n") + 1) / 2).alias("middle"))
+    return ranked.join(F.broadcast(middle), "pair").withColumn("off", F.col("rank") - F.col("middle"))  # a row per column
 
 
 def _ranked(counted: DataFrame, group: str, value: str) -> DataFrame:

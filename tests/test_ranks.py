@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from daymill.operators import ranks
 from daymill.operators.ranks import rank_correlations, value_ranks
 from daymill.plans.ridge import best_strength, cross_validated_ridge, fit_ridge, fold_grams, time_fold
 from daymill.sources.sorted_sink import join_bucketed, write_bucketed, write_interleaved
@@ -58,6 +59,17 @@ def test_rank_correlations(spark):
         assert got[name] == pytest.approx(plain_correlation([(r[0], r[k]) for r in rows if r[k] is not None]), abs=1e-12)
 
 
+def test_no_table_of_pairs_of_values(spark, monkeypatch):
+    """What is moved and kept grows with the values of a column, not with the pairs they form with the target's."""
+    kept = []
+    real = ranks._stored
+    monkeypatch.setattr(ranks, "_stored", lambda df, label: kept.append(real(df, label)) or kept[-1])
+    rows = [(float(k % 25), float(k % 40)) for k in range(1000)]
+    got = rank_correlations(spark.createDataFrame(rows, "y double, x double"), "y", ["x", "x"]).collect()
+    assert [(r.column_name, r.rank_correlation) for r in got] == [("x", pytest.approx(plain_correlation(rows), abs=1e-12))]
+    assert max(df.count() for df in kept) == 40
+
+
 def test_ranks_of_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert value_ranks(empty, ["a"]).collect() == [] and rank_correlations(empty, "a", ["b"]).collect() == []
