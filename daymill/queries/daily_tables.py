@@ -42,6 +42,12 @@ TRIP_FEED = {
 YELLOW_ONLY = {"Airport_fee": "l_tax * 20"}
 GREEN_ONLY = {"ehail_fee": "CAST(NULL AS DOUBLE)", "trip_type": "l_linenumber"}
 
+#: What the feeds are worked out from.
+FED_COLUMNS = (
+    "l_linenumber l_suppkey l_quantity l_extendedprice l_discount l_tax l_returnflag l_shipdate "
+    "o_orderdate o_orderpriority o_totalprice"
+).split()
+
 
 def landing_trips(spark: SparkSession, sf_dir: str) -> str:
     """Lines and their orders as monthly trip files of two sources, told apart by line status.
@@ -50,20 +56,21 @@ def landing_trips(spark: SparkSession, sf_dir: str) -> str:
     """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
-    feed = TRIP_FEED | YELLOW_ONLY | GREEN_ONLY
     joined = lines.join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr(
-        *(f"{sql} AS {name}" for name, sql in feed.items()),
+        *FED_COLUMNS,
         "CASE WHEN l_linestatus = 'F' THEN 'yellow_taxi' ELSE 'green_taxi' END AS source",
         f"date_format(o_orderdate, 'yyyy-MM') AS {PERIOD_COLUMN}",
     )
     both, landing = scratch_path(spark, "trips"), scratch_path(spark, "landing")
     joined.write.partitionBy("source").parquet(both)
-    for spec, letter, foreign in ((trips.YELLOW, "t", GREEN_ONLY), (trips.GREEN, "l", YELLOW_ONLY)):
-        rows = read_parquet(spark, f"{both}/source={spec.name}").drop(*foreign)
+    for spec, letter, only in ((trips.YELLOW, "t", YELLOW_ONLY), (trips.GREEN, "l", GREEN_ONLY)):
+        # gathered by month as they came: the feed's columns are several times as wide
+        gathered = read_parquet(spark, f"{both}/source={spec.name}").hint("rebalance", F.col(PERIOD_COLUMN))
+        rows = gathered.selectExpr(*(f"{sql} AS {name}" for name, sql in (TRIP_FEED | only).items()), PERIOD_COLUMN)
         rows = rows.withColumnsRenamed({n: f"{letter}pep_{n}_datetime" for n in ("pickup", "dropoff")})
         if spec is trips.GREEN:
             rows = rows.select(*reversed(rows.columns))
-        promote(rows, landing, spec.name, rebalance=True)
+        promote(rows, landing, spec.name)
     clear_scratch(spark, both)
     return landing
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from daymill.__main__ import main
 from daymill.period import Period
 from daymill.plans import observations, trips, volumes
+from daymill.queries import daily_tables
 from daymill.sources.quarantine import read_quarantined
 
 PERIOD = Period.of("2022-10-01", "2022-11-30")
@@ -283,3 +284,13 @@ def test_a_task_sorts_one_split_of_volumes(spark, tmp_path):
         files = list(Path(path).glob(f"batch=*/period={year}/*.parquet"))
         assert len(files) == splits > 1
         assert spark.read.parquet(*map(str, files)).count() == 150
+
+
+def test_landing_trips_move_what_the_feeds_are_made_of(spark, monkeypatch):
+    """The tables' own columns are kept and gathered; the feed's wider ones are worked out afterwards."""
+    seen = []
+    monkeypatch.setattr(daily_tables, "clear_scratch", lambda spark, path: seen.append(spark.read.parquet(path)))
+    landing = daily_tables.landing_trips(spark, "/root/testdata/sf0.001")
+    assert set(seen[0].columns) == {*daily_tables.FED_COLUMNS, "period", "source"}
+    feeds = [spark.read.parquet(f"{landing}/{spec.name}") for spec in (trips.YELLOW, trips.GREEN)]
+    assert sum(f.count() for f in feeds) == seen[0].count() > 0
