@@ -6,12 +6,14 @@ suffix, which must be a state as well (the root always is). A gram, context and
 counts if it occurs MIN_COUNT times, whatever the size of the corpus. The tree grows level by
 level, as tables of states and grams: a level's grams are counted exactly, dealt by their names
 after each chunk of texts added up its own; gains are sums per context.
+In shuffles the most frequent words go as ranks, the others by their names.
 
 With c the count of state s, n those of its grams and r what other tokens had, the smoothed
 probability is n / (c + PRIOR) plus (r + PRIOR) / (c + PRIOR) times that of the suffix, down to
 add-one counts of single tokens at the root. A token is scored by its longest suffix that is a
 state. So the score is the one by single tokens, plus for each place a factor: the deepest gram
-found there, against its token at the root, times what deeper states leave to their suffix. The
+found there, against its token at the root, times what deeper states leave to their suffix. Places that the most
+frequent states and grams decide are scored where they are, as every task has those. Other
 places and the part of the tree below their last token meet in one shard; frequent last tokens
 have several shards, with a copy of their part in each.
 
@@ -29,11 +31,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymill.llm.common import runs, shards_for, stage, texts
-from daymill.session import clear_scratch, scratch_path
+from daymill.session import clear_scratch, scratch_path, shuffles_removed
 
 DEPTH = 3
 MIN_COUNT = 4
@@ -45,6 +47,8 @@ PRIOR = 1.0
 MAP_BITS, BLOCK_BITS = (20, 27), 15
 #: Words whose counts are sent to the tasks, the most frequent ones; those of others are joined.
 HEAD_WORDS = 300_000
+#: States and grams that are sent to the tasks that score, the most frequent ones; places that meet others are dealt.
+HEAD_NODES = 800_000
 #: Places of one shard, about.
 SHARD_PLACES = 2_000_000
 CHUNK_BYTES = 8 << 20
@@ -151,6 +155,25 @@ def within(sorted_: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, sorted_[at] == values
 
 
+class Index:
+    """Sorted names of 64 bits, found by their first bits: hashes spread evenly, so few share those."""
+
+    def __init__(self, names: np.ndarray):
+        bits = max(1, len(names).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.searchsorted(names, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        self.size, self.names = len(names), np.append(names, np.uint64(2**64 - 1))
+
+    def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where names stand, and whether they do."""
+        at = self.starts[names >> self.shift].astype(np.int64)
+        low = np.flatnonzero(self.names[at] < names)
+        while len(low):
+            at[low] += 1
+            low = low[self.names[at[low]] < names[low]]
+        return at, (self.names[at] == names) & (at < self.size)
+
+
 # --- tokens by chunk ------------------------------------------------------------------
 
 
@@ -167,49 +190,80 @@ def _narrow(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def packed(*columns: tuple[np.ndarray, np.ndarray]) -> bytes:
-    """Columns, each of values and codes that choose them, in few bytes: only the values used, and narrow codes."""
-    sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    """Columns, each of values and codes that choose them, in few bytes: only the values used, small ascending ones as steps, and narrow codes.
+
+    All are compressed as one, so that a column of few rows costs little more than its bytes.
+    """
+    sizes, body = [], []
     for values, codes in columns:
         used, at = _narrow(codes, len(values))
-        for array in (pa.array(values[used]), pa.array(at)):
-            batch = pa.RecordBatch.from_arrays([array], ["v"])
-            with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
-                writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+        values = values[used]
+        ascending = len(values) and values[0] >= 0 and (values[1:] >= values[:-1]).all()
+        small = int(np.searchsorted(values.astype(np.uint64), np.uint64(1 << 32))) if ascending else 0
+        steps = np.diff(values[:small].astype(np.uint32), prepend=np.uint32(0))
+        most = int(steps.max(initial=0))
+        steps = steps.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+        sizes += [_KINDS.index(values.dtype), steps.itemsize, small, len(values) - small, at.itemsize, len(at)]
+        body += [steps.tobytes(), values[small:].tobytes(), at.tobytes()]
+    raw = b"".join([np.array([len(columns), *sizes], np.uint32).tobytes(), *body])
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def unpacked(raw: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
     """Values and codes of each column."""
-    source, out = pa.BufferReader(raw), []
-    while source.tell() < len(raw):
-        with pa.ipc.open_stream(source) as reader:
-            out.append(reader.read_all().column(0).to_numpy())
-    return list(zip(out[::2], out[1::2], strict=True))
+    raw = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+    columns = int(np.frombuffer(raw, np.uint32, 1)[0])
+    sizes = np.frombuffer(raw, np.uint32, 6 * columns, 4).astype(np.int64).reshape(columns, 6)
+    start, out = 4 + sizes.nbytes // 2, []
+    for kind, step, small, large, code, rows in sizes.tolist():
+        parts = []
+        for dtype, n in ((f"u{step}", small), (_KINDS[kind], large), (f"u{code}", rows)):
+            parts.append(np.frombuffer(raw, dtype, n, start))
+            start += parts[-1].nbytes
+        steps, rest, codes = parts
+        out.append((np.append(np.cumsum(steps, dtype=np.uint64).astype(rest.dtype), rest), codes))
+    return out
+
+
+_KINDS = [np.dtype(k) for k in ("u8", "i8", "i4")]
+
+
+def named(ranks: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Names of tokens, of which the most frequent ones are given by their ranks, places in ``words``."""
+    short = ranks < np.uint64(len(words))
+    out = ranks.copy()
+    out[short] = words[ranks[short].astype(np.int64)]
+    return out
 
 
 CHUNK_SCHEMA = "chunk long, n long, tokens binary, ids binary, sizes binary, learns binary"
 
 
-def _chunk_row(chunk: int, names: np.ndarray, token: np.ndarray, text: np.ndarray, ids: np.ndarray, learn: np.ndarray) -> list[pa.Array]:
-    """One row of CHUNK_SCHEMA: the tokens of some texts, as codes of ``names``, each text's row, and whether to learn from it."""
+def _chunk_row(chunk: int, ranks: np.ndarray, token: np.ndarray, text: np.ndarray, ids: np.ndarray, learn: np.ndarray) -> list[pa.Array]:
+    """One row of CHUNK_SCHEMA: the tokens of some texts, as codes of ``ranks``, each text's row, and whether to learn from it."""
     sizes = np.bincount(text, minlength=len(ids)).astype(np.int64)
-    raw = [packed((names, token)), ids.astype(np.int64).tobytes(), sizes.tobytes(), learn.astype(bool).tobytes()]
+    kinds, code = np.unique(ranks, return_inverse=True)
+    raw = [packed((kinds, code[token])), ids.astype(np.int64).tobytes(), sizes.tobytes(), learn.astype(bool).tobytes()]
     return [pa.array([x]) for x in (chunk, len(token), *raw)]
 
 
 CHUNK = ["chunk", "tokens", "ids", "sizes", "learns"]
+PLACES = ["shard", "chunk", "places", "gains"]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """chunk, ids of its texts, names of tokens, then code, text number and tokens since the start of each place, and whether to learn from it."""
+def _chunks(batches: Iterator[pa.RecordBatch], words: np.ndarray) -> Iterator[tuple]:
+    """chunk, ids of its texts, ranks and names of tokens, then code, text number and tokens since the start of each place, and whether to learn from it.
+
+    Ranks ascend; code 0 is that of no token.
+    """
     for batch in batches:
         for chunk, raw, ids, sizes, learn in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
             size = np.frombuffer(sizes, np.int64)
             text = np.repeat(np.arange(len(size)), size)
             since = np.arange(len(text)) - (np.cumsum(size) - size)[text]
-            ((names, codes),) = unpacked(raw)
-            yield chunk, np.frombuffer(ids, np.int64), names, codes.astype(np.int64), text, since, np.frombuffer(learn, bool)[text]
+            ((ranks, codes),) = unpacked(raw)
+            ranks = np.append(NOTHING, ranks)
+            yield chunk, np.frombuffer(ids, np.int64), ranks, named(ranks, words), codes.astype(np.int64) + 1, text, since, np.frombuffer(learn, bool)[text]
 
 
 def _cut(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -263,7 +317,7 @@ def _names_of(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return suffix, context, mix(context, tokens[-1])
 
 
-def _count_grams(chunks: DataFrame, depth: int, maps: list[tuple[Bitmap, Bitmap]], least: int, shards: int) -> DataFrame:
+def _count_grams(chunks: DataFrame, words: np.ndarray, depth: int, maps: list[tuple[Bitmap, Bitmap]], least: int, shards: int) -> DataFrame:
     """context, token, suffix, last, name, n of grams with ``depth`` tokens of context that come to ``least``.
 
     Rows with token 0 hold how often each context occurs. ``maps`` are those of the states and of the
@@ -271,7 +325,7 @@ def _count_grams(chunks: DataFrame, depth: int, maps: list[tuple[Bitmap, Bitmap]
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, names, codes, _, since, learn in _chunks(batches):
+        for _, _, ranks, names, codes, _, since, learn in _chunks(batches, words):
             token = names[codes]
             counts = token != NOTHING
             at = np.flatnonzero(learn & (since >= depth))
@@ -290,23 +344,23 @@ def _count_grams(chunks: DataFrame, depth: int, maps: list[tuple[Bitmap, Bitmap]
                 at = at[able]
             near = [codes[at - k] for k in range(1, depth + 1)]
             rows, n = tallied(near, len(names))
-            rows.append(np.full(len(n), len(names)))
+            rows.append(np.zeros(len(n), np.int64))
             seen = counts[at]
             if depth > 1:
                 seen &= maps[-1][1].may_have(mix(_contexts(token, at, depth - 1), token[at]))
             at, near = at[seen], [c[seen] for c in near]
             grams_, times = tallied([*near, codes[at]], len(names))
             rows, n = [np.concatenate(x) for x in zip(rows, grams_, strict=True)], np.append(n, times)
-            values = np.append(names, NOTHING)
-            shard = (_names_of([values[c] for c in rows])[2] % np.uint64(shards)).astype(np.int64)
+            shard = (_names_of([names[c] for c in rows])[2] % np.uint64(shards)).astype(np.int64)
             for k, part in _cut(shard, shards):
                 # few rows differ in their number, so numbers are values with codes too
-                raw = packed(*((values, c[part]) for c in rows), np.unique(n[part], return_inverse=True))
+                raw = packed(*((ranks, c[part]) for c in rows), np.unique(n[part], return_inverse=True))
                 yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([raw])], ["shard", "grams"])
 
     def add(part: pa.Table) -> pa.Table:
         columns = zip(*([v[c] for v, c in unpacked(raw)] for raw in part.column("grams").to_pylist()), strict=True)
         *tokens, n = (np.concatenate(x) for x in columns)
+        tokens = [named(t, words) for t in tokens]
         name = _names_of(tokens)[2]
         order = np.argsort(name)
         starts = runs(name[order])
@@ -324,49 +378,43 @@ def _count_grams(chunks: DataFrame, depth: int, maps: list[tuple[Bitmap, Bitmap]
 
 @dataclass
 class Table:
-    """A level: states (context, last, rest), grams (context, token, last, name, own, p, ratio: p against the root) and bitmaps of both."""
+    """A level: states (context, last, rest, c), grams (context, token, last, name, n, rest, c, p, ratio: p against the root) and bitmaps of both."""
 
     states: DataFrame
     grams: DataFrame
     maps: tuple[Bitmap, Bitmap]
 
 
-def _passing(df: DataFrame, label: str, paths: list[str]) -> DataFrame:
-    """A staged table whose path is noted, to be removed once what follows from it is written."""
-    spark = df.sparkSession
-    paths.append(scratch_path(spark, label))
-    df.write.option("compression", "zstd").parquet(paths[-1])
-    return spark.read.schema(df.schema).parquet(paths[-1])
-
-
-def grow_tables(chunks: DataFrame, counts: DataFrame, unit: float, least: int, shards: int) -> list[Table]:
+def grow_tables(chunks: DataFrame, words: np.ndarray, counts: DataFrame, unit: float, least: int, shards: int) -> list[Table]:
     """The tree's levels as tables. ``counts`` (name, c) are those of single tokens, ``unit`` what they are divided by."""
+    spark = chunks.sparkSession
     levels: list[Table] = []
     for depth in range(1, DEPTH + 1):
-        passing: list[str] = []
-        grams = _passing(_count_grams(chunks, depth, [x.maps for x in levels], least, shards), "suffix-grams", passing)
+        path = scratch_path(spark, "suffix-grams")
+        counted = _count_grams(chunks, words, depth, [x.maps for x in levels], least, shards)
+        counted.write.option("compression", "zstd").parquet(path)
+        grams = spark.read.schema(counted.schema).parquet(path)
         if depth == 1:
             root = counts.select(F.col("name").alias("token"), ((F.col("c") + 1.0) / unit).alias("below"), ((F.col("c") + 1.0) / unit).alias("root"))
-            known = grams.filter("token != 0").join(root, "token")
+            known = grams.filter("token != 0").drop("suffix").join(root, "token")
         else:
             shorter = levels[-1].grams.select(F.col("context").alias("suffix"), "token", F.col("p").alias("below"), (F.col("p") / F.col("ratio")).alias("root"))
-            known = grams.filter("token != 0").join(shorter, ["suffix", "token"])
-        known = _passing(known, "suffix-grams-below", passing)
-        listed = known.groupBy("context").agg(F.sum("n").alias("listed"))
+            known = grams.filter("token != 0").join(shorter, ["suffix", "token"]).drop("suffix")
         totals = grams.filter("token = 0").select("context", F.col("n").cast("double").alias("c"))
-        rest = listed.join(totals, "context").select("context", "c", "listed", ((F.col("c") - F.col("listed") + PRIOR) / (F.col("c") + PRIOR)).alias("rest"))
+        # the join deals by context already, so what follows moves no row
+        by = Window.partitionBy("context")
+        rest = (F.col("c") - F.col("listed") + PRIOR) / (F.col("c") + PRIOR)
         p = F.col("n") / (F.col("c") + PRIOR) + F.col("rest") * F.col("below")
-        gained = _passing(known.join(rest, "context").withColumn("own", F.col("n") / (F.col("c") + PRIOR)).withColumn("p", p), "suffix-gains", passing)
-        gain = F.sum(F.col("n") * F.log(F.col("p") / F.col("below"))) + F.first(F.col("c") - F.col("listed")) * F.log(F.first("rest"))
-        by = gained.groupBy("context").agg(F.first("last").alias("last"), F.first("rest").alias("rest"), F.first("c").alias("c"), gain.alias("gain"))
-        states = stage(by.filter((F.col("gain") >= MIN_EVIDENCE) & (F.col("gain") >= MIN_DIVERGENCE * F.col("c"))).select("context", "last", "rest"), "suffix-states")
-        if states.isEmpty():
+        gain = F.sum(F.col("n") * F.log(F.col("p") / F.col("below"))).over(by) + (F.col("c") - F.col("listed")) * F.log("rest")
+        gained = known.join(totals, "context").withColumn("listed", F.sum("n").over(by)).withColumn("rest", rest).withColumn("p", p).withColumn("gain", gain)
+        kept = gained.filter((F.col("gain") >= MIN_EVIDENCE) & (F.col("gain") >= MIN_DIVERGENCE * F.col("c")))
+        kept = stage(kept.select("context", "token", "last", "name", "n", "rest", "c", "p", (F.col("p") / F.col("root")).alias("ratio")), "suffix-kept")
+        if kept.isEmpty():
             break
-        kept = gained.join(states.select("context"), "context", "left_semi")
-        kept = stage(kept.select("context", "token", "last", "name", "own", "p", (F.col("p") / F.col("root")).alias("ratio")), "suffix-kept")
+        states = kept.groupBy("context").agg(*(F.first(x).alias(x) for x in ("last", "rest", "c")))
+        states = stage(states, "suffix-states")
         levels.append(Table(states, kept, (bitmap(states, "context"), bitmap(grams.filter("token != 0"), "name"))))
-        for path in passing:
-            clear_scratch(chunks.sparkSession, path)
+        clear_scratch(spark, path)
     return levels
 
 
@@ -377,7 +425,38 @@ def _shards(docs: DataFrame, tokens: int) -> int:
 # --- scoring --------------------------------------------------------------------------
 
 
-def _factors(chunks: DataFrame, levels: list[Table], counts: DataFrame, tokens: int, shards: int) -> DataFrame:
+@dataclass
+class Head:
+    """Names and values, as log10, of the most frequent states or grams of all levels, and a bitmap of the others, if any."""
+
+    index: Index
+    values: np.ndarray
+    others: Bitmap | None
+
+    def look(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where names stand, whether they do, and whether a table must be asked instead."""
+        at, known = self.index.find(names)
+        if self.others is None:
+            return at, known, np.zeros(len(names), bool)
+        return at, known, ~known & self.others.may_have(names)
+
+
+def _head_nodes(nodes: DataFrame) -> tuple[Head, Head]:
+    """Of ``nodes`` (kind, name, value, c), the heads of the states, whose kinds are even, and of the grams."""
+    cut = head_cut(nodes, HEAD_NODES)
+    often = nodes.filter(_steps_of_count() >= cut).select("kind", "name", "value").toArrow()
+    kind, name, value = (often.column(k).to_numpy() for k in ("kind", "name", "value"))
+    heads = []
+    for odd in (0, 1):
+        own = kind % 2 == odd
+        names, values = name[own].view(np.uint64), value[own]
+        order = np.argsort(names)
+        others = bitmap(nodes.filter((_steps_of_count() < cut) & (F.col("kind") % 2 == odd)), "name") if cut else None
+        heads.append(Head(Index(names[order]), values[order], others))
+    return heads[0], heads[1]
+
+
+def _factors(chunks: DataFrame, words: np.ndarray, levels: list[Table], counts: DataFrame, tokens: int, shards: int) -> DataFrame:
     """row, gain: the sum of the tree's factors over the places of each text, as log10."""
     share = max(1, tokens // shards)
     # at most about as many last tokens as there are shards have more than a shard's share
@@ -385,29 +464,61 @@ def _factors(chunks: DataFrame, levels: list[Table], counts: DataFrame, tokens:
     last_names = mix(np.zeros(len(heavy), np.uint64), heavy["name"].to_numpy(np.int64).view(np.uint64))
     order = np.argsort(last_names)
     last_names, copies = last_names[order], heavy["copies"].to_numpy(np.int64)[order]
+    parts = None
+    for depth, level in enumerate(levels, 1):
+        states = level.states.select("last", F.lit(2 * depth).alias("kind"), F.col("context").alias("name"), F.log10("rest").alias("value"), "c")
+        grams = level.grams.select("last", F.lit(2 * depth + 1).alias("kind"), "name", F.log10("ratio").alias("value"), F.col("n").cast("double").alias("c"))
+        both = states.union(grams)
+        parts = both if parts is None else parts.union(both)
+    head_states, head_grams = _head_nodes(parts)
     maps = [x.maps[0] for x in levels]
 
     def copies_of(last: np.ndarray) -> np.ndarray:
         at, known = within(last_names, last)
         return np.where(known, copies[at], 1) if len(copies) else np.ones(len(last), np.int64)
 
+    def known_factors(token: np.ndarray, at: np.ndarray, since: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Factors of places by the heads alone, and whether they are sure."""
+        factor, sure = np.zeros(len(at)), np.ones(len(at), bool)
+        open_, context = np.arange(len(at)), np.zeros(len(at), np.uint64)
+        for depth, states in enumerate(maps, 1):
+            longer = since[at[open_]] >= depth
+            open_ = open_[longer]
+            context = mix(context[longer], token[at[open_] - depth])
+            able = states.may_have(context)
+            open_, context = open_[able], context[able]
+            where, known, ask = head_states.look(context)
+            sure[open_[ask]] = False
+            open_, context = open_[known], context[known]
+            factor[open_] += head_states.values[where[known]]
+            where, known, ask = head_grams.look(mix(context, token[at[open_]]))
+            factor[open_[known]] = head_grams.values[where[known]]
+            sure[open_[ask]] = False
+            open_, context = open_[sure[open_]], context[sure[open_]]
+        return factor, sure
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, ids, names, codes, text, since, _ in _chunks(batches):
+        for chunk, ids, ranks, names, codes, text, since, _ in _chunks(batches, words):
             token = names[codes]
             at = np.flatnonzero(since >= 1)
-            at = at[maps[0].may_have(_contexts(token, at, 1))]
+            at = at[maps[0].may_have(mix(np.zeros(len(names), np.uint64), names))[codes[at - 1]]]
+            factor, sure = known_factors(token, at, since)
+            gains = np.bincount(text[at[sure]], factor[sure], len(ids)).tobytes()
+            # what is known of the chunk passes a shard as it is
+            yield pa.RecordBatch.from_arrays([pa.array([chunk % shards]), pa.array([chunk]), pa.nulls(1, pa.binary()), pa.array([gains])], PLACES)
+            at = at[~sure]
             last = _contexts(token, at, 1)
             near = [codes[at], codes[at - 1]]
             able = np.ones(len(at), bool)
             for depth, states in enumerate(maps[1:], 2):
                 able[able] = since[at[able]] >= depth
                 able[able] = states.may_have(_contexts(token, at[able], depth))
-                near.append(np.where(able, codes[at - depth], len(names)))
-            values, numbers = np.append(names, NOTHING), np.arange(len(ids))
+                near.append(np.where(able, codes[at - depth], 0))
+            numbers = np.arange(len(ids), dtype=np.int32)
             shard = ((last % np.uint64(shards)).astype(np.int64) + at % copies_of(last)) % shards
             for k, part in _cut(shard, shards):
-                raw = packed((numbers, text[at[part]]), *((values, x[part]) for x in near))
-                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([chunk]), pa.array([raw])], ["shard", "chunk", "places"])
+                raw = packed((numbers, text[at[part]]), *((ranks, x[part]) for x in near))
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([chunk]), pa.array([raw]), pa.nulls(1, pa.binary())], PLACES)
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -418,14 +529,8 @@ def _factors(chunks: DataFrame, levels: list[Table], counts: DataFrame, tokens:
             shard = ((last % np.uint64(shards)).astype(np.int64)[row] + shift) % shards
             yield pa.RecordBatch.from_arrays([pa.array(shard), *(c.take(pa.array(row)) for c in batch.columns[1:])], ["shard", "kind", "name", "value"])
 
-    parts = None
-    for depth, level in enumerate(levels, 1):
-        states = level.states.select("last", F.lit(2 * depth).alias("kind"), F.col("context").alias("name"), F.log10("rest").alias("value"))
-        grams = level.grams.select("last", F.lit(2 * depth + 1).alias("kind"), "name", F.log10("ratio").alias("value"))
-        both = states.union(grams)
-        parts = both if parts is None else parts.union(both)
-    tree = parts.mapInArrow(copy, "shard long, kind int, name long, value double")
-    places = chunks.select(*CHUNK).mapInArrow(deal, "shard long, chunk long, places binary")
+    tree = parts.drop("c").mapInArrow(copy, "shard long, kind int, name long, value double")
+    places = chunks.select(*CHUNK).mapInArrow(deal, "shard long, chunk long, places binary, gains binary")
     depths = len(levels)
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -435,42 +540,46 @@ def _factors(chunks: DataFrame, levels: list[Table], counts: DataFrame, tokens:
         for k in range(2, 2 * depths + 2):
             own = np.flatnonzero(kind == k)
             own = own[np.argsort(name[own])]
-            found[k] = name[own], value[own]
+            found[k] = Index(name[own]), value[own]
         chunk, gains = left.column("chunk").to_pylist(), []
-        for raw in left.column("places").to_pylist():
+        for raw, known_ in zip(left.column("places").to_pylist(), left.column("gains").to_pylist(), strict=True):
+            if raw is None:
+                gains.append(np.arange(len(known_) // 8, dtype=np.int32).tobytes() + known_)
+                continue
             (texts_, text), *columns = unpacked(raw)
+            columns = [(named(v, words), codes) for v, codes in columns]
             token, *near = (values[codes] for values, codes in columns)
             factor = np.zeros(len(text))
             open_, context = np.arange(len(text)), np.zeros(len(text), np.uint64)
             for depth in range(1, depths + 1):
-                names, rest = found[2 * depth]
+                states, rest = found[2 * depth]
                 if depth == 1:
                     # single tokens are looked up once for each of their kinds
                     kinds, codes = columns[1]
                     one = mix(np.zeros(len(kinds), np.uint64), kinds)
-                    at, known = (x[codes] for x in within(names, one))
+                    at, known = (x[codes] for x in states.find(one))
                     context = one[codes]
                 else:
                     context = mix(context, near[depth - 1][open_])
-                    at, known = within(names, context)
+                    at, known = states.find(context)
                 open_, context, at = open_[known], context[known], at[known]
                 if not len(open_):
                     break
                 factor[open_] += rest[at]
-                names, ratio = found[2 * depth + 1]
-                at, seen = within(names, mix(context, token[open_]))
+                grams, ratio = found[2 * depth + 1]
+                at, seen = grams.find(mix(context, token[open_]))
                 factor[open_[seen]] = ratio[at[seen]]
                 longer = near[depth - 1][open_] != START
                 open_, context = open_[longer], context[longer]
-            gains.append(np.array([texts_.astype(float), np.bincount(text, factor, len(texts_))]).tobytes())
+            gains.append(texts_.tobytes() + np.bincount(text, factor, len(texts_)).tobytes())
         return pa.table([pa.array(chunk, pa.int64()), pa.array(gains, pa.binary())], ["chunk", "gains"])
 
     def add(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = np.frombuffer(right.column("ids")[0].as_py(), np.int64)
         total = np.zeros(len(ids))
         for raw in left.column("gains").to_pylist():
-            text, gain = np.frombuffer(raw).reshape(2, -1)
-            total[text.astype(np.int64)] += gain
+            n = len(raw) // 12
+            total[np.frombuffer(raw, np.int32, n)] += np.frombuffer(raw, np.float64, n, 4 * n)
         return pa.table([pa.array(ids), pa.array(total)], ["row", "gain"])
 
     gains = places.groupBy("shard").cogroup(tree.groupBy("shard")).applyInArrow(look, "chunk long, gains binary")
@@ -482,13 +591,13 @@ def _steps_of_count():
     return F.floor(F.log2("c") * 64)
 
 
-def head_cut(counted: DataFrame) -> int:
-    """The least step of counts from which on there are at most HEAD_WORDS words; a row per step is fetched."""
+def head_cut(counted: DataFrame, most: int) -> int:
+    """The least step of counts from which on there are at most ``most`` rows; a row per step is fetched."""
     sizes = counted.groupBy(_steps_of_count().alias("step")).count().collect()
-    words = 0
+    rows = 0
     for step, n in sorted(map(tuple, sizes), reverse=True):
-        words += n
-        if words > HEAD_WORDS:
+        rows += n
+        if rows > most:
             return step + 1
     return 0
 
@@ -505,16 +614,19 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col(training), F.lit(False)).alias("learn"))
     learned = rows.filter("learn")
-    counted = stage(count_words(learned), "word-counts")
+    with shuffles_removed(docs.sparkSession):
+        counted = stage(count_words(learned), "word-counts")
     n_texts = learned.count()
     n_words, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     train_tokens, kinds = n_words + n_texts, distinct + bool(n_texts)
-    cut = head_cut(counted)
-    frequent = counted.filter(_steps_of_count() >= cut).select("word", "c").toPandas()
-    head = pa.array(frequent["word"].to_list(), pa.large_string())
-    head_counts = np.append(frequent["c"].to_numpy(np.int64), 0)
+    cut = head_cut(counted, HEAD_WORDS)
+    frequent = counted.filter(_steps_of_count() >= cut).select("word", "name", "c").toArrow().sort_by([("c", "descending")])
+    head = frequent["word"].cast(pa.large_string()).combine_chunks()
+    head_counts = np.append(frequent["c"].to_numpy(), 0)
+    ranked = np.append([NOTHING, START, END], frequent["name"].to_numpy().view(np.uint64))
     unit = float(np.log10(train_tokens + kinds + 1))
-    ends = docs.sparkSession.createDataFrame([(int(x.view(np.int64)), n_texts) for x in (START, END)], "name long, c long")
+    start, end = (F.lit(int(x.view(np.int64))) for x in (START, END))
+    ends = docs.sparkSession.range(0, 2, 1, 1).select(F.when(F.col("id") == 0, start).otherwise(end).alias("name"), F.lit(n_texts).cast("long").alias("c"))
     counts = counted.select("name", "c").union(ends)
     often = bitmap(counts.filter(F.col("c") >= MIN_COUNT), "name")
 
@@ -525,7 +637,8 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
                 n, size = high - low, max(1, len(words))
                 learn = batch.column(2).slice(low, n)
                 ids = np.arange(first, first + n)
-                c = head_counts[np.asarray(pc.fill_null(pc.index_in(words, head), len(head))).astype(np.int64)]
+                rank = np.asarray(pc.fill_null(pc.index_in(words, head), len(head))).astype(np.int64)
+                c = head_counts[rank]
                 known = c > 0
                 pairs, times = np.unique((row * size + codes)[~known[codes]], return_counts=True)
                 bounds = np.searchsorted(pairs // size, np.arange(n + 1)).astype(np.int32)
@@ -542,9 +655,9 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
                 ]
                 token, text, _ = sequences(n, row, codes, len(words))
                 names = np.append(word_names(words), [START, END])
-                able = often.may_have(names)
-                token = np.where(able, np.cumsum(able), 0)[token]
-                whole = _chunk_row(chunk, np.append(NOTHING, names[able]), token, text, ids, learn.to_numpy(zero_copy_only=False))
+                ranks = np.append(np.where(known, (rank + 3).astype(np.uint64), names[:-2]), np.array([1, 2], np.uint64))
+                ranks[~often.may_have(names)] = NOTHING
+                whole = _chunk_row(chunk, ranks, token, text, ids, learn.to_numpy(zero_copy_only=False))
                 fields = ["doc_id", "learn", "row", "n_words", "n_head", "head_sum", "rare", "times", "chunk", "n", "tokens", "ids", "sizes", "learns"]
                 yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(n, x.type) for x in whole)], fields)
                 yield pa.RecordBatch.from_arrays([*(pa.nulls(1, x.type) for x in own), *whole], fields)
@@ -560,7 +673,7 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
         .groupBy("row")
         .agg(F.sum("times").alias("n_tail"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("tail_sum"))
     )
-    gains = _gains(chunks, counts, n_texts, train_tokens, kinds)
+    gains = _gains(chunks, ranked, counts, n_texts, train_tokens, kinds)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     base = F.col("head_sum") + zero("tail_sum") + float(np.log10(n_texts + 1)) - (F.col("n_words") + 1) * unit
     return parts.drop("rare", "times").join(found, "row", "left").join(gains, "row", "left").select(
@@ -574,7 +687,7 @@ def score_documents(docs: DataFrame, training: str) -> DataFrame:
     )
 
 
-def _gains(chunks: DataFrame, counts: DataFrame, n_texts: int, train_tokens: int, kinds: int) -> DataFrame:
+def _gains(chunks: DataFrame, words: np.ndarray, counts: DataFrame, n_texts: int, train_tokens: int, kinds: int) -> DataFrame:
     """row, gain: what the tree adds to the score of each text."""
     spark = chunks.sparkSession
     nothing = spark.range(0).select(F.col("id").alias("row"), F.lit(0.0).alias("gain"))
@@ -582,5 +695,6 @@ def _gains(chunks: DataFrame, counts: DataFrame, n_texts: int, train_tokens: int
         return nothing
     places = chunks.agg(F.sum("n")).first()[0]
     shards = _shards(chunks, places)
-    levels = grow_tables(chunks, counts.filter(F.col("c") >= MIN_COUNT), float(train_tokens + kinds + 1), MIN_COUNT, shards)
-    return _factors(chunks, levels, counts, train_tokens, shards) if levels else nothing
+    with shuffles_removed(spark):
+        levels = grow_tables(chunks, words, counts.filter(F.col("c") >= MIN_COUNT), float(train_tokens + kinds + 1), MIN_COUNT, shards)
+    return _factors(chunks, words, levels, counts, train_tokens, shards) if levels else nothing

@@ -1,6 +1,7 @@
 """Scores of the suffix tree: against dictionaries by brute force, gains on held-out texts."""
 
 import math
+import time
 from collections import Counter
 from zlib import crc32
 
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 
 from daymill.llm import suffix_model
 from daymill.llm.queries import QUERIES
-from daymill.llm.suffix_model import packed, sequences, tallied, unpacked, word_chunks
+from daymill.llm.suffix_model import Index, packed, sequences, tallied, unpacked, word_chunks
+from daymill.session import SHUFFLE_CLEANUP, shuffles_removed
 from tests.llm.helpers import SF_DIR, awkward, documents, prose
 
 
@@ -185,3 +187,51 @@ def test_a_gram_counts_alike_in_any_corpus(spark, monkeypatch):
     for rows in (own + filler[:1], own + filler):
         scored = {r.doc_id: r for r in suffix_model.score_documents(marked(spark, rows, "doc_id != 0"), "training").collect()}
         assert scored[0].score > scored[0].base_score + 6
+
+
+@pytest.mark.parametrize(("nodes", "words"), [(0, 300_000), (12, 20), (150, 0)])
+def test_scores_beyond_the_most_frequent_nodes_and_words(spark, monkeypatch, nodes, words):
+    monkeypatch.setattr(suffix_model, "HEAD_NODES", nodes)
+    monkeypatch.setattr(suffix_model, "HEAD_WORDS", words)
+    monkeypatch.setattr(suffix_model, "CHUNK_BYTES", 3_000)
+    own = [(100 + k, prose(40, k % 3, 30) + " always the same ending here" * (k % 4)) for k in range(60)]
+    check_scores(spark, awkward() + own, "doc_id % 2 = 1", lambda i: i is not None and i % 2 == 1)
+
+
+def test_packed_rows_stay_small_in_many_shards():
+    rng = np.random.default_rng(3)
+    ranks = np.arange(50_000, dtype=np.uint64) * 5
+    codes = np.minimum(rng.zipf(1.3, 200_000), len(ranks)) - 1
+    sizes = [sum(len(packed((ranks, codes[k::shards]), (ranks, codes[-1 - k :: -shards]))) for k in range(shards)) for shards in (4, 400)]
+    assert sizes[1] < 2 * sizes[0]
+    assert sizes[1] < 6 * len(codes)
+
+
+def test_packed_large_and_unsorted_values_come_back():
+    big = np.sort(np.random.default_rng(4).integers(0, 1 << 63, 300, dtype=np.uint64)) * np.uint64(2)
+    columns = [(np.append(np.arange(5, dtype=np.uint64), big), np.arange(305)), (np.array([5, -3, 1 << 40]), np.array([2, 1, 1])), (big[:0], np.zeros(0, np.int64))]
+    for (values, codes), (got, at) in zip(columns, unpacked(packed(*columns)), strict=True):
+        assert got.dtype == values.dtype and got[at].tolist() == values[codes].tolist()
+
+
+@pytest.mark.parametrize("size", [0, 1, 5_000])
+def test_index_finds_names(size):
+    names = np.unique(np.random.default_rng(size).integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    asked = np.concatenate([names, names - np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+    at, known = Index(names).find(asked)
+    assert known.tolist() == np.isin(asked, names).tolist()
+    assert (names[at[known]] == asked[known]).all()
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f.name() for f in map(blocks.getAllBlocks().apply, range(blocks.getAllBlocks().size())) if f.isShuffle()}
+    before = shuffles()
+    with shuffles_removed(spark):
+        spark.range(1_000).repartition(5, "id").write.parquet(str(tmp_path / "rows"))
+        for _ in range(50):
+            if not (left := shuffles() - before):
+                break
+            time.sleep(0.2)
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP, "false") == "false"
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 1_000
